@@ -79,10 +79,14 @@ def _sets(source: DataFrame, k: int) -> DataFrame:
     return source.mapInArrow(run, "k long, s array<long>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * |A and B| >= percent * |A or B|."""
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes na, nb of their sets and the number i of shared shingles."""
     both = pairs.join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
-    shared = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
+    return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
+
+
+def _linked(shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs with 100 * |A and B| >= percent * |A or B|."""
     return shared.where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
@@ -128,18 +132,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
 
     pivots = rows.groupBy("bucket").agg(F.max(F.struct((F.col("w") / F.col("n")).alias("share"), (-F.col("node")).alias("neg"), "n", "w")).alias("p")).select("bucket", (-F.col("p.neg")).alias("a"), F.col("p.n").alias("pn"), F.col("p.w").alias("pw"))
     stars = rows.join(pivots, "bucket").where((F.col("node") != F.col("a")) & reach(F.col("pn"), F.col("pw"), F.col("n"), F.col("w"))).select("a", F.col("node").alias("b")).distinct()
-    links = staged(_confirmed(stars, sets, percent), "links")
+    held = staged(_shared(stars, sets), "stars")
+    links = _linked(held, percent)
     root = components(links)
 
+    # each bucket's nodes with the shingles they share with its pivot, null where that wasn't asked
     labelled = rows.join(root.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labelled = labelled.join(pivots.select("bucket", "a"), "bucket").join(held.select("a", F.col("b").alias("node"), "i"), ["a", "node"], "left").withColumn("i", F.when(F.col("node") == F.col("a"), F.col("n")).otherwise(F.col("i")))
     main = labelled.join(pivots.select("bucket", F.col("a").alias("node")), ["bucket", "node"]).select("bucket", F.col("root").alias("main"))
     several = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    labelled = staged(labelled.join(several, "bucket").join(main, "bucket"), "labelled")
-    rest = labelled.where("root <> main").select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("w").alias("wb"))
-    cross = labelled.join(rest, "bucket").where((F.col("root") != F.col("rb")) & reach(F.col("n"), F.col("w"), F.col("nb"), F.col("wb")))
+    labelled = staged(labelled.join(several, "bucket").join(main, "bucket").join(nodes.select("node", "bands"), "node"), "labelled")
+    rest = labelled.where("root <> main").select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("w").alias("wb"), F.col("i").alias("ib"), F.col("bands").alias("bb"))
+    # what two nodes share lies within the pivot's set or outside: by their shares with the pivot neither part can be larger
+    most = F.coalesce(F.least("i", "ib") + F.least(F.col("w") - F.least("i", "w"), F.col("wb") - F.least("ib", "wb")), F.least("w", "wb"))
+    most = F.when(F.col("i").isNull() | F.col("ib").isNull(), F.least("w", "wb")).otherwise(F.least(most, F.col("w"), F.col("wb")))
+    # a pair counts in the first of the buckets that both are in
+    once = F.expr("array_position(zip_with(bands, bb, (x, y) -> x = y), true) = array_position(bands, bucket)")
+    cross = labelled.join(rest, "bucket").where((F.col("root") != F.col("rb")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("nb"))) & once)
     cross = cross.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _confirmed(cross.join(tested, ["a", "b"], "left_anti"), sets, percent)
+    more = _linked(_shared(cross.join(tested, ["a", "b"], "left_anti"), sets), percent)
     root = components(links.unionByName(staged(more, "links")))
 
     final = nodes.select("digest", "node").join(root.withColumnRenamed("v", "node"), "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
