@@ -47,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language ID", language), ("MinHash near-dedup", near_duplicates), ("benchmark decontamination", decontaminate), ("PII", private), ("SentencePiece", encode)]
 
-#: SQL can't express the language model, the surrogates and the piece lattice; tests hold each stage against brute force.
+#: SQL can't express the language model, the surrogates and the piece lattice; tests hold its operators against brute force, a round trip or held-out accuracy.
 ORACLE_SQL = None
 
 
