@@ -324,3 +324,165 @@ def _(r: Run):
     total = r.members.agg(F.count(F.lit(1)).alias("members"))
     got = r.labelled.agg(of("H").alias("h"), of("E").alias("e"), of("F").alias("f"), of("D").alias("d"), F.count(F.lit(1)).alias("n"))
     return got.crossJoin(total).select("h", "e", "f", "d", "members", (F.col("n") == F.col("members")).alias("conserved"))  # one row each
+
+
+@query("a8_country_bytes", "select country, hex(country) bytes, count(*) n from src group by all")
+def _(r: Run):
+    return r.source.groupBy("country", F.hex(F.encode("country", "UTF-8")).alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b11_operator_contains", "select ip, operator from mem where operator ilike '%o%'")
+def _(r: Run):
+    return r.members.where(F.col("operator").ilike("%o%")).select("ip", "operator")
+
+
+@query("c2_refined_histogram", "select 20 bits, p20 prefix, n from c20 where n <= (select avg(n) * 1.1 from c20) union all select 24, ip >> 8, count(*) from mem where ip >> 12 in (select p20 from c20 where n > (select avg(n) * 1.1 from c20)) group by 2".replace("c20", "(select ip >> 12 p20, count(*) n from mem group by 1)"))
+def _(r: Run):
+    coarse = r.members.groupBy(F.shiftright("ip", 12).alias("p20")).agg(F.count(F.lit(1)).alias("n"))
+    coarse = coarse.withColumn("hot", F.col("n") > F.avg("n").over(Window.partitionBy()) * 1.1)  # one row a prefix, 2^20 at most
+    fine = r.members.withColumn("p20", F.shiftright("ip", 12)).join(coarse.where("hot").select("p20"), "p20", "left_semi").groupBy(F.shiftright("ip", 8).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    return coarse.where("not hot").select(F.lit(20).alias("bits"), F.col("p20").alias("prefix"), "n").unionByName(fine.select(F.lit(24).alias("bits"), "prefix", "n"))
+
+
+@query("c5_equal_spans", "select (ip - lo) // step shard, lo + (ip - lo) // step * step span_start, count(*) n from mem, (select min(ip) lo, (max(ip) - min(ip)) // 8 + 1 step from mem) group by 1, 2")
+def _(r: Run):
+    span = r.members.agg(F.min("ip").alias("lo"), F.expr("(max(ip) - min(ip)) div 8 + 1").alias("step"))
+    return r.members.crossJoin(F.broadcast(span)).groupBy(F.expr("(ip - lo) div step").alias("shard"), F.expr("lo + (ip - lo) div step * step").alias("span_start")).agg(F.count(F.lit(1)).alias("n"))  # span is one row
+
+
+@query("d7_run_pieces", "select run, p16, piece, min(ip) ip_start, max(ip) ip_end, count(*) members from (select run, ip, p16, (row_number() over (partition by run, p16 order by ip) - 1) // 256 piece from (select run, ip, case when count(*) over (partition by run) > 256 then ip >> 16 end p16 from e)) group by 1, 2, 3")
+def _(r: Run):
+    large = r.e.groupBy("run").agg((F.count(F.lit(1)) > 256).alias("large"))
+    e = r.e.join(large, "run").withColumn("p16", F.when(F.col("large"), F.shiftright("ip", 16)))
+    e = e.withColumn("piece", F.expr("(row_number() over (partition by run, p16 order by ip) - 1) div 256"))
+    return e.groupBy("run", "p16", "piece").agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), F.count(F.lit(1)).alias("members"))
+
+
+_STATS_SQL = "select count(*) blocks, count(*) filter (valid_cnt = 0) invalid, round(avg(member_cnt), 6) mean_members, round(quantile_cont(devices_valid / nullif(valid_cnt, 0), 0.5), 6) density_p50, round(quantile_cont(devices_valid / nullif(valid_cnt, 0), 0.9), 6) density_p90, round(quantile_cont(devices_valid / nullif(valid_cnt, 0), 0.99), 6) density_p99, round(quantile_cont(mobile_valid / nullif(devices_valid, 0), 0.5), 6) mobile_p50, round(quantile_cont(worktime_valid / nullif(reports_valid, 0), 0.5), 6) worktime_p50 from "
+
+
+def _stats(df: DataFrame) -> DataFrame:
+    q = lambda c, p, name: F.round(F.percentile(c, p), 6).alias(name)
+    share = lambda a, b: S.ratio(F.col(a), F.col(b))
+    return df.agg(
+        F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("valid_cnt") == 0).alias("invalid"), F.round(F.avg("member_cnt"), 6).alias("mean_members"),
+        *[q("density", p, f"density_{n}") for p, n in ((0.5, "p50"), (0.9, "p90"), (0.99, "p99"))], q(share("mobile_valid", "devices_valid"), 0.5, "mobile_p50"), q(share("worktime_valid", "reports_valid"), 0.5, "worktime_p50"),
+    )
+
+
+@query("e9_pre_stats", _STATS_SQL + "pre")
+def _(r: Run):
+    return _stats(r.pre)
+
+
+@query("e11_final_stats", _STATS_SQL + "fin")
+def _(r: Run):
+    return _stats(r.final)
+
+
+@query("h4_h_with_profile", "select final, ip_count, tier, score, round(devices_valid / nullif(valid_cnt, 0), 6) density, valid_cnt from (select final, count(*) ip_count from h group by 1) join fin using (final)")
+def _(r: Run):
+    return r.h.groupBy("final").agg(F.count(F.lit(1)).alias("ip_count")).join(r.final, "final").select("final", "ip_count", "tier", "score", F.round("density", 6).alias("density"), "valid_cnt")
+
+
+@query("j9_thin_runs", "select run, count(*) run_len, round(avg(valid_cnt), 6) mean_valid from ps group by 1 having count(*) >= 3 and avg(valid_cnt) < 20")
+def _(r: Run):
+    return r.runs[0].groupBy("run").agg(F.count(F.lit(1)).alias("run_len"), F.avg("valid_cnt").alias("m")).where("run_len >= 3 and m < 20").select("run", "run_len", F.round("m", 6).alias("mean_valid"))
+
+
+@query("j10_near_miss", "select ip, atom27, valid_cnt from f join atm using (atom27) where valid_cnt >= 5")
+def _(r: Run):
+    return r.f.join(r.atoms.where("valid_cnt >= 5").select("atom27", "valid_cnt"), "atom27").select("ip", "atom27", "valid_cnt")
+
+
+@query("j11_h_flow", "select tier, n > 1 was_split, count(*) blocks, cast(sum(member_cnt) as bigint) members from pre join (select block, count(*) n from fin group by 1) using (block) group by 1, 2")
+def _(r: Run):
+    parts = r.final.groupBy("block").agg((F.count(F.lit(1)) > 1).alias("was_split"))
+    return r.pre.join(parts, "block").groupBy("tier", "was_split").agg(F.count(F.lit(1)).alias("blocks"), F.sum("member_cnt").alias("members"))
+
+
+_ATOM_RUNS = "(select atom27, valid_cnt, valid_cnt >= 7 dense, coalesce(not short_run, false) in_run from atm left join (select atom27, run from ps) using (atom27) left join rn using (run))"
+
+
+def _atom_runs(r: Run) -> DataFrame:
+    passing, runs = r.runs
+    long = passing.join(runs.where("not short_run").select("run"), "run", "left_semi").select("atom27", F.lit(True).alias("in_run"))
+    return r.atoms.join(long, "atom27", "left").select("atom27", "valid_cnt", F.col("is_e_atom").alias("dense"), F.coalesce("in_run", F.lit(False)).alias("in_run"))
+
+
+@query("j12_atom_flow", f"select dense, in_run, count(*) atoms, cast(sum(valid_cnt) as bigint) valid from {_ATOM_RUNS} group by 1, 2")
+def _(r: Run):
+    return _atom_runs(r).groupBy("dense", "in_run").agg(F.count(F.lit(1)).alias("atoms"), F.sum("valid_cnt").alias("valid"))
+
+
+@query("j13_h_edges", "select count(*) filter (devices_valid between 28 * valid_cnt and 32 * valid_cnt and valid_cnt > 0) density_band, count(*) filter (score between 18 and 22) score_band, count(*) filter (member_cnt >= 100 and 2 * valid_cnt < member_cnt) mostly_abnormal from fin")
+def _(r: Run):
+    return r.final.agg(F.count_if(F.expr("devices_valid between 28 * valid_cnt and 32 * valid_cnt and valid_cnt > 0")).alias("density_band"), F.count_if(F.expr("score between 18 and 22")).alias("score_band"), F.count_if(F.expr("member_cnt >= 100 and 2 * valid_cnt < member_cnt")).alias("mostly_abnormal"))
+
+
+@query("j14_run_lengths", "select run_len, count(*) runs from rn where run_len <= 5 group by 1")
+def _(r: Run):
+    return r.runs[1].where("run_len <= 5").groupBy("run_len").agg(F.count(F.lit(1)).alias("runs"))
+
+
+@query("j15_f_composition", f"select count(*) filter (not dense) fail_density, count(*) filter (dense and not in_run) fail_run from {_ATOM_RUNS} where atom27 in (select atom27 from f)")
+def _(r: Run):
+    inside = _atom_runs(r).join(r.f.select("atom27").distinct(), "atom27", "left_semi")
+    return inside.agg(F.count_if(~F.col("dense")).alias("fail_density"), F.count_if(F.col("dense") & ~F.col("in_run")).alias("fail_run"))
+
+
+_WHATIF = "select {v} least_valid, {l} least_run, count(*) runs, cast(sum(n) as bigint) atoms from (select count(*) n from (select atom27 - row_number() over (order by atom27) g from atm where valid_cnt >= {v}) group by g) where n >= {l}"
+
+
+@query("j21_whatif_runs", " union all ".join(_WHATIF.format(v=v, l=least) for v, least in ((7, 3), (5, 2))))
+def _(r: Run):
+    def tried(v: int, least: int) -> DataFrame:
+        runs = S.runs(S.atoms(r.r1, v), least)[1].where("not short_run")
+        return runs.agg(F.lit(v).alias("least_valid"), F.lit(least).alias("least_run"), F.count(F.lit(1)).alias("runs"), F.sum("run_len").alias("atoms"))
+
+    return tried(7, 3).unionByName(tried(5, 2))
+
+
+@query("j25_trace", "select m.ip, b.block, fm.final, lab.lib from mem m left join blk b using (ip) left join fm using (ip) left join lab using (ip)")
+def _(r: Run):
+    out = r.members.select("ip").join(r.blocked.select("ip", "block"), "ip", "left").join(r.final_members.select("ip", "final"), "ip", "left")
+    return out.join(r.labelled.select("ip", "lib"), "ip", "left")
+
+
+@query("j26_block_detail", "select 'final' kind, final id, ip_start, ip_end, tier, score from fin union all select 'natural', block, ip_start, ip_end, tier, score from pre")
+def _(r: Run):
+    part = lambda df, kind, key: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), "ip_start", "ip_end", "tier", "score")
+    return part(r.final, "final", "final").unionByName(part(r.pre, "natural", "block"))
+
+
+@query("j30_shard_matrix", "select ip >> 12 shard, count(*) members, count(*) filter (lib = 'H') h, count(*) filter (lib = 'E') e, count(*) filter (lib = 'F') f, count(*) filter (lib = 'D') d from lab group by 1")
+def _(r: Run):
+    return r.labelled.groupBy(F.shiftright("ip", 12).alias("shard")).agg(F.count(F.lit(1)).alias("members"), *[F.count_if(F.col("lib") == x).alias(x.lower()) for x in "HEFD"])
+
+
+@query("k4_no_ghosts", "select count(*) ghosts from lab where lib <> 'D' and ip not in (select ip from mem)")
+def _(r: Run):
+    found = r.h.select("ip").unionByName(r.e.select("ip")).unionByName(r.f.select("ip"))
+    return found.join(r.members, "ip", "left_anti").agg(F.count(F.lit(1)).alias("ghosts"))
+
+
+@query("k5_dropped_mapped", "select count(*) dropped, count(*) filter (ip not in (select ip from blk)) unmapped from mem where ip not in (select ip from fm)")
+def _(r: Run):
+    gone = r.members.select("ip").join(r.final_members.select("ip"), "ip", "left_anti").join(r.blocked.select("ip", "block"), "ip", "left")
+    return gone.agg(F.count(F.lit(1)).alias("dropped"), F.count_if(F.col("block").isNull()).alias("unmapped"))
+
+
+@query("k6_h_valid", "select count(*) filter (tier = 'invalid') invalid_tiers, count(*) filter (valid_cnt < 4) too_few from hb")
+def _(r: Run):
+    return r.h_blocks.agg(F.count_if(F.col("tier") == "invalid").alias("invalid_tiers"), F.count_if(F.col("valid_cnt") < 4).alias("too_few"))
+
+
+@query("k7_f_outside_e", "select count(*) hits from f where atom27 in (select atom27 from e)")
+def _(r: Run):
+    return r.f.join(r.e.select("atom27").distinct(), "atom27", "left_semi").agg(F.count(F.lit(1)).alias("hits"))
+
+
+@query("k8_empty_sides", "select count(*) filter (l_cnt = 0 or r_cnt = 0) empty_sides, count(*) filter (l_cnt = 0 or r_cnt = 0) > 0 warn from ev")
+def _(r: Run):
+    n = F.count_if((F.col("l_cnt") == 0) | (F.col("r_cnt") == 0))
+    return r.events.agg(n.alias("empty_sides"), (n > 0).alias("warn"))
