@@ -486,3 +486,23 @@ def _(r: Run):
 def _(r: Run):
     n = F.count_if((F.col("l_cnt") == 0) | (F.col("r_cnt") == 0))
     return r.events.agg(n.alias("empty_sides"), (n > 0).alias("warn"))
+
+
+@query("j29_overview", "select (select count(*) from mem) members, (select count(*) from pre) blocks, (select count(*) from ev) events, (select count(*) from fin) final_blocks, (select count(*) from hb) h_blocks, (select count(*) from rn where not short_run) e_runs")
+def _(r: Run):
+    n = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"))
+    parts = {"members": r.members, "blocks": r.pre, "events": r.events, "final_blocks": r.final, "h_blocks": r.h_blocks, "e_runs": r.runs[1].where("not short_run")}
+    rows = [n(df, kind) for kind, df in parts.items()]
+    every = rows[0]
+    for x in rows[1:]:
+        every = every.unionByName(x)
+    return every.agg(*[F.max(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in parts])
+
+
+@query("k11_member_flow", "select ip >> 12 shard, count(*) kept, count(*) filter (ip in (select ip from h)) h, count(*) filter (ip in (select ip from r1)) r1, count(*) filter (ip in (select ip from e)) + count(*) filter (ip in (select ip from f)) e_f from fm group by 1")
+def _(r: Run):
+    n = lambda df, name: df.groupBy(F.shiftright("ip", 12).alias("shard")).agg(F.count(F.lit(1)).alias(name))
+    out = n(r.final_members, "kept")
+    for df, name in ((r.h, "h"), (r.r1, "r1"), (r.e.select("ip").unionByName(r.f.select("ip")), "e_f")):
+        out = out.join(n(df, name), "shard", "left")
+    return out.fillna(0)
