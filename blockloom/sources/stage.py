@@ -5,19 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and read it back: later plans start from the table, and lost executors cost no recomputation.
-
-    The folder is spark.checkpoint.dir; where the session has none (tests), one under /tmp is set.
-    """
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where the session has none (tests), one under /tmp is set."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
         top = f"file://{tempfile.mkdtemp(prefix='spark-shared-', dir='/tmp')}"
         spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top.rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    return top.rstrip("/")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write df once and read it back: later plans start from the table, and lost executors cost no recomputation."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
