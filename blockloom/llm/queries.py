@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from blockloom.llm import brown, decontam, langid, neardup, pieces, pii, quality, sharding, substring, token_store
 from blockloom.llm.common import crc_mod, table
+from blockloom.llm.sql import SQL
 
 #: Key of the surrogates; in use, a secret of the user's.
 SURROGATE_KEY = "replace this key"
@@ -67,4 +68,4 @@ def op10_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_shards, op2_token_store, op3_piece_nbest, op4_substring_dedup, op5_ppm_language, op6_winnow_decontam, op7_surrogates, op8_brown_bigrams, op9_minmax_neardup, op10_ngram_ratio)}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
