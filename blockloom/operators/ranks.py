@@ -42,3 +42,33 @@ def balanced(df: DataFrame, size: str, key: str, target: int, by: str, out: str
     w = Window.partitionBy(by)
     d = df.withColumns({"__cum": F.sum(size).over(w.orderBy(F.desc(size), key).rowsBetween(Window.unboundedPreceding, 0)), "__all": F.sum(size).over(w)})
     return d.withColumn(out, F.expr(f"__cum * ((__all + {target - 1}) div {target}) div (__all + 1) + 1")).drop("__cum", "__all")
+
+
+def shard_counts(df: DataFrame, bounds: list[int], key: str = "ip") -> list[int]:
+    """Rows in each half-open range of the bounds; one pass, one row a range comes back."""
+    at = sum(((F.col(key) >= b).cast("int") for b in bounds[1:-1]), F.lit(0))
+    found = {r["at"]: r["n"] for r in df.where(F.col(key).between(bounds[0], bounds[-1] - 1)).groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [found.get(i, 0) for i in range(len(bounds) - 1)]
+
+
+def rebalanced(df: DataFrame, bounds: list[int], eps: float = 0.05, rounds: int = 3, key: str = "ip") -> tuple[list[int], list[int]]:
+    """(bounds, counts) after at most `rounds` moves of the inner bounds.
+
+    A range is over (+1) or under (-1) when its rows leave the mean by more than eps. Each inner bound moves towards the
+    fuller side by 5 % of the shorter of its two ranges, so no range vanishes. A range without rows is an error. Only
+    the bounds and one count a range are on the driver.
+    """
+    bounds = list(bounds)
+    for left in range(rounds, -1, -1):
+        counts = shard_counts(df, bounds, key)
+        if 0 in counts:
+            raise ValueError(f"range {counts.index(0)} of the plan has no rows")
+        mean = sum(counts) / len(counts)
+        load = [(n > mean * (1 + eps)) - (n < mean * (1 - eps)) for n in counts]
+        if not left or not any(load):
+            break
+        for i in range(1, len(bounds) - 1):
+            pull = load[i] - load[i - 1]
+            step = int(0.05 * min(bounds[i] - bounds[i - 1], bounds[i + 1] - bounds[i]))
+            bounds[i] += step * ((pull > 0) - (pull < 0))
+    return bounds, counts

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +37,14 @@ def readiness(df: DataFrame, required: list[str], runs: DataFrame | None = None)
         out = runs.select("run_id").distinct().join(out, "run_id", "left").fillna(0, ["rows", "complete"])
     state = F.when(F.col("rows") == 0, "missing").when(F.col("complete") < F.col("rows"), "partial").otherwise("ready")
     return out.withColumn("state", state)
+
+
+def write_config(spark: SparkSession, path: str, run_id: str, values: dict) -> None:
+    """A run's settings as rows (run_id, key, JSON value); settings written before are kept where `values` has no such key."""
+    made = spark.createDataFrame([(k, json.dumps(v, sort_keys=True)) for k, v in values.items()], "key string, value string").withColumn("run_id", F.lit(run_id))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        old = spark.read.schema("key string, value string, run_id string").parquet(path).where(F.col("run_id") == run_id)
+        kept = old.join(made.select("key"), "key", "left_anti").select("key", "value").collect()  # settings of one run
+        made = made.unionByName(spark.createDataFrame(kept, "key string, value string").withColumn("run_id", F.lit(run_id)))
+    made.coalesce(1).write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
