@@ -85,6 +85,7 @@ class Run:
     @cached_property
     def labelled(self) -> DataFrame:
         """Every member with its library: H, E, F or D (dropped)."""
-        lib = lambda df, name: df.select("ip", F.lit(name).alias("lib"))
+        columns = self.members.columns  # every part still has them, so members aren't joined again
+        lib = lambda df, name: df.select(*columns, F.lit(name).alias("lib"))
         dropped = self.blocked.join(self.pre.where("not keep_flag").select("block"), "block", "left_semi")
-        return lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D")).join(self.members, "ip")
+        return lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D"))
