@@ -145,3 +145,25 @@ def test_op10(spark, sf, rows, odd):
 def test_pipeline(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.where("not decoded_ok").count() == 0 and 500 < out.count() < 1000
+
+
+def test_token_segments_joined():
+    """Ids of texts with all kinds of white space, encoded by joined segments, are the tokenizer's."""
+    import random
+
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from blockloom.llm.token_store import Encoder
+    from blockloom.llm.words import chunks
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model, coder, dice = Tokenizer.from_file(path), Encoder(path), random.Random(5)
+    bits = [" ", "  ", "\n", "\t", "\r\n", " ", "\u0085", "　", " ", "a", "b", "don't", "'s", "It's", "12", "345", "é", "中文", "!", "...", "\x1c", "\x00", "🙂", "​", "᠎"]
+    texts = ["", " ", "\n"] + ["".join(dice.choice(bits) for _ in range(dice.randrange(40))) for _ in range(5000)]
+    for lo, hi, data, offsets in chunks(pa.array(texts)):
+        ids, sizes = coder.encode(data, offsets)
+        ends = sizes.cumsum()
+        for i in range(hi - lo):
+            assert ids[ends[i] - sizes[i] : ends[i]].tolist() == model.encode(texts[lo + i], add_special_tokens=False).ids
