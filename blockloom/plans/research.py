@@ -248,8 +248,8 @@ def _(r: Run):
     return r.labelled.where("lib <> 'D'").groupBy("lib").agg(n.alias("ips"), F.countDistinct("operator").alias("operators"), s("devices").alias("devices"), s("reports").alias("reports"), F.round(S.ratio(s("mobile"), s("devices")), 6).alias("mobile_share"), F.round(S.ratio(F.count_if(~F.col("is_valid")), n), 6).alias("abnormal_share"))
 
 
-def listing(df: DataFrame, sort: str, key: str, allowed: list[str], least: dict | None = None, most: dict | None = None, text: tuple[str, str] | None = None, offset: int = 0, limit: int = 50) -> DataFrame:
-    """A page of a summary: bounds, a text filter, descending order with nulls last and ties by key."""
+def listing(df: DataFrame, sort: str, key: str, allowed: list[str], least: dict | None = None, most: dict | None = None, text: tuple[str, str] | None = None, exclude: DataFrame | None = None, offset: int = 0, limit: int = 50) -> DataFrame:
+    """A page of a summary: bounds, a text filter, without the keys of `exclude`, in descending order with nulls last and ties by key."""
     if sort not in allowed:
         raise ValueError(f"can't sort by {sort!r}")
     for c, v in (least or {}).items():
@@ -258,12 +258,14 @@ def listing(df: DataFrame, sort: str, key: str, allowed: list[str], least: dict
         df = df.where(F.col(c) <= v)
     if text:
         df = df.where(F.contains(F.lower(text[0]), F.lit(text[1].lower())))
+    if exclude is not None:
+        df = df.join(exclude.select(key), key, "left_anti")
     return df.orderBy(F.desc_nulls_last(sort), key).offset(offset).limit(limit)
 
 
-@query("j23_listing", "select final, tier, member_cnt, score from fin where member_cnt >= 3 and member_cnt <= 400 and contains(tier, 'm') order by score desc nulls last, final limit 40 offset 20")
+@query("j23_listing", "select final, tier, member_cnt, score from fin where member_cnt >= 3 and member_cnt <= 400 and contains(tier, 'm') and not (mobile_valid > 20 and valid_cnt >= 4) order by score desc nulls last, final limit 40 offset 20")
 def _(r: Run):
-    return listing(r.final.select("final", "tier", "member_cnt", "score"), "score", "final", ["score", "member_cnt"], {"member_cnt": 3}, {"member_cnt": 400}, ("tier", "M"), 20, 40)
+    return listing(r.final.select("final", "tier", "member_cnt", "score"), "score", "final", ["score", "member_cnt"], {"member_cnt": 3}, {"member_cnt": 400}, ("tier", "M"), r.final.where("mobile_valid > 20 and valid_cnt >= 4"), 20, 40)
 
 
 @query("j24_neighbours", ", rk as (select ip, row_number() over (order by ip) rn from mem) select t.ip target, cast(n.rn - t.rn as bigint) distance, n.ip, lib from rk t join rk n on n.rn between t.rn - 3 and t.rn + 3 and n.rn <> t.rn join lab l on l.ip = n.ip where t.ip in (select cut_ip from cuts)")
