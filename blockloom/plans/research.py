@@ -274,9 +274,9 @@ def _(r: Run):
     return near.join(r.labelled.select("ip", "lib"), "ip").select("target", F.col("distance").cast("long").alias("distance"), "ip", "lib")
 
 
-@query("j27_shard_blocks", "select final, ip_start, ip_end, tier from fin where ip_start >> 12 = 4100 order by final limit 50 offset 10")
+@query("j27_shard_blocks", "select final, ip_start, ip_end, tier from fin where ip_start >> 12 = 4096 order by final limit 50 offset 10")
 def _(r: Run):
-    return r.final.where(F.shiftright("ip_start", SHARD_BITS) == 4100).orderBy("final").offset(10).limit(50).select("final", "ip_start", "ip_end", "tier")
+    return r.final.where(F.shiftright("ip_start", SHARD_BITS) == 4096).orderBy("final").offset(10).limit(50).select("final", "ip_start", "ip_end", "tier")
 
 
 @query("k1_step_metrics", "select 'source' step, ip >> 12 shard, 'members' metric, count(*) v from mem group by 2 union all select 'source', ip >> 12, 'valid', count(*) filter (is_valid) from mem group by 2 union all select 'source', -1, 'members', count(*) from mem union all select 'source', -1, 'valid', count(*) filter (is_valid) from mem union all select 'final', ip_start >> 12, 'blocks', count(*) from fin group by 2 union all select 'final', -1, 'blocks', count(*) from fin")
