@@ -3,7 +3,8 @@
 Entities are found by one pattern of alternatives. Each distinct entity of the corpus gets one surrogate, derived from a keyed
 hash of the entity: letters become letters of the same case, digits digits, separators stay; each kind has its own fixed
 parts. The same entity gets the same surrogate everywhere (coreference). Two entities of one surrogate, or a surrogate that
-is itself an entity of the corpus, are a collision: the later one in order of text draws again until none is left.
+is itself an entity of the corpus, are a collision: the later one in order of text draws again until none is left. From the
+third draw on a surrogate is longer by keyed characters, more with each draw, so there is always room for another.
 """
 
 from __future__ import annotations
@@ -67,15 +68,19 @@ def luhn(e: Column) -> Column:
     return F.aggregate(added, F.lit(0), lambda a, x: a + x) % 10
 
 
-def _surrogate(kind: Column, e: Column, d: Column) -> Column:
+def _surrogate(kind: Column, e: Column, d: Column, x: Column) -> Column:
+    """The surrogate of e from the hex digits d, lengthened by the hex digits x, of which the first draws have none."""
     hexed = lambda at, n: F.conv(F.substring(d, at, n), 16, 10).cast("int")
-    local, domain = F.substring_index(e, "@", 1), F.concat(F.lit("mail"), (hexed(100, 2) % 10).cast("string"), F.lit(".example.net"))
-    card0 = _drawn(e, d, 1)
+    more = F.translate(x, "abcdef", "012345")
+    local, domain = F.substring_index(e, "@", 1), F.concat(F.when(x != "", F.concat(F.lit("h"), x, F.lit("."))).otherwise(""), F.lit("mail"), (hexed(100, 2) % 10).cast("string"), F.lit(".example.net"))
+    card0 = F.concat(_drawn(e, d, 1), more)
     # a card number that has a right check digit gets one: the last digit is set to what the sum asks for
     body = F.concat(card0.substr(F.lit(1), F.length(card0) - 1), F.lit("0"))
     card = F.when(luhn(e) == 0, F.concat(card0.substr(F.lit(1), F.length(card0) - 1), F.pmod(10 - luhn(body), F.lit(10)).cast("string"))).otherwise(card0)
     # the reserved block 240.0.0.0/4: no host has such an address
     ip = F.concat_ws(".", (240 + hexed(1, 2) % 15).cast("string"), *[(hexed(3 + 3 * i, 3) % 256).cast("string") for i in range(3)])
+    # beyond it the documentation block 2001:db8::/32
+    ip = F.when(x == "", ip).otherwise(F.concat(F.lit("2001:db8"), F.regexp_replace(F.substring(d, 1, 24), "(.{4})", ":$1")))
     title = F.regexp_extract(e, r"^([^ ]+ )", 1)
     script = F.when(e.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
     male = F.regexp_replace(F.trim(title), r"\.", "").isin(MALE)
@@ -83,29 +88,33 @@ def _surrogate(kind: Column, e: Column, d: Column) -> Column:
     def pick(values: list[str], at: int) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), hexed(at, 2) % len(values) + 1)
 
-    family = lambda s: F.initcap(F.concat(*[pick(SYLLABLES[s], 10 + 2 * i) for i in range(4)]))
+    further = lambda s: F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.element_at(F.array(*map(F.lit, SYLLABLES[s])), F.conv(F.when(c != "", c), 16, 10).cast("int") + 1), F.lit(""))), "")
+    family = lambda s: F.initcap(F.concat(*[pick(SYLLABLES[s], 10 + 2 * i) for i in range(4)], further(s)))
     given = lambda s: F.when(male, pick(GIVEN["m", s], 30)).otherwise(pick(GIVEN["f", s], 30))
     two = e.rlike(r"^[^ ]+ [^ ]+ [^ ]+$")
     named = lambda s: F.concat(title, F.when(two, F.concat(given(s), F.lit(" "), family(s))).otherwise(family(s)))
     name = F.when(script == "cyrillic", named("cyrillic")).otherwise(named("latin"))
     phone = F.when(e.startswith("+"), F.concat(F.regexp_extract(e, r"^(\+\d{1,3})", 1), _drawn(F.regexp_replace(e, r"^\+\d{1,3}", ""), d))).otherwise(_drawn(e, d))
     return (
-        F.when(kind == "email", F.concat(_drawn(local, d), F.lit("@"), domain)).when(kind == "access_key", F.concat(F.substring(e, 1, 4), _drawn(F.substring(e, 5, 16), d)))
-        .when(kind == "secret", F.substring(d, 1, F.length(e))).when(kind == "ip", ip).when(kind == "card", card).when(kind == "name", name).when(kind == "phone", phone).otherwise(_drawn(e, d))
+        F.when(kind == "email", F.concat(_drawn(local, d), F.lit("@"), domain)).when(kind == "access_key", F.concat(F.substring(e, 1, 4), _drawn(F.substring(e, 5, 16), d), F.translate(x, "0123456789abcdef", "ABCDEFGHIJKLMNOP")))
+        .when(kind == "secret", F.concat(F.substring(d, 1, F.length(e)), x)).when(kind == "ip", ip).when(kind == "card", card).when(kind == "name", name)
+        .when(kind == "phone", F.concat(phone, F.when(x != "", F.concat(F.lit(" x"), more)).otherwise(""))).otherwise(F.concat(_drawn(e, d), F.when(x != "", F.concat(F.lit("-"), more)).otherwise("")))
     )
 
 
-def surrogates(entities: DataFrame, secret: str, rounds: int = 16) -> DataFrame:
+def surrogates(entities: DataFrame, secret: str) -> DataFrame:
     """(e, kind, s) for distinct entities e: no two share a surrogate and none is itself an entity."""
     frame = entities.select("e").distinct().select("e", _kind(F.col("e")).alias("kind"), F.lit(0).alias("draw"))
 
     def drawn(f: DataFrame) -> DataFrame:
         seed = lambda part: F.sha2(F.concat_ws("\x1f", F.lit(secret), F.lit(part), "kind", "e", F.col("draw").cast("string")).cast("binary"), 256)
-        d = f.withColumn("d", F.concat(seed("a"), seed("b")))
-        return d.select("e", "kind", "draw", _surrogate(F.col("kind"), F.col("e"), F.col("d")).alias("s"))
+        # none in draws 0 and 1, then 8 hex digits more each draw, 64 at most: 2^256 surrogates
+        longer = seed("c").substr(F.lit(1), F.greatest(F.lit(0), F.least(F.lit(64), 8 * (F.col("draw") - 1))))
+        d = f.withColumn("d", F.concat(seed("a"), seed("b"))).withColumn("x", longer)
+        return d.select("e", "kind", "draw", _surrogate(F.col("kind"), F.col("e"), F.col("d"), F.col("x")).alias("s"))
 
     held = staged(drawn(frame), "surrogates")
-    for _ in range(rounds):
+    while True:
         taken = held.groupBy("s").agg(F.min("e").alias("first"))
         clash = held.join(taken, "s").where("e <> first").select("e").unionByName(held.select(F.col("s")).join(held.select(F.col("e").alias("s")), "s", "left_semi").join(held.select("e", "s"), "s").select("e")).distinct()
         clash = staged(clash, "clashes")
@@ -113,7 +122,6 @@ def surrogates(entities: DataFrame, secret: str, rounds: int = 16) -> DataFrame:
             return held.select("e", "kind", "s")
         again = drawn(held.join(clash, "e", "left_semi").select("e", "kind", (F.col("draw") + 1).alias("draw")))
         held = staged(held.join(clash, "e", "left_anti").unionByName(again), "surrogates")
-    raise RuntimeError(f"surrogates still collide after {rounds} rounds")
 
 
 def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text") -> DataFrame:

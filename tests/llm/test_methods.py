@@ -119,6 +119,17 @@ def test_op7_each_kind_alone(spark):
         assert r.n_entities == 1 and alone[r.doc_id] not in r.text
 
 
+def test_op7_more_entities_than_short_surrogates(spark):
+    """2,000 addresses of one letter against 260 surrogates of that shape, 70,000 single names against 65,536."""
+    mails = spark.range(2000).selectExpr("concat('a@h', id, '.com') e")
+    names = spark.range(70_000).selectExpr("concat('Mr A', translate(cast(id as string), '0123456789', 'bcdefghijk')) e")
+    given = pii.surrogates(mails.unionByName(names), "k").cache()
+    assert given.count() == given.select("s").distinct().count() == 72_000
+    assert given.join(given.select(given.e.alias("s")), "s").count() == 0
+    assert given.where("kind = 'email' and s rlike '^[a-z]@(h[0-9a-f]+[.])?mail[0-9][.]example[.]net$'").count() == 2000
+    assert given.where("kind = 'name' and s rlike '^Mr [A-Z][a-z]+$'").count() == 70_000
+
+
 def test_op8(spark, sf, rows, odd):
     tokens = lambda t: [*low(t).encode().split(), None]
     train = collections.Counter(x for k, t in rows if zlib.crc32(str(k).encode()) % 5 != 1 for x in tokens(t))
