@@ -10,33 +10,53 @@ from blockloom.llm.common import ship, staged, table
 from blockloom.llm.queries import SURROGATE_KEY, tokenizer_file
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with all columns but doc_id and text under names that no operator uses, and these names in order."""
+    names = [c if c in ("doc_id", "text") else f"__{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has letters stay; lang becomes the predicted language. Learns from the labelled documents."""
+    """Documents whose text has letters stay; lang becomes the predicted language. Learns from the labelled documents.
+
+    With no labelled document nothing is learned: the documents stay all the same, with the language `und`.
+    """
     ship(spark)
-    columns = docs.columns
-    found = langid.predict(docs, langid.train(docs), columns).where("lang_pred <> 'und'")
-    return found.select(*[F.col("lang_pred" if c == "lang" else c).alias(c) for c in columns])
+    columns, trees = docs.columns, langid.train(docs)
+    named, names = _apart(docs.where(F.col("text").rlike(r"\p{L}")))
+    found = langid.predict(named, trees, names)
+    return found.select(*[F.col("lang_pred" if c == "lang" else n).alias(c) for c, n in zip(columns, names, strict=True)])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near-duplicates (five words, 0.8) stays."""
+    """Of each group of near-duplicates (five words, 0.8) the document with the least doc_id stays.
+
+    Each row is decided by itself, also where rows repeat a doc_id: of several with the least one any one stays. Rows
+    with a null doc_id are linked with nothing and stay.
+    """
     ship(spark)
-    kept = neardup.near_duplicates(docs, k=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    # numbered once and written, so that a row has the same number wherever it is read
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    named = rows.where("doc_id is not null")
+    groups = neardup.near_duplicates(named.select("__row", "text"), k=5, percent=80, key="__row").select("__row", "component_id")
+    least = groups.join(named.select("__row", "doc_id"), "__row").groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    kept = rows.join(least.select(F.col("first.__row").alias("__row")), "__row", "left_semi")
+    return kept.unionByName(rows.where("doc_id is null")).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule doesn't hold for stay."""
-    columns = docs.columns
-    kept = decontam.contamination(docs.withColumn("body", F.col("text")), table(spark, sf_dir, "benchmark"), keep=[c for c in columns if c not in ("doc_id", "text")] + ["body"]).where(~F.col("contaminated"))
-    return kept.withColumnRenamed("body", "text").select(*columns)
+    named, names = _apart(docs)
+    names = ["__body" if n == "text" else n for n in names]
+    found = decontam.contamination(named.withColumn("__body", F.col("text")), table(spark, sf_dir, "benchmark"), keep=[n for n in names if n != "doc_id"])
+    return found.where(~F.col("contaminated")).select(*names).toDF(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets replaced; n_chars follows the text."""
-    columns = docs.columns
-    done = pii.replace_entities(docs, SURROGATE_KEY)
-    return done.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    named, names = _apart(docs)
+    done = pii.replace_entities(named, SURROGATE_KEY)
+    return done.select(*[(F.length("text").cast("long") if c == "n_chars" else F.col(n)).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

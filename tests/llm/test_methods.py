@@ -165,6 +165,23 @@ def test_pipeline(spark, sf):
     assert out.where("not decoded_ok").count() == 0 and 500 < out.count() < 1000
 
 
+def test_stages_keep_rows(spark, sf):
+    """Null and repeated ids, no language learned, and columns named as the operators' own."""
+    long = " ".join(f"w{i}" for i in range(60))
+    data = [(None, "no id at all"), (None, long), (1, long), (1, long), (1, "another text under the same id"), (2, long + " end"), (3, None), (4, "12 34")]
+    df = spark.createDataFrame([(*r, None, i, f"s{i}", -1, "x", "y") for i, r in enumerate(data)], "doc_id long, text string, lang string, n_chars long, score string, n_entities int, contaminated string, lang_pred string")
+    rows = lambda d: sorted((r.n_chars, r.score, r.n_entities, r.contaminated, r.lang_pred) for r in d.collect())
+    want = lambda at: [(i, f"s{i}", -1, "x", "y") for i in at]
+    first = corpus_pipeline.language(spark, df, sf)
+    assert rows(first) == want([0, 1, 2, 3, 4, 5]) and {r.lang for r in first.collect()} == {"und"}
+    # rows of null ids stay, of the others one of each group
+    got = rows(corpus_pipeline.near_duplicates(spark, df, sf))
+    assert got in (want([0, 1, 2, 4, 6, 7]), want([0, 1, 3, 4, 6, 7]))
+    assert rows(corpus_pipeline.decontaminate(spark, df, sf)) == want(range(8))
+    out = corpus_pipeline.private(spark, df, sf)
+    assert out.columns == df.columns and sorted((r.score, r.n_entities) for r in out.collect()) == [(f"s{i}", -1) for i in range(8)]
+
+
 def test_token_segments_joined():
     """Ids of texts with all kinds of white space, encoded by joined segments, are the tokenizer's."""
     import random
