@@ -6,8 +6,11 @@ bytes: escape method C); else the escape D/(T+D) is paid and the next shorter co
 costs 8 bits. A context that was never seen is skipped free of charge. Statistics are frozen before scoring, so a text's
 code length is an exact sum and doesn't depend on other texts.
 
-Counts cover all training documents. The tree's size is bounded: the `nodes` most frequent (language, context, byte)
-entries of each of the orders 3 and 2 are kept, so the order varies with what was seen often enough.
+Counts cover all training documents, and every counted context is used. What is in memory at once is bounded all the same:
+contexts of orders 3 and 2 fall in slices by the two bytes before, so that a slice has all that a byte after these two
+asks for; contexts of orders 1 and 0 (65,792 entries a language at most) are in each. Texts are scored against one slice
+after another, and their code lengths added up. A slice has at most `slice_entries` entries of order 3 or those of a
+single pair of bytes (65,536 a language at most).
 """
 
 from __future__ import annotations
@@ -16,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blockloom.llm.common import staged
 from blockloom.llm.words import _FOLD, chunks
 
-ORDER, NODES = 3, 300_000
+ORDER, SLICE = 3, 1_000_000
 
 
 def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -78,7 +82,29 @@ class Trees:
         return out
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", nodes: int = NODES) -> Trees:
+def _pair() -> Column:
+    """The two bytes before the last of a key."""
+    return F.shiftright(F.col("k"), 8).bitwiseAND(0xFFFF)
+
+
+class Model:
+    """All counts (lang, k, n) of order 3 as a table, those of orders 1 and 0 at hand, and the slices by pairs of bytes."""
+
+    def __init__(self, langs: list[str], counts: DataFrame | None = None, low: dict | None = None, slices: list[tuple[int, int]] | None = None):
+        self.langs, self.counts, self.low, self.slices = langs, counts, low or {}, slices or []
+
+    def trees(self, i: int) -> Trees:
+        """The trees of slice i; orders 3 and 2 have what stands after its pairs of bytes."""
+        lo, hi = self.slices[i]
+        got = self.counts.where(_pair().between(lo, hi)).toPandas()
+        lang, k, n = (got[c].to_numpy(np.int64) for c in ("lang", "k", "n"))
+        both, at = np.unique(lang << 24 | k & 0xFFFFFF, return_inverse=True)
+        two = np.zeros(len(both), np.int64)
+        np.add.at(two, at, n)
+        return Trees(self.langs, {3: (lang, k, n), 2: (both >> 24, both & 0xFFFFFF, two), **self.low})
+
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", slice_entries: int = SLICE) -> Model:
     """Count all texts of docs that have a language."""
     spark = docs.sparkSession
     # one row a language; the number of languages is the number of labels
@@ -115,54 +141,77 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", nodes: int =
                 yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000].astype(np.int64))], names=["key", "n"])
 
     if not langs:
-        return Trees([], {})
+        return Model([])
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
-    counted = known.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).persist()
-    entries = {}
-    for order in range(ORDER, -1, -1):
-        own = F.shiftright("key", 32).alias("lang"), F.col("key").bitwiseAND((1 << 8 * (order + 1)) - 1).alias("k")
-        per = counted.groupBy(*own).agg(F.sum("n").alias("n"))
-        if order >= 2:  # orders 1 and 0 have 65,536 and 256 entries a language at most
-            per = per.orderBy(F.desc("n"), "lang", "k").limit(nodes * len(langs))
-        got = per.toPandas()
-        entries[order] = (got["lang"].to_numpy(), got["k"].to_numpy(), got["n"].to_numpy())
-    counted.unpersist()
-    return Trees(langs, entries)
-
-
-def predict(docs: DataFrame, trees: Trees, keep: list[str], text: str = "text") -> DataFrame:
+    counted = known.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = staged(counted.select(F.shiftright("key", 32).alias("lang"), F.col("key").bitwiseAND(0xFFFFFFFF).alias("k"), "n"), "contexts")
+    low = {}
+    for order in (1, 0):
+        got = counts.groupBy("lang", F.col("k").bitwiseAND((1 << 8 * (order + 1)) - 1).alias("k")).agg(F.sum("n").alias("n")).toPandas()
+        low[order] = (got["lang"].to_numpy(), got["k"].to_numpy(), got["n"].to_numpy())
+    slices, held = [], 0
+    for pair, n in sorted(counts.groupBy(_pair().alias("pair")).agg(F.count(F.lit(1)).alias("n")).collect()):  # at most 65,536
+        if slices and held + n <= slice_entries:
+            slices[-1], held = (slices[-1][0], pair), held + n
+        else:
+            slices, held = [*slices, (pair, pair)], n
+    # the slices meet, so that each pair is in one, seen or not
+    ends = [*(lo - 1 for lo, _ in slices[1:]), 0xFFFF]
+    return Model(langs, counts, low, [(lo if i else 0, hi) for i, ((lo, _), hi) in enumerate(zip(slices, ends, strict=bool(slices)))])
+
+
+def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """Columns `keep` of docs and lang_pred, score for every row.
 
     lang_pred: the language with the least code length of the whole text, the first in name of equals; `und` if the text
     is null or has no letter, or no language was learned. score: that language's probability if all are equally likely
-    beforehand, 0 for `und`. The languages' trees are sent to all executors; their size is bounded by `nodes`.
+    beforehand, 0 for `und`. One slice of the model at a time is sent to all executors.
     """
-    model = docs.sparkSession.sparkContext.broadcast(trees)
+    langs, names = model.langs, [f"c{i}" for i in range(len(keep))]
     kept = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).alias("t"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = model.value
-        for b in batches:
-            letters = b.column(len(keep) + 1).to_numpy(zero_copy_only=False)
-            lang, score = [], []
-            for lo, hi, data, offsets in chunks(b.column(len(keep))):
-                sums = np.zeros((hi - lo, len(trees.langs)))
-                if len(data) and trees.langs:
-                    distinct, back = np.unique(_keys(_FOLD[data], offsets), return_inverse=True)
-                    bits = trees.bits(distinct)
-                    full = np.flatnonzero(np.diff(offsets))
-                    for i in range(len(trees.langs)):
-                        sums[full, i] = np.add.reduceat(bits[back, i], offsets[full])
-                for i in range(hi - lo):
-                    if not letters[lo + i] or not trees.langs:
-                        lang.append("und")
-                        score.append(0.0)
-                    else:
-                        best = int(np.argmin(sums[i]))
-                        lang.append(trees.langs[best])
-                        score.append(float(1 / np.exp2(np.maximum(sums[i, best] - sums[i], -1000)).sum()))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*(f"c{i}" for i in range(len(keep))), "lang_pred", "score"])
-
     types = dict(kept.dtypes)
-    out = kept.mapInArrow(run, ", ".join(f"c{i} {types[f'c{i}']}" for i in range(len(keep))) + ", lang_pred string, score double")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    schema = "".join(f"{c} {types[c]}, " for c in names)
+
+    def scored(frame: DataFrame, i: int, last: bool) -> DataFrame:
+        sent, (lo_pair, hi_pair) = (docs.sparkSession.sparkContext.broadcast(model.trees(i)), model.slices[i]) if model.slices else (None, (0, 0))
+        alone = len(model.slices) < 2
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees = sent.value if sent else None
+            for b in batches:
+                letters = b.column(len(names) + 1).to_numpy(zero_copy_only=False)
+                sums = np.zeros((b.num_rows, len(langs)))
+                if "sums" in b.schema.names:
+                    sums += np.array(b.column("sums").to_pylist(), np.float64).reshape(sums.shape)
+                for lo, hi, data, offsets in chunks(b.column(len(names))):
+                    if len(data) and trees:
+                        distinct, back = np.unique(_keys(_FOLD[data], offsets), return_inverse=True)
+                        if alone:
+                            bits = trees.bits(distinct)
+                        else:  # the other slices' keys add nothing here
+                            pair = distinct >> np.uint32(8) & np.uint32(0xFFFF)
+                            mine = (pair >= lo_pair) & (pair <= hi_pair)
+                            bits = np.zeros((len(distinct), len(langs)))
+                            bits[mine] = trees.bits(distinct[mine])
+                        full = np.flatnonzero(np.diff(offsets))
+                        for j in range(len(langs)):
+                            sums[lo + full, j] += np.add.reduceat(bits[back, j], offsets[full])
+                if not last:
+                    flat = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * len(langs)), pa.array(sums.reshape(-1)))
+                    yield pa.RecordBatch.from_arrays([*b.columns[: len(names) + 2], flat], names=[*names, "t", "letters", "sums"])
+                    continue
+                lang, score = [], []
+                for row, has in zip(sums, letters, strict=True):
+                    best = int(np.argmin(row)) if has and langs else -1
+                    lang.append("und" if best < 0 else langs[best])
+                    score.append(0.0 if best < 0 else float(1 / np.exp2(np.maximum(row[best] - row, -1000)).sum()))
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
+
+        return frame.mapInArrow(run, schema + ("lang_pred string, score double" if last else "t string, letters boolean, sums array<double>"))
+
+    frame, several = kept, max(1, len(model.slices))
+    for i in range(several):
+        frame = scored(frame, i, i + 1 == several)
+        if i + 1 < several:  # one slice at a time in an executor's memory
+            frame = staged(frame, "code-lengths")
+    return frame.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")

@@ -60,6 +60,44 @@ def test_op5(spark, sf, odd):
     assert langid.predict(odd, langid.train(odd.limit(0)), ["doc_id"]).where("lang_pred <> 'und'").count() == 0
 
 
+def test_op5_all_contexts(spark):
+    """A hot language with far more contexts than a slice holds and a rare one: code lengths as by brute force, none left out."""
+    import random
+
+    dice = random.Random(3)
+    texts = [("aa", "".join(dice.choice("abcdefghij ") for _ in range(300))) for _ in range(40)] + [("zz", "the quick brown fox jumps over the lazy dog")]
+    texts += [(None, "quick dog 7"), (None, "abc hij"), (None, "lazy ~ fox")]
+    df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    n = collections.Counter((x, o, t[max(0, i - o) : i].rjust(o), t[i]) for x, t in texts if x for i in range(len(t)) for o in range(4))
+    after = collections.defaultdict(dict)
+    for (x, o, c, y), k in n.items():
+        after[x, o, c][y] = k
+
+    def bits(x, t):
+        out = 0
+        for i in range(len(t)):
+            for o in (3, 2, 1, 0):
+                seen = after.get((x, o, t[max(0, i - o) : i].rjust(o)))
+                if seen is None:
+                    continue
+                span = sum(seen.values()) + len(seen)
+                if t[i] in seen:
+                    out += math.log2(span / seen[t[i]])
+                    break
+                out += math.log2(span / len(seen))
+            else:
+                out += 8
+        return out
+
+    for size in (500, langid.SLICE):
+        model = langid.train(df, slice_entries=size)
+        assert (len(model.slices) > 3) == (size == 500)
+        assert sum(len(model.trees(i).levels[j][0][0]) for i in range(len(model.slices)) for j in range(2)) == sum(o == 3 for _, o, _, _ in n)
+        for r in langid.predict(df, model, ["doc_id"]).collect():
+            a, z = (bits(x, texts[r.doc_id][1]) for x in ("aa", "zz"))
+            assert r.lang_pred == ("aa" if a <= z else "zz") and r.score == pytest.approx(1 / (1 + 2 ** -min(abs(a - z), 1000)))
+
+
 def contaminated(docs, bench):
     words = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t).encode())
     items = collections.defaultdict(set)
