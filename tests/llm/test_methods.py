@@ -203,6 +203,22 @@ def test_pipeline(spark, sf):
     assert out.where("not decoded_ok").count() == 0 and 500 < out.count() < 1000
 
 
+def test_op10_threshold_follows_labels(spark):
+    """The same texts and labels beside mostly good and mostly bad raw rows: labels decide, not what the corpus is made of."""
+    import random
+
+    dice = random.Random(7)
+    text = lambda words: " ".join(dice.choice(words) for _ in range(60))
+    fine, junk = [f"good{i}" for i in range(40)], [f"spam{i}" for i in range(40)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0 or i % 4 == 1), int(i % 4 == 1)) for i in range(200)], "doc_id long, quality int, toxic int")
+    for more in (fine, junk):
+        rows = [(i, text(fine if i % 2 == 0 else junk)) for i in range(400)] + [(i, text(more)) for i in range(400, 2000)]
+        out = quality.quality(spark.createDataFrame(rows, "doc_id long, text string"), labels).where("doc_id < 400").collect()
+        assert all(r.kept == (r.doc_id % 2 == 0) for r in out)
+    frame = spark.createDataFrame([(True, False, 0.5), (True, False, 0.2), (False, False, 0.3), (False, False, -1.0), (False, True, 9.0)], "good boolean, base_failed boolean, llr double")
+    assert quality.cut(frame) == pytest.approx((-0.999 + 0.2) / 2) and quality.cut(frame.where("good")) == quality.THRESHOLD
+
+
 def test_stages_keep_rows(spark, sf):
     """Null and repeated ids, no language learned, and columns named as the operators' own."""
     long = " ".join(f"w{i}" for i in range(60))
