@@ -7,7 +7,11 @@ word are one entry of the shard with the least document that has it; the automat
 document order, and each entry is streamed against the automaton of those before it.
 
 The automata aren't broadcast: the reference is the whole corpus, for which no bound holds. Passages travel to their
-shard by the anchor instead.
+shard by the anchor instead. A crowded anchor (a phrase with many contexts) is split: its passages are cut where the least
+gram under one of SPLITS further hashes changes, and these grams, which equal windows share too, name the shard.
+
+Passages count as equal by two 64-bit hashes, of the anchor's gram and of the words' hashes (neither is linear, so it isn't
+the structure of a text that makes them agree); two different ones of one anchor are taken for equal with a chance of 2^-64.
 """
 
 from __future__ import annotations
@@ -17,13 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.llm.common import staged
-from blockloom.llm.words import Words, argmin_slide, chunks, grams, run_hash
+from blockloom.llm.words import Words, argmin_slide, chunks, grams, mix
 
 WINDOW, GRAM = 50, 12
+#: Anchors of more entries are split by this many further hashes.
+CROWDED, SPLITS = 256, 4
 
 
 def passages(words: Words, window: int, gram: int):
@@ -40,7 +47,20 @@ def passages(words: Words, window: int, gram: int):
     stops = np.append(np.flatnonzero(new), n)
     ends = stops[np.searchsorted(stops, starts, "right")]
     doc = words.doc[starts]
-    return doc, g[p[starts]], starts - words.first[doc], ends - starts, run_hash(words.hash, starts, ends + window - 1)
+    raw = words.hash.tobytes()
+    snip = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip((8 * starts).tolist(), (8 * (ends + window - 1)).tolist(), strict=True)], np.uint64)
+    return doc, g[p[starts]], starts - words.first[doc], ends - starts, snip
+
+
+def split(body: bytes, window: int, gram: int) -> list[tuple[int, int, int]]:
+    """(shard, first, end window) of the runs of a passage's windows whose least grams under all further hashes are the same."""
+    h = Words(np.frombuffer(body, np.uint8), np.array([0, len(body)])).hash
+    g, key = grams(h, gram), np.zeros(len(h) - window + 1, np.uint64)
+    for i in range(1, SPLITS + 1):
+        v = mix(g ^ np.uint64(i))
+        key = mix(key ^ v[argmin_slide(v, window - gram + 1)])
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return list(zip(key[at].view(np.int64).tolist(), at.tolist(), [*at[1:].tolist(), len(key)], strict=True))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -120,7 +140,7 @@ def _runs(at: list[int]) -> list[int]:
     return out
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, key: str = "doc_id", text: str = "text", crowded: int = CROWDED) -> DataFrame:
     """(k, fp, spans) for texts with removed windows; spans: (first word, end word) of runs, ends past the last word."""
     source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("fp"))
 
@@ -138,37 +158,40 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ke
     entries = staged(entries.join(shared.select("anchor", "entries"), "anchor"), "entries")
 
     # entries that meet others under their anchor: their words, from the first document that has them
-    wanted = entries.where("entries > 1").groupBy(F.col("first.k").alias("k"), F.col("first.fp").alias("fp")).agg(F.collect_list(F.struct("anchor", "snip", F.col("first.at").alias("at"), F.col("first.n").alias("n"))).alias("want"))
+    wanted = entries.where("entries > 1").groupBy(F.col("first.k").alias("k"), F.col("first.fp").alias("fp")).agg(F.collect_list(F.struct("anchor", "snip", F.col("first.at").alias("at"), F.col("first.n").alias("n"), (F.col("entries") > crowded).alias("many"))).alias("want"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                words, want = b.column(1)[i].as_py().encode().split(), b.column(2)[i].as_py()
-                yield pa.RecordBatch.from_pydict({"anchor": [x["anchor"] for x in want], "snip": [x["snip"] for x in want], "k": [b.column(0)[i].as_py()] * len(want), "body": [b" ".join(words[x["at"] : x["at"] + x["n"] + window - 1]) for x in want]}, schema=body_schema)
+                words, k, out = b.column(1)[i].as_py().encode().split(), b.column(0)[i].as_py(), []
+                for x in b.column(2)[i].as_py():
+                    part = words[x["at"] : x["at"] + x["n"] + window - 1]
+                    for shard, lo, hi in split(b" ".join(part), window, gram) if x["many"] else ((0, 0, x["n"]),):
+                        out.append((x["anchor"], shard, x["snip"], lo, k, b" ".join(part[lo : hi + window - 1])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "shard", "snip", "off", "k", "body"])
 
-    body_schema = pa.schema([("anchor", pa.int64()), ("snip", pa.int64()), ("k", pa.int64()), ("body", pa.binary())])
-    bodies = source.join(wanted, ["k", "fp"]).select("k", "t", "want").mapInArrow(cut, "anchor long, snip long, k long, body binary")
+    bodies = source.join(wanted, ["k", "fp"]).select("k", "t", "want").mapInArrow(cut, "anchor long, shard long, snip long, off int, k long, body binary")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, shard, seen = None, Automaton(), set()
         for b in batches:
             out: dict[str, list] = {"anchor": [], "snip": [], "again": []}
-            for anchor, snip, k, body in zip(*(b.column(c).to_pylist() for c in ("anchor", "snip", "k", "body")), strict=True):
-                if anchor != now:
-                    now, shard, seen = anchor, Automaton(), set()
-                if snip in seen:  # a repeated row
+            for anchor, part, snip, off, k, body in zip(*(b.column(c).to_pylist() for c in ("anchor", "shard", "snip", "off", "k", "body")), strict=True):
+                if (anchor, part) != now:
+                    now, shard, seen = (anchor, part), Automaton(), set()
+                if (snip, off) in seen:  # a repeated row
                     continue
-                seen.add(snip)
+                seen.add((snip, off))
                 words = body.split()
                 again = shard.repeats(words, k, window)
                 shard.insert(words, k)
                 if again:
-                    for c, v in zip(out, (anchor, snip, _runs(again)), strict=True):
+                    for c, v in zip(out, (anchor, snip, [x + off for x in _runs(again)]), strict=True):
                         out[c].append(v)
             if out["snip"]:
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("anchor", pa.int64()), ("snip", pa.int64()), ("again", pa.list_(pa.int32()))]))
 
-    found = bodies.repartition("anchor").sortWithinPartitions("anchor", "k", "snip").mapInArrow(match, "anchor long, snip long, again array<int>")
+    found = bodies.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "k", "snip", "off").mapInArrow(match, "anchor long, snip long, again array<int>")
 
     # a document after the first that has an entry loses all its windows; the first loses those that streaming found
     known = entries.where("last > first.k").select("anchor", "snip", F.col("first.k").alias("first_k"))
@@ -176,7 +199,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ke
     own = found.join(entries.select("anchor", "snip", F.col("first.k").alias("first_k")), ["anchor", "snip"]).join(rows, ["anchor", "snip"]).where("k = first_k")
     own = own.select("k", "fp", "at", F.explode(F.expr("transform(sequence(0, size(again) div 2 - 1), i -> named_struct('a', again[2 * i], 'b', again[2 * i + 1]))")).alias("r"))
     own = own.select("k", "fp", (F.col("at") + F.col("r.a")).alias("at"), (F.col("at") + F.col("r.b") + window - 1).alias("end"))
-    return later.unionByName(own).groupBy("k", "fp").agg(F.collect_list(F.struct("at", "end")).alias("spans"))
+    return later.unionByName(own).groupBy("k", "fp").agg(F.collect_set(F.struct("at", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:

@@ -8,8 +8,9 @@ A file is a row of independent zstandard frames, each holding whole documents, t
   decompressed size and the low 32 bits of the XXH64 of its content (uint32 each); footer: number of frames (uint32),
   descriptor byte 0x80 (checksums present), magic 0x8F92EAB1.
 
-A frame's content: number of documents n (uint32), n document ids (int64), n lengths (uint32), then all ids (uint32,
-little-endian). A reader takes the two trailing tables with two short reads, then decompresses only frames that may hold
+A frame's content: number of documents n (uint32), how many of these, the first ones, have no id (uint32), n document ids
+(int64, 0 for none), n lengths (uint32), then all token ids (uint32, little-endian). A frame without any id has a least one
+above its greatest. A reader takes the two trailing tables with two short reads, then decompresses only frames that may hold
 the documents it wants, and checks the checksum of each.
 """
 
@@ -19,6 +20,7 @@ import os
 import struct
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockloom.llm.common import partitions, shared_dir, staged
-from blockloom.llm.words import PLAIN, chunks, span_hash
+from blockloom.llm.words import PLAIN, chunks, distinct
 
 INDEX_MAGIC, SEEK_MAGIC, FOOT_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 17
@@ -106,16 +108,15 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(data))
-        h = span_hash(data, starts, ends)
-        _, where, back = np.unique(h, return_index=True, return_inverse=True)
+        where, back = distinct(data, starts, ends)
         if self.n > CACHE:
             self.known, self.n, self.end = {}, 0, 0
         raw = data.tobytes()
-        distinct = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
-        new = [x for x in distinct if x not in self.known]
+        segments = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+        new = [x for x in segments if x not in self.known]
         if new:
             self._learn(list(dict.fromkeys(new)))
-        slot = np.fromiter((self.known[x] for x in distinct), np.int64, len(distinct))[back]
+        slot = np.fromiter((self.known[x] for x in segments), np.int64, len(segments))[back]
         lo, size = self.at[slot], self.at[slot + 1] - self.at[slot]
         ends_ids = np.cumsum(size)
         ids = self.ids[np.repeat(lo - (ends_ids - size), size) + np.arange(ends_ids[-1])]
@@ -138,7 +139,8 @@ class Writer:
         self.docs, self.rows, self.parts, self.held = [], [], [], 0
         self.seek, self.index = [], []
 
-    def put(self, doc_id: int, ids: np.ndarray) -> None:
+    def put(self, doc_id: int | None, ids: np.ndarray) -> None:
+        """Documents without an id come before the others."""
         self.docs.append(doc_id)
         self.parts.append(ids)
         self.held += len(ids)
@@ -148,12 +150,14 @@ class Writer:
     def flush(self) -> None:
         if not self.docs:
             return
-        keys = np.array(self.docs, "<i8")
-        body = struct.pack("<I", len(keys)) + keys.tobytes() + np.array([len(x) for x in self.parts], "<u4").tobytes() + np.concatenate(self.parts).astype("<u4").tobytes()
+        keys = np.array([x or 0 for x in self.docs], "<i8")
+        none = sum(x is None for x in self.docs)
+        body = struct.pack("<II", len(keys), none) + keys.tobytes() + np.array([len(x) for x in self.parts], "<u4").tobytes() + np.concatenate(self.parts).astype("<u4").tobytes()
         packed = self.codec.compress(body)
         self.out.write(packed)
         self.seek.append(struct.pack("<III", len(packed), len(body), xxhash.xxh64_intdigest(body) & 0xFFFFFFFF))
-        self.index.append(struct.pack("<qqI", int(keys.min()), int(keys.max()), len(keys)))
+        named = keys[none:] if none < len(keys) else np.array([0, -1])
+        self.index.append(struct.pack("<qqI", int(named[0]), int(named[-1]), len(keys)))
         self.docs, self.parts, self.held = [], [], 0
 
     def close(self) -> None:
@@ -186,22 +190,24 @@ def frames(file) -> list[tuple[int, int, int, int, int, int]]:
     return out
 
 
-def read_documents(file, wanted: Iterable[int] | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """(document id, ids) in file order. With `wanted`, only frames whose id range meets it are decompressed."""
+def read_documents(file, wanted: Iterable[int] | None = None) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(document id or None, ids) in file order. With `wanted`, only frames whose id range meets it are decompressed."""
     want = None if wanted is None else np.unique(np.fromiter(wanted, np.int64))
     for at, packed, size, check, lo, hi in frames(file):
-        if want is not None and np.searchsorted(want, lo) == np.searchsorted(want, hi, "right"):
+        if want is not None and np.searchsorted(want, lo) >= np.searchsorted(want, hi, "right"):
             continue
         file.seek(at)
         body = zstandard.ZstdDecompressor().decompress(file.read(packed), max_output_size=size)
         if xxhash.xxh64_intdigest(body) & 0xFFFFFFFF != check:
             raise ValueError(f"checksum of the frame at {at} differs")
-        n = struct.unpack_from("<I", body)[0]
-        keys = np.frombuffer(body, "<i8", n, 4)
-        sizes = np.frombuffer(body, "<u4", n, 4 + 8 * n).astype(np.int64)
-        ids, ends = np.frombuffer(body, "<u4", -1, 4 + 12 * n), np.cumsum(sizes)
-        for i in range(n):
-            if want is None or want[min(np.searchsorted(want, keys[i]), len(want) - 1)] == keys[i]:
+        n, none = struct.unpack_from("<II", body)
+        keys = np.frombuffer(body, "<i8", n, 8)
+        sizes = np.frombuffer(body, "<u4", n, 8 + 8 * n).astype(np.int64)
+        ids, ends = np.frombuffer(body, "<u4", -1, 8 + 12 * n), np.cumsum(sizes)
+        for i in range(n if want is None else 0):
+            yield None if i < none else int(keys[i]), ids[ends[i] - sizes[i] : ends[i]]
+        for i in np.flatnonzero(np.isin(keys, want)).tolist() if want is not None else ():
+            if i >= none:
                 yield int(keys[i]), ids[ends[i] - sizes[i] : ends[i]]
 
 
@@ -210,25 +216,25 @@ def _store(uri: str):
 
 
 def write_store(docs: DataFrame, tokenizer: str, end_id: int = 0, key: str = "doc_id", text: str = "text", out: str | None = None) -> DataFrame:
-    """Encode, write and list: one row (pid, file, n_docs, n_ids) for each file, in ascending key order by pid.
+    """Encode, write and list: one row (pid, file, lo, hi, n_docs, n_ids) for each file, in ascending key order by pid.
 
-    Texts are dealt by key range and sorted, so each task writes one file of its range, frame by frame, holding one frame
-    at a time. A task's file name has its attempt's own id: a task that runs twice leaves a file that the list doesn't
-    name. The list is staged, so files are written once. Null text is empty; every document ends with end_id. Null keys
-    are refused, as the format has no such id. Repeated keys are stored each.
+    Texts are dealt by ranges of key and text hash and sorted, so each task writes one file of its range, frame by frame,
+    holding one frame at a time; lo and hi are its least and greatest id. A task's file name has its attempt's own id: a
+    task that runs twice leaves a file that the list doesn't name. The list is staged, so files are written once. Null
+    text is empty; every document ends with end_id. Null keys come first and are stored without an id. Rows of one key
+    are stored each, in order of their texts' hashes. An empty table gives no files.
     """
     spark = docs.sparkSession
     home = out or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     _store(home)[0].create_dir(_store(home)[1], recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, writer, n_docs, n_ids, name = encoder(tokenizer), None, 0, 0, ""
+        coder, writer, n_docs, n_ids, name, ends_of = encoder(tokenizer), None, 0, 0, "", []
         tail = np.array([end_id], np.uint32)
         for b in batches:
-            keys = b.column(0)
-            if keys.null_count:
-                raise ValueError("documents without an id can't be stored")
-            keys = keys.to_numpy()
+            keys = b.column(0).to_pylist()
+            ends_of += [x for x in keys if x is not None]
+            ends_of = ends_of[:1] + ends_of[-1:]
             for lo, hi, data, offsets in chunks(b.column(1)):
                 if writer is None:
                     fs, path = _store(home)
@@ -237,14 +243,16 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int = 0, key: str = "do
                 ids, sizes = coder.encode(data, offsets)
                 ends = np.cumsum(sizes)
                 for i in range(hi - lo):
-                    writer.put(int(keys[lo + i]), np.concatenate((ids[ends[i] - sizes[i] : ends[i]], tail)))
+                    writer.put(keys[lo + i], np.concatenate((ids[ends[i] - sizes[i] : ends[i]], tail)))
                 n_docs, n_ids = n_docs + hi - lo, n_ids + len(ids) + hi - lo
         if writer is not None:
             writer.close()
-            yield pa.RecordBatch.from_pydict({"pid": [TaskContext.get().partitionId()], "file": [f"{home}/{name}"], "n_docs": [n_docs], "n_ids": [n_ids]})
+            row = [TaskContext.get().partitionId(), f"{home}/{name}", *(ends_of[:1] or [None]), *(ends_of[-1:] or [None]), n_docs, n_ids]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.string() if i == 1 else pa.int64()) for i, x in enumerate(row)], names=["pid", "file", "lo", "hi", "n_docs", "n_ids"])
 
-    parts = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange(partitions(spark), "k").sortWithinPartitions("k")
-    return staged(parts.mapInArrow(run, "pid long, file string, n_docs long, n_ids long"), "token-files")
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    parts = rows.repartitionByRange(partitions(spark), "k", "h").sortWithinPartitions("k", "h").select("k", "t")
+    return staged(parts.mapInArrow(run, "pid long, file string, lo long, hi long, n_docs long, n_ids long"), "token-files")
 
 
 def read_store(files: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -273,14 +281,17 @@ def read_store(files: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def fetch(files: DataFrame, wanted: list[int]) -> DataFrame:
-    """(doc_id, ids) of requested documents; only frames that may hold them are decompressed."""
+    """(doc_id, ids) of requested documents; only files and frames that may hold them are opened and decompressed."""
+    want = sorted(set(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for uri in b.column("file").to_pylist():
+            for uri, lo, hi in zip(*(b.column(c).to_pylist() for c in ("file", "lo", "hi")), strict=True):
+                if bisect_left(want, lo) == bisect_right(want, hi):
+                    continue
                 fs, path = _store(uri)
                 with fs.open_input_file(path) as file:
-                    rows = list(read_documents(file, wanted))
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in rows], pa.int64()), "ids": pa.array([x.astype(np.int64) for _, x in rows], pa.list_(pa.int64()))})
+                    for doc, ids in read_documents(file, want):
+                        yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([ids.astype(np.int64)], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return files.select("file").mapInArrow(run, "doc_id long, ids array<long>")
+    return files.where("lo is not null").select("file", "lo", "hi").mapInArrow(run, "doc_id long, ids array<long>")

@@ -11,7 +11,11 @@ import pytest
 from blockloom.llm import neardup, queries, sharding, substring, token_store
 from blockloom.llm.words import argmin_slide
 
+THUE = "a"
+for _ in range(11):
+    THUE += THUE.translate(str.maketrans("ab", "ba"))
 ODD = [
+    (20, THUE, "en"), (21, THUE.translate(str.maketrans("ab", "ba")), "en"), (22, f"{THUE}\n{THUE.translate(str.maketrans('ab', 'ba'))}", "en"), (23, " ".join(THUE), "en"), (24, " ".join(THUE.translate(str.maketrans("ab", "ba"))), "en"),
     (1, None, "en"), (2, "", "en"), (3, " \t\n\r\x0b\x0c ", "de"), (4, "one", None), (4, "one", None), (5, "a\x00b é ü x  y  z \n", "fr"),
     (6, "w " * 30_000, "en"), (7, " ".join(f"t{i}" for i in range(120)), "en"), (8, "lead " + " ".join(f"t{i}" for i in range(120)) + " tail", "en"),
     (9, " ".join(f"T{i}" for i in range(120)), "en"), (10, "Don't <|endoftext|> stop\r\n\r\n  now", None), (None, "no id at all", "en"),
@@ -72,8 +76,8 @@ def test_op2(spark, sf, rows, odd, empty):
 
     got = queries.QUERIES["op2_token_store"](spark, sf).orderBy("doc_id").collect()
     assert [tuple(r) for r in got] == expect(rows)
-    named = sorted(((k, t or "") for k, t, _ in ODD if k is not None), key=lambda x: x[0])
-    files = token_store.write_store(odd.where("doc_id is not null"), public_tokenizers.path("byte_bpe_50k.json"))
+    named = sorted(((k, t or "") for k, t, _ in ODD), key=lambda x: x[0] or 0)
+    files = token_store.write_store(odd, public_tokenizers.path("byte_bpe_50k.json"))
     assert [tuple(r) for r in token_store.read_store(files).orderBy("start").collect()] == expect(named)
     some = {r.doc_id: r.ids for r in token_store.fetch(files, [7, 10]).collect()}
     assert set(some) == {7, 10} and some[10] == [*model.encode(dict(named)[10], add_special_tokens=False).ids, 0]
@@ -113,6 +117,16 @@ def cut(rows, n=50):
     return out
 
 
+def cut_by(spans, rows):
+    gone = {(r.k, i) for r in spans.collect() for x in r.spans for i in range(x.at, x.end)}
+    out = {}
+    for k, t in rows:
+        w = t.encode().split()
+        kept = [x for i, x in enumerate(w) if (k, i) not in gone]
+        out[k] = (len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())
+    return out
+
+
 def test_op4(spark, sf, rows, odd, empty):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.QUERIES["op4_substring_dedup"](spark, sf).collect()}
     assert got == cut(rows)
@@ -133,6 +147,8 @@ def test_op4_many_edits(spark):
         rows.append((k, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(df).collect()} == cut(rows)
+    # every anchor counts as crowded
+    assert {(r.k, x.at, x.end) for r in substring.repeated_windows(df, crowded=1).collect() for x in r.spans} and cut(rows) == cut_by(substring.repeated_windows(df, crowded=1), rows)
 
 
 def components(rows, k, percent=80):

@@ -11,7 +11,12 @@ import pytest
 import corpus_pipeline
 from blockloom.llm import brown, decontam, langid, pieces, pii, quality, queries
 
-ODD = [(1, None, "en"), (2, "", "en"), (3, " \t\n ", None), (4, "one", "de"), (4, "one", "de"), (5, "a\x00b é ▁ü 日本 x  y \n z", "fr"), (6, "w " * 20_000, "en"), (None, "no id", "en")]
+THUE = "a"
+for _ in range(11):
+    THUE += THUE.translate(str.maketrans("ab", "ba"))
+#: Strings that differ, but for which a polynomial modulo 2^64 doesn't.
+TWIN = THUE.translate(str.maketrans("ab", "ba"))
+ODD = [(7, f"{THUE} {TWIN}\n" * 12 + f"{TWIN}\n{THUE} {TWIN} \n", "en"), (1, None, "en"), (2, "", "en"), (3, " \t\n ", None), (4, "one", "de"), (4, "one", "de"), (5, "a\x00b é ▁ü 日本 x  y \n z", "fr"), (6, "w " * 20_000, "en"), (None, "no id", "en")]
 
 
 @pytest.fixture(scope="module")
@@ -56,7 +61,7 @@ def test_op5(spark, sf, odd):
     held = out.where("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
     got = langid.predict(odd, langid.train(odd), ["doc_id"]).collect()
-    assert [r.lang_pred == "und" for r in got][:3] == [True] * 3 and len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
+    assert [r.lang_pred == "und" for r in got][1:4] == [True] * 3 and len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert langid.predict(odd, langid.train(odd.limit(0)), ["doc_id"]).where("lang_pred <> 'und'").count() == 0
 
 
@@ -183,8 +188,10 @@ def test_op8(spark, sf, rows, odd):
 
 
 def test_op10(spark, sf, rows, odd):
-    for r in queries.QUERIES["op10_ngram_ratio"](spark, sf).where("doc_id < 300").collect():
-        t = dict(rows)[r.doc_id]
+    labels = spark.createDataFrame([(5, 1, 0), (6, None, None)], "doc_id long, quality int, toxic int")
+    strange = quality.quality(odd, labels).where("doc_id is not null").collect()
+    for r in queries.QUERIES["op10_ngram_ratio"](spark, sf).where("doc_id < 300").collect() + strange:
+        t = dict((k, x or "") for k, x, _ in ODD)[r.doc_id] if r in strange else dict(rows)[r.doc_id]
         w = t.encode().split()
         at = collections.defaultdict(list)
         for i in range(len(w) - 7):
@@ -193,7 +200,6 @@ def test_op10(spark, sf, rows, odd):
         lines = [x for x in t.split("\n") if x.encode().split()]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(len(x.decode()) for x in w), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), again)
         assert r.base_failed == (len(w) < 20 or 100 * again > 30 * len(w)) and not (r.kept and r.base_failed)
-    labels = spark.createDataFrame([(5, 1, 0), (6, None, None)], "doc_id long, quality int, toxic int")
     assert quality.quality(odd, labels).count() == len(ODD)
     assert quality.quality(odd, labels.limit(0)).count() == len(ODD)
 
