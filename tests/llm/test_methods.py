@@ -16,7 +16,7 @@ for _ in range(11):
     THUE += THUE.translate(str.maketrans("ab", "ba"))
 #: Strings that differ, but for which a polynomial modulo 2^64 doesn't.
 TWIN = THUE.translate(str.maketrans("ab", "ba"))
-ODD = [(7, f"{THUE} {TWIN}\n" * 12 + f"{TWIN}\n{THUE} {TWIN} \n", "en"), (1, None, "en"), (2, "", "en"), (3, " \t\n ", None), (4, "one", "de"), (4, "one", "de"), (5, "a\x00b é ▁ü 日本 x  y \n z", "fr"), (6, "w " * 20_000, "en"), (None, "no id", "en")]
+ODD = [(1, None, "en"), (2, "", "en"), (3, " \t\n ", None), (4, "one", "de"), (4, "one", "de"), (5, "a\x00b é ▁ü 日本 x  y \n z", "fr"), (6, "w " * 20_000, "en"), (None, "no id", "en"), (7, f"{THUE} {TWIN}\n" * 12 + f"{TWIN}\n{THUE} {TWIN} \n", "en")]
 
 
 @pytest.fixture(scope="module")
@@ -61,7 +61,7 @@ def test_op5(spark, sf, odd):
     held = out.where("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
     got = langid.predict(odd, langid.train(odd), ["doc_id"]).collect()
-    assert [r.lang_pred == "und" for r in got][1:4] == [True] * 3 and len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
+    assert [r.lang_pred == "und" for r in got][:3] == [True] * 3 and len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert langid.predict(odd, langid.train(odd.limit(0)), ["doc_id"]).where("lang_pred <> 'und'").count() == 0
 
 
