@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: ASCII white space as the contracts define it: 0x20 and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none (tests), one under /tmp."""
+    """The folder that driver and executors share. A local session that names none (tests) gets one under /tmp; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-shared-', dir='/tmp')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -51,7 +55,12 @@ def crc_mod(key: str, n: int):
 
 
 def ship(spark: SparkSession) -> None:
-    """Let executors import this package where their PYTHONPATH doesn't have it."""
+    """Let executors import this package where their PYTHONPATH doesn't have it, and bound the bytes of an Arrow batch.
+
+    Spark's default of 64 MB a batch means some copies of that in each worker; a smaller one of the session's own stays.
+    """
+    if spark.conf.get(BATCH) == "67108864b":
+        spark.conf.set(BATCH, BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext

@@ -2,17 +2,18 @@
 
 Texts and items are reduced to fingerprints: the least hash of the 8-word grams of each window of 13 words (6 grams; the
 leftmost of equals). A span of 13 or more shared words holds a whole such window, whose least gram is the same on both
-sides, so every such span has a common fingerprint. Common fingerprints are extended word by word in both directions;
-spans of 13 words or more count. Items of fewer than 13 words are one window each, with the whole item as its gram.
+sides, so every such span has a common fingerprint. Document fingerprints are joined with item fingerprints; only
+documents that meet one are looked at again: the stretch of the document that lies against the item is held against it
+word by word, and runs of 13 equal words or more count. Items of fewer than 13 words are one window each, with the whole
+item as its gram.
 
-Items are sent to all executors in blocks of bounded size, each held against all documents; items of equal
-text share one entry.
+A sieve of fixed size (a bit for each leading 22 bits of the items' fingerprints) keeps most document fingerprints out of
+the join; with more items it lets more of them through, and the join stays exact. Items of equal words are one entry.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.llm.common import staged
-from blockloom.llm.words import ALNUM, Words, argmin_slide, chunks, grams
+from blockloom.llm.words import ALNUM, Words, argmin_slide, chunks, grams, mix
 
-WINDOW, GRAM, BLOCK_BYTES = 13, 8, 16 << 20
+WINDOW, GRAM, SIEVE_BITS = 13, 8, 22
 
 
 def winnow(words: Words, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,69 +39,77 @@ def winnow(words: Words, gram: int, window: int) -> tuple[np.ndarray, np.ndarray
     return p, g[p]
 
 
-class Items:
-    """Fingerprints of one block of items."""
-
-    def __init__(self, rows: list[tuple[str, str]], window: int = WINDOW, gram: int = GRAM):
-        self.window, self.gram = window, gram
-        ids: dict[tuple, list[str]] = defaultdict(list)
-        for name, text in rows:
-            w = Words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), ALNUM, fold=True, hashes=False)
-            if len(w):
-                ids[tuple(w.text(i) for i in range(len(w)))].append(name)
-        self.words, self.names = list(ids), [sorted(set(x)) for x in ids.values()]
-        self.at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for i, item in enumerate(self.words):
-            raw = b" ".join(item)
-            w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM)
-            if len(item) < window:
-                self.short[len(item)][int(grams(w.hash, len(item))[0])].append(i)
-            else:
-                for p, g in zip(*winnow(w, gram, window), strict=True):
-                    self.at[int(g)].append((i, int(p)))
-        self.short = {k: dict(v) for k, v in self.short.items()}
-        self.at = dict(self.at)
-        self.sieve = self._sieve(self.at)
-        self.sieves = {n: self._sieve(x) for n, x in self.short.items()}
-
-    @staticmethod
-    def _sieve(known) -> np.ndarray:
-        table = np.zeros(1 << 22, bool)
-        table[np.fromiter(known, np.uint64, len(known)) >> np.uint64(42)] = True
-        return table
-
-    def spans(self, words: Words) -> dict[int, tuple[list[tuple[int, int]], set[int]]]:
-        """For each text with hits: spans (first, end word of the chunk) and items."""
-        out: dict[int, tuple[list[tuple[int, int]], set[int]]] = defaultdict(lambda: ([], set()))
-        pos, g = winnow(words, self.gram, self.window)
-        maybe = self.sieve[g >> np.uint64(42)]
-        reach: dict[tuple[int, int], int] = {}
-        for p, h in zip(pos[maybe].tolist(), g[maybe].tolist(), strict=True):
-            for i, q in self.at.get(h, ()):
-                if p < reach.get((i, p - q), -1):  # lies in a span that was extended before
-                    continue
-                item, doc = self.words[i], int(words.doc[p])
-                lo, hi = int(words.first[doc]), int(words.first[doc] + words.count[doc])
-                a = b = 0
-                while p - a - 1 >= lo and q - a - 1 >= 0 and words.text(p - a - 1) == item[q - a - 1]:
-                    a += 1
-                while p + b < hi and q + b < len(item) and words.text(p + b) == item[q + b]:
-                    b += 1
-                if b >= self.gram:
-                    reach[i, p - q] = p + b
-                if a + b >= self.window:
-                    out[doc][0].append((p - a, p + b))
-                    out[doc][1].add(i)
-        for n, known in self.short.items():
-            g = grams(words.hash, n)
-            for p in np.flatnonzero(self.sieves[n][g >> np.uint64(42)]).tolist():
-                for i in known.get(int(g[p]), ()):
-                    doc = int(words.doc[p])
-                    if words.doc[p + n - 1] == doc and all(words.text(p + j) == self.words[i][j] for j in range(n)):
-                        out[doc][0].append((p, p + n))
-                        out[doc][1].add(i)
-        return out
+def _short(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of all runs of n words that lie in one text, apart from those of other lengths."""
+    g = grams(words.hash, n)
+    at = np.flatnonzero(words.doc[: len(g)] == words.doc[n - 1 :]) if len(g) else np.zeros(0, np.int64)
+    return at, mix(g[at] + np.uint64(n))
+
+
+def _entries(bench: DataFrame, window: int, gram: int, item: str, item_text: str) -> DataFrame:
+    """(i, e, n, body, prints) of items with words: id, digest of the words, their number, the words, fingerprints (fp, q)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, data, offsets in chunks(b.column(1)):
+                w = Words(data, offsets, ALNUM, fold=True)
+                pos, g = winnow(w, gram, window)
+                of, out = w.doc[pos], []
+                for d in np.flatnonzero(w.count).tolist():
+                    first, n = int(w.first[d]), int(w.count[d])
+                    body = b" ".join(w.text(j) for j in range(first, first + n))
+                    if n < window:
+                        own = Words(np.frombuffer(body, np.uint8), np.array([0, len(body)]), ALNUM)
+                        prints = [{"fp": int(_short(own, n)[1].view(np.int64)[0]), "q": 0}]
+                    else:
+                        mine = slice(*np.searchsorted(of, [d, d + 1]))
+                        prints = [{"fp": f, "q": q} for f, q in zip(g[mine].view(np.int64).tolist(), (pos[mine] - first).tolist(), strict=True)]
+                    out.append((lo + d, hashlib.blake2b(body, digest_size=16).digest(), n, body, prints))
+                if out:
+                    row, e, n, body, prints = zip(*out, strict=True)
+                    cols = [b.column(0).take(pa.array(row)), pa.array(e, pa.binary()), pa.array(n, pa.int32()), pa.array(body, pa.binary()), pa.array(prints, pa.list_(pa.struct([("fp", pa.int64()), ("q", pa.int32())])))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["i", "e", "n", "body", "prints"])
+
+    named = bench.where(F.col(item_text).isNotNull()).select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t"))
+    return staged(named.mapInArrow(run, "i string, e binary, n int, body binary, prints array<struct<fp:long,q:int>>"), "items")
+
+
+def _fingerprints(source: DataFrame, sieve: np.ndarray, sizes: list[int], window: int, gram: int, at: int) -> DataFrame:
+    """source with n_words and, where the sieve lets any through, the fingerprints with their positions; text is column `at`."""
+    sent = source.sparkSession.sparkContext.broadcast(sieve)  # 2^SIEVE_BITS bits
+    names, shift = source.columns, np.uint64(64 - SIEVE_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(sent.value.view(np.uint8), bitorder="little").view(bool)
+        for b in batches:
+            for lo, hi, data, offsets in chunks(b.column(at)):
+                w = Words(data, offsets, ALNUM, fold=True)
+                found = [winnow(w, gram, window), *(_short(w, n) for n in sizes)]
+                pos, fp = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+                keep = known[fp >> shift]
+                pos, fp = pos[keep], fp[keep]
+                doc = w.doc[pos]
+                by = np.lexsort((pos, fp, doc))
+                pos, fp, doc = (pos[by] - w.first[doc[by]]).astype(np.int32), fp[by], doc[by]
+                new = np.flatnonzero(np.append(True, (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1]))) if len(fp) else np.zeros(0, np.int64)
+                each = pa.ListArray.from_arrays(pa.array(np.append(new, len(pos)).astype(np.int32)), pa.array(pos))
+                prints = pa.StructArray.from_arrays([pa.array(fp[new].view(np.int64)), each], names=["fp", "at"])
+                edge = np.searchsorted(doc[new], np.arange(hi - lo + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pa.array(w.count), pa.ListArray.from_arrays(pa.array(edge), prints)], names=[*names, "n_words", "prints"])
+
+    schema = ", ".join(f"{c} {k}" for c, k in source.dtypes)
+    return source.mapInArrow(run, f"{schema}, n_words long, prints array<struct<fp:long,at:array<int>>>")
+
+
+def _runs(mine: list[bytes], item: list[bytes], least: int) -> list[int]:
+    """[start, end, ...] of runs of at least `least` places at which both have the same word."""
+    out, begin = [], 0
+    for i in range(len(mine) + 1):
+        if i == len(mine) or mine[i] != item[i]:
+            if i - begin >= least:
+                out += [begin, i]
+            begin = i + 1
+    return out
 
 
 def _covered(spans: list[tuple[int, int]]) -> int:
@@ -110,58 +119,80 @@ def _covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
+def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(key, n_words, n_hit, n_items, items_sha256, contaminated, and the columns `keep`) for each row of docs.
 
     Words are ASCII-lower-cased runs of letters, digits and non-ASCII. contaminated: n_hit > 0 and 20 * n_hit >= n_words.
     Null or empty text has no words; items without words have no window; rows that repeat are each judged; items that
-    repeat an id count once. With no items nothing is hit. Columns but key, text and `keep` aren't read.
+    repeat an id count once. Items with a null id hit words like others; together they count as one item, and the hash
+    leaves them out. With no items nothing is hit. Columns but key, text and `keep` aren't read; a column of `keep` that
+    has the name of a result is refused.
     """
-    spark, keep = docs.sparkSession, keep or []
-    items = bench.where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("t") + 32), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(size) // block_bytes))
-    source = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
-    kinds = dict(source.dtypes)
-    extra = "".join(f", c{i} {kinds[f'c{i}']}" for i in range(len(keep)))
-
-    def found(frame: DataFrame, block: int) -> DataFrame:
-        rows = [(r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()]  # at most about block_bytes
-        sent = spark.sparkContext.broadcast(Items(rows, window, min(GRAM, window)))
-        chained = "spans" in frame.columns
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = sent.value
-            for b in batches:
-                n_words, spans, names = [], [], []
-                for lo, hi, data, offsets in chunks(b.column(1)):
-                    w = Words(data, offsets, ALNUM, fold=True)
-                    hits = items.spans(w)
-                    n_words.append(w.count)
-                    for d in range(hi - lo):
-                        own, of = hits.get(d, ((), ()))
-                        spans.append([int(x - w.first[d]) for s in own for x in s])
-                        names.append(sorted({x for i in of for x in items.names[i]}))
-                if chained:
-                    spans = [x + y for x, y in zip(b.column("spans").to_pylist(), spans, strict=True)]
-                    names = [sorted({*x, *y}) for x, y in zip(b.column("items").to_pylist(), names, strict=True)]
-                cols = [*b.columns[: 2 + len(keep)], pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(cols, names=["k", "t", *(f"c{i}" for i in range(len(keep))), "n_words", "spans", "items"])
-
-        return frame.mapInArrow(run, f"k {kinds['k']}, t string{extra}, n_words long, spans array<long>, items array<string>")
-
-    frame = source
-    for block in range(blocks):
-        frame = found(frame, block)
-        if block + 1 < blocks:  # one block at a time in an executor's memory
-            frame = staged(frame, "blocks")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keep, gram = keep or [], min(GRAM, window)
+    if clash := {"n_words", "n_hit", "n_items", "items_sha256", "contaminated"} & {key, *keep}:
+        raise ValueError(f"columns {sorted(clash)} have names of results")
+    items = _entries(bench, window, gram, item, item_text)
+    entries = staged(items.groupBy("e").agg(F.first("n").alias("n"), F.first("body").alias("body"), F.first("prints").alias("prints")), "entries")
+    ids = items.groupBy("e").agg(F.collect_set("i").alias("ids"), F.max(F.col("i").isNull()).alias("nameless"))
+    fps = entries.select("e", "n", F.explode("prints").alias("x")).select("e", "n", "x.fp", "x.q")
+    place = F.shiftrightunsigned("fp", 64 - SIEVE_BITS)
+    # at most 2^SIEVE_BITS / 64 rows
+    sieve = np.zeros((1 << SIEVE_BITS) // 64, np.int64)
+    for r in fps.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(fp, %d) & 63 as int))" % (64 - SIEVE_BITS))).alias("bits")).collect():
+        sieve[r.w] = r.bits
+    sizes = sorted(r.n for r in entries.where(F.col("n") < window).select("n").distinct().collect())  # below the window
+
+    # the text is a column of its own unless it is kept anyway
+    names = [f"c{i}" for i in range(len(keep))]
+    source = docs.select(F.col(key).alias("k"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], *([] if text in keep else [F.col(text).alias("t")]), F.monotonically_increasing_id().alias("row"))
+    t = names[keep.index(text)] if text in keep else "t"
+    marked = _fingerprints(source, sieve, sizes, window, gram, source.columns.index(t))
+    met = F.size("prints") > 0
+    rows = staged(marked if text in keep else marked.withColumn("t", F.when(met, F.col("t"))), "fingerprints")
+
+    hits = rows.where(met).select("row", F.explode("prints").alias("x")).select("row", "x.fp", "x.at").join(fps, "fp")
+    # a place where item and document lie against each other: the item's first word falls on word d
+    places = hits.select("row", "e", "n", "q", F.explode("at").alias("p")).select("row", "e", "n", (F.col("p") - F.col("q")).alias("d")).distinct()
+    wanted = places.groupBy("row").agg(F.collect_list(F.struct("e", "n", "d")).alias("want"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, body, want in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                raw = body.as_py().encode()
+                w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM, fold=True, hashes=False)
+                out = []
+                for x in want.as_py():
+                    lo, hi = max(x["d"], 0), min(x["d"] + x["n"], len(w))
+                    out.append((row, x["e"], lo, lo - x["d"], b" ".join(w.text(j) for j in range(lo, hi))))
+                for i in range(0, len(out), 1000):
+                    cols = zip(zip(*out[i : i + 1000], strict=True), (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in cols], names=["row", "e", "at", "off", "part"])
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for row, e, at, off, part, body in zip(*(b.column(c).to_pylist() for c in ("row", "e", "at", "off", "part", "body")), strict=True):
+                mine, whole = part.split(b" "), body.split(b" ")
+                runs = _runs(mine, whole[off : off + len(mine)], min(window, len(whole)))
+                if runs:
+                    for x, v in zip(out, (row, e, [at + r for r in runs]), strict=True):
+                        x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, (pa.int64(), pa.binary(), pa.list_(pa.int32())), strict=True)], names=["row", "e", "spans"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hit = [_covered(list(zip(x[::2], x[1::2], strict=True))) for x in b.column("spans").to_pylist()]
+            hit = [_covered([(s[i], s[i + 1]) for s in x for i in range(0, len(s), 2)]) for x in b.column("spans").to_pylist()]
             yield b.drop_columns(["spans"]).append_column("n_hit", pa.array(hit, pa.int64()))
 
-    rest = ["k", *(f"c{i}" for i in range(len(keep))), "n_words", "items"]
-    done = frame.select(*rest, "spans").mapInArrow(finish, f"k {kinds['k']}{extra}, n_words long, items array<string>, n_hit long")
-    sha = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return done.select(F.col("k").alias(key), *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha.alias("items_sha256"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    parts = rows.where(met).select("row", F.col(t).alias("t")).join(wanted, "row").select("row", "t", "want").mapInArrow(cut, "row long, e binary, at int, off int, part binary")
+    held = staged(parts.join(entries.select("e", "body"), "e").mapInArrow(hold, "row long, e binary, spans array<int>"), "hits")
+    hit = held.groupBy("row").agg(F.collect_list("spans").alias("spans")).mapInArrow(count, "row long, n_hit long")
+    of = held.select("row", "e").distinct().join(ids, "e").groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"), F.max(F.col("nameless").cast("int")).alias("nameless"))
+    found = hit.join(of, "row").select("row", "n_hit", "ids", (F.size("ids") + F.col("nameless")).cast("long").alias("n_items"))
+
+    # only documents that met a fingerprint are joined with what was found
+    none = F.array().cast("array<string>")
+    judged = rows.where(met).join(found, "row", "left").select("k", *names, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("ids", none).alias("ids"))
+    whole = judged.unionByName(rows.where(~met).select("k", *names, "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), none.alias("ids")))
+    sha = F.sha2(F.array_join("ids", ",").cast("binary"), 256)
+    return whole.select(F.col("k").alias(key), *[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "n_words", "n_hit", "n_items", sha.alias("items_sha256"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))

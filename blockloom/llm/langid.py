@@ -165,10 +165,16 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
     lang_pred: the language with the least code length of the whole text, the first in name of equals; `und` if the text
     is null or has no letter, or no language was learned. score: that language's probability if all are equally likely
-    beforehand, 0 for `und`. One slice of the model at a time is sent to all executors.
+    beforehand, 0 for `und`. One slice of the model at a time is sent to all executors. Rows that repeat are each judged;
+    an empty table gives none. A column of `keep` that has the name of a result is refused.
     """
+    if clash := {"lang_pred", "score"} & set(keep):
+        raise ValueError(f"columns {sorted(clash)} have names of results")
     langs, names = model.langs, [f"c{i}" for i in range(len(keep))]
-    kept = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).alias("t"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    # the text goes to the workers once, also where it is kept
+    body = [] if text in keep else ["t"]
+    place = keep.index(text) if text in keep else len(keep)
+    kept = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], *[F.col(text).alias(c) for c in body], F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     types = dict(kept.dtypes)
     schema = "".join(f"{c} {types[c]}, " for c in names)
 
@@ -179,11 +185,11 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trees = sent.value if sent else None
             for b in batches:
-                letters = b.column(len(names) + 1).to_numpy(zero_copy_only=False)
+                letters = b.column("letters").to_numpy(zero_copy_only=False)
                 sums = np.zeros((b.num_rows, len(langs)))
                 if "sums" in b.schema.names:
                     sums += np.array(b.column("sums").to_pylist(), np.float64).reshape(sums.shape)
-                for lo, hi, data, offsets in chunks(b.column(len(names))):
+                for lo, hi, data, offsets in chunks(b.column(place)):
                     if len(data) and trees:
                         distinct, back = np.unique(_keys(_FOLD[data], offsets), return_inverse=True)
                         if alone:
@@ -198,7 +204,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
                             sums[lo + full, j] += np.add.reduceat(bits[back, j], offsets[full])
                 if not last:
                     flat = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * len(langs)), pa.array(sums.reshape(-1)))
-                    yield pa.RecordBatch.from_arrays([*b.columns[: len(names) + 2], flat], names=[*names, "t", "letters", "sums"])
+                    yield pa.RecordBatch.from_arrays([*b.columns[: len(names) + len(body) + 1], flat], names=[*names, *body, "letters", "sums"])
                     continue
                 lang, score = [], []
                 for row, has in zip(sums, letters, strict=True):
@@ -207,7 +213,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
                     score.append(0.0 if best < 0 else float(1 / np.exp2(np.maximum(row[best] - row, -1000)).sum()))
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
 
-        return frame.mapInArrow(run, schema + ("lang_pred string, score double" if last else "t string, letters boolean, sums array<double>"))
+        return frame.mapInArrow(run, schema + ("lang_pred string, score double" if last else "t string, " * len(body) + "letters boolean, sums array<double>"))
 
     frame, several = kept, max(1, len(model.slices))
     for i in range(several):

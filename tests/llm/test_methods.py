@@ -7,6 +7,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from blockloom.llm import brown, decontam, langid, pieces, pii, quality, queries
@@ -109,7 +110,7 @@ def contaminated(docs, bench):
     for i, t in bench:
         w = words(t)
         for j in range(max(1, len(w) - 12) if w else 0):
-            items[tuple(w[j : j + 13])].add(str(i))
+            items[tuple(w[j : j + 13])].add(None if i is None else str(i))
     sizes, out = {len(x) for x in items}, {}
     for k, t in docs:
         w = words(t)
@@ -119,7 +120,7 @@ def contaminated(docs, bench):
                 if (x := items.get(tuple(w[j : j + n]))) is not None:
                     hit[j : j + n] = [True] * n
                     of |= x
-        out[k] = (len(w), sum(hit), len(of), hashlib.sha256(",".join(sorted(of)).encode()).hexdigest(), sum(hit) > 0 and 20 * sum(hit) >= len(w))
+        out[k] = (len(w), sum(hit), len(of), hashlib.sha256(",".join(sorted(of - {None})).encode()).hexdigest(), sum(hit) > 0 and 20 * sum(hit) >= len(w))
     return out
 
 
@@ -130,11 +131,18 @@ def test_op6(spark, sf, rows, odd):
     got = {r.doc_id: tuple(r[c] for c in keys) for r in queries.QUERIES["op6_winnow_decontam"](spark, sf).collect()}
     assert got == want and any(x[4] for x in want.values())
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    few = spark.createDataFrame([*bench, (900, "one"), (901, "w w"), (902, None), (903, "")], "item_id long, text string")
-    blocks = decontam.contamination(docs, few, block_bytes=9000)
-    assert {r.doc_id: tuple(r[c] for c in keys) for r in blocks.collect()} == contaminated(rows, [*bench, (900, "one"), (901, "w w")])
+    few = spark.createDataFrame([*bench, (900, "one"), (901, "w w"), (902, None), (903, ""), (904, "W  w"), (None, "one two three"), (905, "w " * 40)], "item_id long, text string")
+    more = [*bench, (900, "one"), (901, "w w"), (904, "w w"), (None, "one two three"), (905, "w " * 40)]
+    assert {r.doc_id: tuple(r[c] for c in keys) for r in decontam.contamination(docs, few).collect()} == contaminated(rows, more)
     got = {r.doc_id: tuple(r[c] for c in keys) for r in decontam.contamination(odd, few).where("doc_id is not null").collect()}
-    assert got == contaminated([(k, t or "") for k, t, _ in ODD if k is not None], [*bench, (900, "one"), (901, "w w")])
+    assert got == contaminated([(k, t or "") for k, t, _ in ODD if k is not None], more)
+    # a nameless item hits, counts once and stays out of the hash
+    one = spark.createDataFrame([(1, "one two three"), (2, None)], "doc_id long, text string")
+    nameless = few.where("item_id is null")
+    assert [tuple(r[c] for c in keys) for r in decontam.contamination(one, nameless.union(nameless)).orderBy("doc_id").collect()] == [(3, 3, 1, hashlib.sha256(b"").hexdigest(), True), (0, 0, 0, hashlib.sha256(b"").hexdigest(), False)]
+    assert decontam.contamination(odd, few.limit(0)).where("n_hit = 0").count() == len(ODD) and decontam.contamination(odd.limit(0), few).count() == 0
+    with pytest.raises(ValueError):
+        decontam.contamination(odd.withColumn("n_hit", F.lit(1)), few, keep=["n_hit"])
 
 
 def test_op7(spark):
