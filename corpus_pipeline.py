@@ -47,8 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule doesn't hold for stay."""
     named, names = _apart(docs)
-    names = ["__body" if n == "text" else n for n in names]
-    found = decontam.contamination(named.withColumn("__body", F.col("text")), table(spark, sf_dir, "benchmark"), keep=[n for n in names if n != "doc_id"])
+    found = decontam.contamination(named, table(spark, sf_dir, "benchmark"), keep=[n for n in names if n != "doc_id"])
     return found.where(~F.col("contaminated")).select(*names).toDF(*docs.columns)
 
 
