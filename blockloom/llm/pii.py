@@ -1,10 +1,14 @@
 """Surrogates for personal data and secrets, in DataFrame functions only (operator 7).
 
-Entities are found by one pattern of alternatives. Each distinct entity of the corpus gets one surrogate, derived from a keyed
-hash of the entity: letters become letters of the same case, digits digits, separators stay; each kind has its own fixed
-parts. The same entity gets the same surrogate everywhere (coreference). Two entities of one surrogate, or a surrogate that
-is itself an entity of the corpus, are a collision: the later one in order of text draws again until none is left. From the
-third draw on a surrogate is longer by keyed characters, more with each draw, so there is always room for another.
+Entities are found by one pattern of alternatives. What identifies an entity is its key: an address in lower case, the digits
+of a number, the family name and the given name of a person; so `Mr John Smith` and `Mr. Smith`, or one number written in
+two ways, stay one entity (coreference). Each distinct key gets one surrogate, derived from a keyed hash: letters become
+letters, digits digits; each kind has its own fixed parts, and the domain of an address its own surrogate. An entity is then
+written in its own format: title, separators, groups, upper case. Two keys of one surrogate, or a surrogate that is itself
+a key of the corpus, are a collision: the later one in order of text draws again until none is left. From the third draw on
+a surrogate is longer by keyed characters, more with each draw, so there is always room for another.
+
+Names without a title aren't found, as no pattern tells them from other words.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "secret": r"\b[0-9a-f]{40}\b|\b[0-9a-f]{64}\b",
+    "iban": r"\b[A-Z]{2}\d{2} ?[A-Z0-9]{4}(?: ?\d{4}){2,6}(?: ?\d{1,3})?\b",
+    "ipv6": r"(?<![0-9A-Za-z:])(?=[A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![0-9A-Za-z:])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d\-])\d{4}([ \-]?)\d{4}\1\d{4}\1\d{4}(?![\d])|(?<![\d\-])3[47]\d{13}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -26,7 +32,7 @@ PATTERNS = {
     "name": r"(?<!\p{L})(?:Mr|Mrs|Ms|Mme|Herr|Frau|Señor|Señora|Monsieur|Madame|Г-н|Г-жа)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?(?!\p{L})",
 }
 #: What every entity of a kind contains; a text without any of these isn't searched.
-HINTS = {"email": "@", "access_key": "AKIA|ASIA", "secret": "[0-9]|[a-f]{40}", "ip": "[0-9]", "card": "[0-9]", "ssn": "[0-9]", "phone": "[0-9]", "name": r"(?:Mr|Mrs|Ms|Mme|Herr|Frau|Señora?|Monsieur|Madame|Г-н|Г-жа)\.? "}
+HINTS = {"email": "@", "access_key": "AKIA|ASIA", "secret": "[0-9]|[a-f]{40}", "iban": "[0-9]", "ipv6": "[0-9A-Fa-f]:", "ip": "[0-9]", "card": "[0-9]", "ssn": "[0-9]", "phone": "[0-9]", "name": r"(?:Mr|Mrs|Ms|Mme|Herr|Frau|Señora?|Monsieur|Madame|Г-н|Г-жа)\.? "}
 #: Fixed: titles that go with a man's name; the others go with a woman's.
 MALE = ["Mr", "Herr", "Señor", "Monsieur", "Г-н"]
 #: Fixed: given names by gender, in Latin and in Cyrillic script.
@@ -43,7 +49,7 @@ EVERY = "|".join(f"(?:{p})" if k != "card" else f"(?:{p.replace('(' + '[ ' + chr
 
 def _kind(e: Column) -> Column:
     out = F.lit("phone")
-    for k in ("name", "ssn", "card", "ip", "secret", "access_key", "email"):
+    for k in ("name", "ssn", "card", "ip", "ipv6", "iban", "secret", "access_key", "email"):
         out = F.when(e.rlike(f"^(?:{PATTERNS[k]})$"), k).otherwise(out)
     return out
 
@@ -68,78 +74,133 @@ def luhn(e: Column) -> Column:
     return F.aggregate(added, F.lit(0), lambda a, x: a + x) % 10
 
 
-def _surrogate(kind: Column, e: Column, d: Column, x: Column) -> Column:
-    """The surrogate of e from the hex digits d, lengthened by the hex digits x, of which the first draws have none."""
+def _script(c: Column) -> Column:
+    return F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+
+
+def _keys(e: Column, kind: Column) -> Column:
+    """The keys of an entity as an array of (kind, c): family and given name of a name, one key of others."""
+    words = F.split(e, " ")
+    family, given = F.element_at(words, -1), F.when(F.size(words) == 3, F.element_at(words, 2))
+    gender = F.when(F.regexp_replace(F.element_at(words, 1), r"\.", "").isin(MALE), "m").otherwise("f")
+    one = lambda k, c: F.struct(k.alias("kind"), c.alias("c"))
+    names = F.array(one(F.concat(F.lit("family_"), _script(family)), family), one(F.concat(F.lit("given_"), gender, F.lit("_"), _script(given)), given))
+    digits = F.regexp_replace(e, "[^0-9]", "")
+    c = F.when(kind.isin("email", "secret", "ipv6"), F.lower(e)).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.translate(e, " ", ""))
+    c = c.when(kind == "phone", F.concat(F.when(e.startswith("+"), "+").otherwise(""), digits)).otherwise(e)
+    return F.when(kind == "name", F.filter(names, lambda x: x["c"].isNotNull())).otherwise(F.array(one(kind, c)))
+
+
+def _checked(bban: Column, country: Column) -> Column:
+    """Country, check digits and account: the whole, moved round and read in digits, leaves 1 modulo 97."""
+    value = lambda acc, ch: F.when(ch.rlike("[0-9]"), (acc * 10 + ch.cast("int")) % 97).otherwise((acc * 100 + F.ascii(ch) - 55) % 97)
+    rest = F.aggregate(F.filter(F.split(F.concat(bban, country, F.lit("00")), ""), lambda ch: ch != ""), F.lit(0), value)
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), bban)
+
+
+def _surrogate(kind: Column, c: Column, d: Column, dd: Column, x: Column) -> Column:
+    """The surrogate of key c from the hex digits d, and dd for a domain, lengthened by the hex digits x, of which the first draws have none."""
     hexed = lambda at, n: F.conv(F.substring(d, at, n), 16, 10).cast("int")
-    more = F.translate(x, "abcdef", "012345")
-    local, domain = F.substring_index(e, "@", 1), F.concat(F.when(x != "", F.concat(F.lit("h"), x, F.lit("."))).otherwise(""), F.lit("mail"), (hexed(100, 2) % 10).cast("string"), F.lit(".example.net"))
-    card0 = F.concat(_drawn(e, d, 1), more)
+    more, letters = F.translate(x, "abcdef", "012345"), F.translate(x, "0123456789abcdef", "abcdefghijklmnop")
+    # the domain keeps its labels' lengths; its last label becomes a reserved one
+    local, domain = F.substring_index(c, "@", 1), F.substring_index(c, "@", -1)
+    labels = F.regexp_replace(domain, r"\.[^.]*$", "")
+    email = F.concat(_drawn(local, d), letters, F.lit("@"), _drawn(labels, dd), F.lit(".example"))
+    card0 = F.concat(_drawn(c, d, 1), more)
     # a card number that has a right check digit gets one: the last digit is set to what the sum asks for
     body = F.concat(card0.substr(F.lit(1), F.length(card0) - 1), F.lit("0"))
-    card = F.when(luhn(e) == 0, F.concat(card0.substr(F.lit(1), F.length(card0) - 1), F.pmod(10 - luhn(body), F.lit(10)).cast("string"))).otherwise(card0)
-    # the reserved block 240.0.0.0/4: no host has such an address
+    card = F.when(luhn(c) == 0, F.concat(card0.substr(F.lit(1), F.length(card0) - 1), F.pmod(10 - luhn(body), F.lit(10)).cast("string"))).otherwise(card0)
+    # the reserved block 240.0.0.0/4: no host has such an address; beyond it the documentation block 2001:db8::/32
+    v6 = F.concat(F.lit("2001:db8"), F.regexp_replace(F.substring(d, 1, 24), "(.{4})", ":$1"))
     ip = F.concat_ws(".", (240 + hexed(1, 2) % 15).cast("string"), *[(hexed(3 + 3 * i, 3) % 256).cast("string") for i in range(3)])
-    # beyond it the documentation block 2001:db8::/32
-    ip = F.when(x == "", ip).otherwise(F.concat(F.lit("2001:db8"), F.regexp_replace(F.substring(d, 1, 24), "(.{4})", ":$1")))
-    title = F.regexp_extract(e, r"^([^ ]+ )", 1)
-    script = F.when(e.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    male = F.regexp_replace(F.trim(title), r"\.", "").isin(MALE)
+    ip = F.when(x == "", ip).otherwise(v6)
+    # calling codes that begin with 1 or 7 have one digit; of others two stay
+    code = F.regexp_extract(c, r"^\+([17]|\d{2})", 1)
+    phone = F.concat(code, _drawn(F.regexp_replace(c, r"^\+(?:[17]|\d{2})", ""), d), more)
 
     def pick(values: list[str], at: int) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), hexed(at, 2) % len(values) + 1)
 
-    further = lambda s: F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.element_at(F.array(*map(F.lit, SYLLABLES[s])), F.conv(F.when(c != "", c), 16, 10).cast("int") + 1), F.lit(""))), "")
-    family = lambda s: F.initcap(F.concat(*[pick(SYLLABLES[s], 10 + 2 * i) for i in range(4)], further(s)))
-    given = lambda s: F.when(male, pick(GIVEN["m", s], 30)).otherwise(pick(GIVEN["f", s], 30))
-    two = e.rlike(r"^[^ ]+ [^ ]+ [^ ]+$")
-    named = lambda s: F.concat(title, F.when(two, F.concat(given(s), F.lit(" "), family(s))).otherwise(family(s)))
-    name = F.when(script == "cyrillic", named("cyrillic")).otherwise(named("latin"))
-    phone = F.when(e.startswith("+"), F.concat(F.regexp_extract(e, r"^(\+\d{1,3})", 1), _drawn(F.regexp_replace(e, r"^\+\d{1,3}", ""), d))).otherwise(_drawn(e, d))
-    return (
-        F.when(kind == "email", F.concat(_drawn(local, d), F.lit("@"), domain)).when(kind == "access_key", F.concat(F.substring(e, 1, 4), _drawn(F.substring(e, 5, 16), d), F.translate(x, "0123456789abcdef", "ABCDEFGHIJKLMNOP")))
-        .when(kind == "secret", F.concat(F.substring(d, 1, F.length(e)), x)).when(kind == "ip", ip).when(kind == "card", card).when(kind == "name", name)
-        .when(kind == "phone", F.concat(phone, F.when(x != "", F.concat(F.lit(" x"), more)).otherwise(""))).otherwise(F.concat(_drawn(e, d), F.when(x != "", F.concat(F.lit("-"), more)).otherwise("")))
-    )
+    further = lambda s: F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.element_at(F.array(*map(F.lit, SYLLABLES[s])), F.conv(F.when(ch != "", ch), 16, 10).cast("int") + 1), F.lit(""))), "")
+    out = F.when(kind == "email", email).when(kind == "access_key", F.concat(F.substring(c, 1, 4), _drawn(F.substring(c, 5, 16), d), F.upper(letters)))
+    out = out.when(kind == "secret", F.concat(F.substring(d, 1, F.length(c)), x)).when(kind == "ip", ip).when(kind == "ipv6", v6).when(kind == "card", card).when(kind == "phone", phone)
+    out = out.when(kind == "iban", _checked(F.concat(_drawn(c.substr(F.lit(5), F.length(c)), d), more), F.substring(c, 1, 2)))
+    for s in SYLLABLES:
+        out = out.when(kind == f"family_{s}", F.initcap(F.concat(*[pick(SYLLABLES[s], 10 + 2 * i) for i in range(4)], further(s))))
+        for g in ("m", "f"):
+            out = out.when(kind == f"given_{g}_{s}", F.concat(pick(GIVEN[g, s], 30), further(s)))
+    return out.otherwise(F.concat(_drawn(c, d), more))
 
 
-def surrogates(entities: DataFrame, secret: str) -> DataFrame:
-    """(e, kind, s) for distinct entities e: no two share a surrogate and none is itself an entity."""
-    frame = entities.select("e").distinct().select("e", _kind(F.col("e")).alias("kind"), F.lit(0).alias("draw"))
+def _written(e: Column, kind: Column, s: Column) -> Column:
+    """Surrogates s of an entity's keys in the format of e."""
+    one, chars = s[0], F.split(e, "")
+    # digits are poured into the places of e's digits, those left over follow
+    n = lambda i: F.length(F.regexp_replace(e.substr(F.lit(1), i), "[^0-9]", ""))
+    poured = F.concat(F.array_join(F.transform(chars, lambda ch, i: F.when(ch.rlike("[0-9]"), one.substr(n(i + 1), F.lit(1))).otherwise(ch)), ""), one.substr(n(F.length(e)) + 1, F.lit(100)))
+    grouped = F.when(e.contains(" "), F.rtrim(F.regexp_replace(one, "(.{4})", "$1 "))).otherwise(one)
+    name = F.concat(F.regexp_extract(e, r"^([^ ]+ )", 1), F.when(F.size(s) == 2, F.concat(s[1], F.lit(" "))).otherwise(""), s[0])
+    cased = F.when((e == F.upper(e)) & (e != F.lower(e)), F.upper(one)).otherwise(one)
+    return F.when(kind == "name", name).when(kind.isin("phone", "card", "ssn"), poured).when(kind == "iban", grouped).when(kind == "email", cased).otherwise(one)
+
+
+def _drawn_keys(keys: DataFrame, secret: str) -> DataFrame:
+    """(kind, c, s) for distinct keys (kind, c): no two share a surrogate and none is itself a key."""
 
     def drawn(f: DataFrame) -> DataFrame:
-        seed = lambda part: F.sha2(F.concat_ws("\x1f", F.lit(secret), F.lit(part), "kind", "e", F.col("draw").cast("string")).cast("binary"), 256)
+        seed = lambda part, *of: F.sha2(F.concat_ws("\x1f", F.lit(secret), F.lit(part), *of).cast("binary"), 256)
+        own = ("kind", "c", F.col("draw").cast("string"))
         # none in draws 0 and 1, then 8 hex digits more each draw, 64 at most: 2^256 surrogates
-        longer = seed("c").substr(F.lit(1), F.greatest(F.lit(0), F.least(F.lit(64), 8 * (F.col("draw") - 1))))
-        d = f.withColumn("d", F.concat(seed("a"), seed("b"))).withColumn("x", longer)
-        return d.select("e", "kind", "draw", _surrogate(F.col("kind"), F.col("e"), F.col("d"), F.col("x")).alias("s"))
+        longer = seed("c", *own).substr(F.lit(1), F.greatest(F.lit(0), F.least(F.lit(64), 8 * (F.col("draw") - 1))))
+        domain = F.substring_index("c", "@", -1)
+        d = f.withColumn("d", F.concat(seed("a", *own), seed("b", *own))).withColumn("dd", F.concat(seed("d", domain), seed("e", domain))).withColumn("x", longer)
+        return d.select("kind", "c", "draw", _surrogate(F.col("kind"), F.col("c"), F.col("d"), F.col("dd"), F.col("x")).alias("s"))
 
-    held = staged(drawn(frame), "surrogates")
+    held = staged(drawn(keys.select("kind", "c").distinct().withColumn("draw", F.lit(0))), "surrogates")
     while True:
-        taken = held.groupBy("s").agg(F.min("e").alias("first"))
-        clash = held.join(taken, "s").where("e <> first").select("e").unionByName(held.select(F.col("s")).join(held.select(F.col("e").alias("s")), "s", "left_semi").join(held.select("e", "s"), "s").select("e")).distinct()
+        taken = held.groupBy("s").agg(F.min("c").alias("first"), F.count(F.lit(1)).alias("n"))
+        several = held.join(taken.where("n > 1"), "s")
+        # of one key under two kinds the later kind draws again
+        first = several.groupBy("s").agg(F.min(F.struct("c", "kind")).alias("keeps"))
+        clash = several.join(first, "s").where("c <> keeps.c or kind <> keeps.kind").select("kind", "c")
+        clash = clash.unionByName(held.join(held.select(F.col("c").alias("s")).distinct(), "s", "left_semi").select("kind", "c")).distinct()
         clash = staged(clash, "clashes")
         if clash.isEmpty():
-            return held.select("e", "kind", "s")
-        again = drawn(held.join(clash, "e", "left_semi").select("e", "kind", (F.col("draw") + 1).alias("draw")))
-        held = staged(held.join(clash, "e", "left_anti").unionByName(again), "surrogates")
+            return held.select("kind", "c", "s")
+        again = drawn(held.join(clash, ["kind", "c"], "left_semi").select("kind", "c", (F.col("draw") + 1).alias("draw")))
+        held = staged(held.join(clash, ["kind", "c"], "left_anti").unionByName(again), "surrogates")
+
+
+def surrogates(entities: DataFrame, secret: str) -> DataFrame:
+    """(e, kind, s) for distinct entities e: their surrogates, in their own formats."""
+    kind = entities.select("e").distinct().select("e", _kind(F.col("e")).alias("kind"))
+    each = staged(kind.select("e", "kind", F.posexplode(_keys(F.col("e"), F.col("kind"))).alias("at", "key")).select("e", F.col("kind").alias("of"), "at", "key.kind", "key.c"), "keys")
+    given = each.join(_drawn_keys(each, secret), ["kind", "c"])
+    parts = given.groupBy("e").agg(F.first("of").alias("kind"), F.sort_array(F.collect_list(F.struct("at", "s")))["s"].alias("ss"))  # two at most
+    return parts.select("e", "kind", _written(F.col("e"), F.col("kind"), F.col("ss")).alias("s"))
 
 
 def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with every entity in `text` replaced, and n_entities; all other columns stay.
 
-    Null text stays null, with no entities. Rows need no unique key: a text's replacements are looked up by the hash of
-    the text itself, in which rows of equal text agree. A column n_entities of docs is replaced.
+    Null text stays null and empty text empty, with no entities. Rows need no key and may repeat: each gets the surrogates
+    of its own entities. An empty table gives none. A column n_entities of docs is replaced.
+
+    The pattern is applied once to every text that has a hint of an entity, and the result is written. Documents without
+    an entity are done then; only the others are joined with their surrogates, row by row.
     """
-    found = F.expr("regexp_extract_all(__t, __p, 0)")
-    body = docs.withColumn("__t", F.col(text)).withColumn("__p", F.lit(EVERY))
-    source = body.select(F.col("__t"), F.sha2(F.col("__t").cast("binary"), 256).alias("fp"), "__p")
-    each = staged(source.where(F.col("__t").rlike("|".join(dict.fromkeys(HINTS.values())))).select("fp", F.array_distinct(found).alias("es")).where(F.size("es") > 0).select("fp", F.explode("es").alias("e")).distinct(), "entities")
-    given = surrogates(each, secret)
-    maps = each.join(given, "e").groupBy("fp").agg(F.map_from_entries(F.collect_list(F.struct("e", "s"))).alias("__m"))
-    joined = docs.drop("n_entities").withColumn("__fp", F.sha2(F.col(text).cast("binary"), 256)).join(maps.withColumnRenamed("fp", "__fp"), "__fp", "left")
-    es = F.expr(f"regexp_extract_all(`{text}`, __p, 0)")
-    parts = F.split(F.col(text), EVERY, -1)
-    new = F.array_join(F.zip_with(parts, "__e", lambda p, e: F.concat(p, F.coalesce(F.element_at(F.col("__m"), e), e, F.lit("")))), "")
-    joined = joined.withColumn("__p", F.lit(EVERY)).withColumn("__e", F.when(F.col("__m").isNotNull(), es))
-    out = joined.withColumn(text, F.when(F.col("__m").isNotNull(), new).otherwise(F.col(text))).withColumn("n_entities", F.coalesce(F.size("__e"), F.lit(0)).cast("long"))
-    return out.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
+    columns = [c for c in docs.columns if c != "n_entities"]
+    names = [f"c{i}" for i in range(len(columns))]
+    t = F.col(names[columns.index(text)])
+    found = F.when(t.rlike("|".join(dict.fromkeys(HINTS.values()))), F.regexp_extract_all(t, F.lit(EVERY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)])
+    rows = staged(rows.withColumn("es", F.coalesce(found, F.array().cast("array<string>"))).withColumn("row", F.monotonically_increasing_id()), "entities")
+    some = rows.where(F.size("es") > 0)
+    each = some.select("row", F.explode(F.array_distinct("es")).alias("e"))
+    given = staged(surrogates(each, secret), "given")
+    maps = staged(each.join(given, "e").groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("e", "s"))).alias("m")), "maps")  # a text's own entities
+    parts = F.split(t, EVERY, -1)
+    new = F.array_join(F.zip_with(parts, "es", lambda p, e: F.concat(p, F.coalesce(F.element_at(F.col("m"), e), e, F.lit("")))), "")
+    done = some.join(maps, "row").withColumn(names[columns.index(text)], new)
+    out = done.select(*names, F.size("es").cast("long").alias("n")).unionByName(rows.where(F.size("es") == 0).select(*names, F.lit(0).cast("long").alias("n")))
+    return out.toDF(*columns, "n_entities")
