@@ -217,14 +217,63 @@ def test_op8(spark, sf, rows, odd):
     tokens = lambda t: [*low(t).encode().split(), None]
     train = collections.Counter(x for k, t in rows if zlib.crc32(str(k).encode()) % 5 != 1 for x in tokens(t))
     n, v = sum(train.values()), len(train)
+    score = base = 0
     for r in queries.QUERIES["op8_brown_bigrams"](spark, sf).collect():
-        own = tokens(dict(rows)[r.doc_id]) if r.doc_id < 40 else None
+        own = tokens(dict(rows)[r.doc_id])
         assert r.train_tokens == n and r.score < 0
-        if own:
-            assert (r.n_tokens, r.n_known) == (len(own), sum(train[x] > 0 for x in own))
-            assert r.base_score == pytest.approx(sum(math.log10((train[x] + 0.5) / (n + 0.5 * (v + 1))) for x in own), abs=1e-6)
-    assert brown.score(odd, "lang = 'en'", frequent=2, clustered=1, classes=1).count() == len(ODD)
-    assert brown.score(odd, "false").count() == len(ODD)
+        assert (r.n_tokens, r.n_known) == (len(own), sum(train[x] > 0 for x in own))
+        assert r.base_score == pytest.approx(sum(math.log10((train[x] + 0.5) / (n + 0.5 * (v + 1))) for x in own), abs=1e-6)
+        if r.held_out:
+            score, base = score + r.score, base + r.base_score
+    assert score > 0.98 * base  # both negative: the classes beat the words alone by 2 % at least
+    assert brown.score(odd, "lang = 'en'", known=2, core=1, classes=1).count() == len(ODD)
+    assert brown.score(odd, "false").count() == len(ODD) and brown.score(odd.limit(0), "true").count() == 0
+    with pytest.raises(ValueError):
+        brown.score(odd.withColumn("score", F.lit(1)), "true", keep=["score"])
+
+
+@pytest.mark.parametrize("known", [3, 12, 1000])
+def test_op8_against_plain_sums(spark, known):
+    """Scores from the model's classes and counts in plain Python, where few, most or all words are in the table."""
+    import random
+
+    from blockloom.llm.words import PLAIN, span_hash
+
+    dice = random.Random(11)
+    texts = [" ".join(dice.choice(["the", "a"]) + " " + dice.choice(["dog", "cat", "cow", "hen"] + [f"n{i}" for i in range(30)]) + " " + dice.choice(["ran", "sat", "ate"] + [f"v{i}" for i in range(20)]) for _ in range(dice.randrange(12))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    options = {"known": known, "core": 4, "classes": 5}
+    m = brown.train(df.where("doc_id < 40"), **options)
+    hashed = lambda x: int(span_hash(pieces.np.frombuffer(x.encode(), "u1"), pieces.np.array([0]), pieces.np.array([len(x)])).view("i8")[0])
+    table = dict(zip(m.table.hashes.view("i8").tolist(), zip(m.table.counts.tolist(), m.table.cls.tolist(), m.table.before.tolist())))
+    outside = {r.w: (r.c, r.cls) for r in m.outside.collect()}
+    train = collections.Counter(x for t in texts[:40] for x in t.split())
+    assert {hashed(x): c for x, c in train.items()} == {w: x[0] for w, x in (*table.items(), *outside.items())} and len(table) <= known
+    assert all(c == 5 for n, c in outside.values() if n == 1) and all(c < 5 for n, c in outside.values() if n > 1)
+    # class bigrams and words by class, counted again
+    rare, end, big, types = 5, 6, collections.Counter(), collections.Counter()
+    cls = lambda x: end if x is None else table[hashed(x)][1] if hashed(x) in table else outside.get(hashed(x), (0, rare))[1]
+    history = lambda x: end if x is None else table[hashed(x)][2] if hashed(x) in table else rare
+    count = lambda x: 40 if x is None else train[x]
+    for t in texts[:40]:
+        for a, b in zip([None, *t.split()], [*t.split(), None]):
+            big[history(a), cls(b)] += 1
+    for x in (*train, None):
+        types[cls(x)] += 1
+    assert {k: v for k, v in big.items()} == {(h, c): int(m.bigrams[h, c]) for h in range(7) for c in range(7) if m.bigrams[h, c]}
+    total = sum(big.values())
+    into, out = collections.Counter(), collections.Counter()
+    for (h, c), k in big.items():
+        out[h] += k
+        into[c] += k
+
+    def step(a, b):
+        prior = (into[cls(b)] + 0.5) / (total + 0.5 * 7)
+        return math.log10((big[history(a), cls(b)] + brown.WEIGHT * prior) / (out[history(a)] + brown.WEIGHT)) + math.log10((count(b) + 0.5) / (into[cls(b)] + 0.5 * (types[cls(b)] + 1)))
+
+    got = {r.doc_id: r for r in brown.score(df, "doc_id < 40", **options).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].score == pytest.approx(sum(step(a, b) for a, b in zip([None, *t.split()], [*t.split(), None])))
 
 
 def test_op10(spark, sf, rows, odd):
