@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from blockloom.llm.common import partitions, staged
 from blockloom.llm.words import Words, chunks
 
-KNOWN, CORE, CLASSES, ROUNDS, WEIGHT, BLOCK = 1_000_000, 1000, 64, 2, 5.0, 2_000_000
+KNOWN, CORE, CLASSES, ROUNDS, WEIGHT, BLOCK = 250_000, 500, 64, 2, 5.0, 2_000_000
 #: Hash of the end token; word hashes are 64-bit, so a word has it with a probability of 2^-64.
 END = np.uint64(0x656E64)
 
@@ -97,6 +97,12 @@ class Table:
         return out
 
 
+def _columns(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The two columns of a bounded table, the first unsigned."""
+    got = df.toArrow()
+    return got.column(0).to_numpy().astype(np.int64).view(np.uint64), got.column(1).to_numpy()
+
+
 def _least(counts: DataFrame, known: int) -> int:
     """The least count of 2 or more that `known` words at most reach; counts are told apart by their 12 leading bits."""
     e = F.greatest(F.lit(0), F.floor(F.log2("c")).cast("int") - 11)
@@ -126,12 +132,12 @@ def core_bigrams(docs: DataFrame, core: np.ndarray, text: str = "text") -> np.nd
                 ids[tokens == END] = size - 1
                 total += np.bincount(np.append(size - 1, ids[:-1]) * size + ids, minlength=size * size)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["i", "n"])
 
     out = np.zeros(size * size, np.int64)
     if len(core):
-        got = docs.select(text).mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()  # (CORE + 2)^2 at most
-        out[got["i"].to_numpy()] = got["n"].to_numpy()
+        at, times = _columns(docs.select(text).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")))  # (CORE + 2)^2 at most
+        out[at.astype(np.int64)] = times
     return out.reshape(size, size)
 
 
@@ -306,8 +312,7 @@ def train(docs: DataFrame, text: str = "text", known: int = KNOWN, core: int = C
     n_all, v_all, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(end, F.col("c"))), F.lit(0))).first()
     words = counts.where(~end)
     least = _least(words, known)
-    top = words.where(F.col("c") >= least).toPandas()  # `known` rows at most
-    table = Table(top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), classes)
+    table = Table(*_columns(words.where(F.col("c") >= least)), classes)  # `known` rows at most
     rank = np.lexsort((table.hashes, -table.counts))[:core]
     table.core[rank] = True
     mine = np.flatnonzero(table.core)
@@ -326,12 +331,12 @@ def train(docs: DataFrame, text: str = "text", known: int = KNOWN, core: int = C
         bigrams = np.zeros((table.size, table.size), np.int64)
         for r in found.where("w is null").groupBy("h", "cls").agg(F.sum("n").alias("n")).collect():  # classes squared
             bigrams[r.h, r.cls] = r.n
-        moved = found.where(F.col("w").isNotNull() & (F.col("n") >= least)).select("w", "cls").toPandas()  # `known` rows at most
+        moved, to = _columns(found.where(F.col("w").isNotNull() & (F.col("n") >= least)).select("w", "cls"))  # `known` rows at most
         # the classes of this round are predicted; the classes before them are those of the round before
         history = table
         table = Table(history.hashes, history.counts, classes)
         table.cls, table.core = history.cls.copy(), history.core
-        table.cls[np.searchsorted(table.hashes, moved["w"].to_numpy(np.int64).view(np.uint64))] = moved["cls"].to_numpy()
+        table.cls[np.searchsorted(table.hashes, moved)] = to
         table.before = history.cls
     types = np.bincount(table.cls, minlength=table.size).astype(np.float64)
     rest = found.where(F.col("w").isNotNull() & (F.col("n") < least))
