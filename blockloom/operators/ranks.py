@@ -19,6 +19,16 @@ def ranked(df: DataFrame, key: str = "ip", bits: int = 16, out: str = "rank") ->
     return d.withColumn("__r", inside).join(bins, "__p").withColumn(out, F.col("__before") + F.col("__r")).drop("__p", "__r", "__before")
 
 
+def running(df: DataFrame, key: str, n: str, out: str, everything: str, bits: int = 12) -> DataFrame:
+    """Adds the sum of n over all keys up to a row's unique key, and the sum over all rows; a window sees 2^bits keys, or one row a prefix."""
+    d = df.withColumn("__p", F.shiftright(key, bits))
+    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    bins = d.groupBy("__p").agg(F.sum(n).alias("__n"))
+    bins = bins.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy()).alias(everything))
+    own = F.sum(n).over(Window.partitionBy("__p").orderBy(key))
+    return d.withColumn("__own", own).join(bins, "__p").withColumn(out, F.col("__before") + F.col("__own")).drop("__p", "__own", "__before")
+
+
 def tiles(df: DataFrame, n: int, key: str = "ip", bits: int = 16, out: str = "shard") -> DataFrame:
     """n shards by rank whose sizes differ by at most one, the larger ones first."""
     size, more = F.expr(f"rows_all div {n}"), F.expr(f"rows_all % {n}")
@@ -37,6 +47,39 @@ def neighbours(df: DataFrame, targets: DataFrame, reach: int, key: str = "ip", b
     return spread.withColumn("rank", F.col("rank") + F.col("distance")).join(at, "rank").drop("rank")
 
 
+def assigned(df: DataFrame, bounds: list[int], key: str = "ip", out: str = "shard") -> DataFrame:
+    """Adds the number of the half-open range [bounds[i], bounds[i + 1]) that the key falls in, null outside; no join.
+
+    `bounds` is a plan's, one entry a shard.
+    """
+    at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(key))).cast("long") - 1
+    return df.withColumn(out, F.when((F.col(key) >= bounds[0]) & (F.col(key) < bounds[-1]), at))
+
+
+def percentiles(df: DataFrame, group: str, value: str, wanted: dict[str, float], bits: int = 12) -> DataFrame:
+    """(group, one column a name) exact percentiles, interpolated, of a whole-number column; nulls are left out.
+
+    Values are counted first. A running sum over counts by the values' high bits finds the bucket of each wanted rank, and
+    only those buckets' values are ranked, each bucket by itself: no task holds a group's values.
+    """
+    n = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("g"), F.col(value).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("n")).withColumn("b", F.shiftright("v", bits))
+    buckets = n.groupBy("g", "b").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("g")
+    before = F.coalesce(F.sum("n").over(w.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    buckets = buckets.withColumns({"before": before, "all": F.sum("n").over(w)})
+    ranks_of = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), (F.lit(q) * (F.col("all") - 1)).alias("at")) for name, q in wanted.items()]))
+    ends = buckets.select("g", "b", "before", "n", ranks_of.alias("x")).select("g", "b", "before", "n", "x.name", "x.at")
+    ends = ends.select("g", "b", "before", "n", "name", "at", F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("r")).distinct().where("r >= before and r < before + n")
+    inside = Window.partitionBy("g", "b").orderBy("v")
+    placed = n.join(ends.select("g", "b").distinct(), ["g", "b"], "left_semi").withColumn("to", F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = placed.select("g", "b", "v", (F.col("to") - F.col("n")).alias("lo"), "to")
+    found = ends.select("g", "b", "before", "name", "at", "r").join(placed, ["g", "b"]).where("r - before >= lo and r - before < to")
+    part = F.col("at") - F.floor("at")
+    value_at = F.sum(F.when(F.floor("at") == F.ceil("at"), F.col("v").cast("double")).when(F.col("r") == F.floor("at"), F.col("v") * (1 - part)).otherwise(F.col("v") * part))
+    long = found.groupBy("g", "name").agg(value_at.alias("p"))
+    return long.groupBy(F.col("g").alias(group)).agg(*[F.max(F.when(F.col("name") == name, F.col("p"))).alias(name) for name in wanted])
+
+
 def balanced(df: DataFrame, size: str, key: str, target: int, by: str, out: str = "bucket") -> DataFrame:
     """Buckets of about `target` rows within each shard: blocks by size (largest first), cut by running size."""
     w = Window.partitionBy(by)

@@ -31,7 +31,7 @@ def islands(df: DataFrame, key: str, chunk_bits: int = 16, max_gap: int = 0, out
     """Adds the first key of each run of consecutive keys (steps of at most max_gap + 1).
 
     Keys are cut into chunks by their high bits and runs are found within each chunk; what crosses chunk edges is settled
-    on a frame of one row a chunk (2^16 at most for 32-bit keys), which is then broadcast. No window sees all rows.
+    on a frame of one row a chunk (2^16 at most for 32-bit keys and the default bits). No window sees all rows.
     """
     k = F.col(key)
     w = Window.partitionBy("__c").orderBy(key)
@@ -43,14 +43,14 @@ def islands(df: DataFrame, key: str, chunk_bits: int = 16, max_gap: int = 0, out
     chunk = chunk.withColumn("touch", F.coalesce(F.col("lo") - F.lag("hi").over(cw) <= max_gap + 1, F.lit(False)))
     chunk = chunk.withColumn("brk", F.when(~(F.col("touch") & (F.col("ls") == F.col("lo"))), F.col("ls")))
     chunk = chunk.withColumn("carried", F.when(F.col("touch"), F.max("brk").over(cw.rowsBetween(Window.unboundedPreceding, -1))))
-    fixed = d.join(F.broadcast(chunk.select("__c", "lo", "carried")), "__c")
+    fixed = d.join(chunk.select("__c", "lo", "carried"), "__c")
     return fixed.withColumn(out, F.when((F.col("__start") == F.col("lo")) & F.col("carried").isNotNull(), F.col("carried")).otherwise(F.col("__start"))).drop("__c", "__new", "__start", "lo", "carried")
 
 
-def block_sums(df: DataFrame, by: str) -> DataFrame:
-    """Counts and, for each measure, the total and the valid sum."""
+def block_sums(df: DataFrame, by: str, *more: Column) -> DataFrame:
+    """Counts and, for each measure, the total and the valid sum; `more` aggregates beside them."""
     sums = [F.coalesce(F.sum(x), F.lit(0)).alias(f"{m}_{s}") for m in MEASURES for s, x in (("total", F.col(m)), ("valid", F.when(F.col("is_valid"), F.col(m))))]
-    return df.groupBy(by).agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), F.count(F.lit(1)).alias("member_cnt"), F.count_if("is_valid").alias("valid_cnt"), *sums)
+    return df.groupBy(by).agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), F.count(F.lit(1)).alias("member_cnt"), F.count_if("is_valid").alias("valid_cnt"), *sums, *more)
 
 
 def scored(profile: DataFrame, density_cuts: tuple[tuple[int, int], ...] = ((7, 2), (13, 2), (30, 1), (200, 1))) -> DataFrame:
@@ -120,17 +120,29 @@ def split_events(edges: DataFrame, void_len: int = 3) -> DataFrame:
     return e.withColumn("is_cut", c("trigger_report") | c("trigger_mobile") | c("trigger_operator") | c("trigger_density") | c("trigger_void")).drop("grp", "zlen", "zmin", "in_void")
 
 
-def cut_members(df: DataFrame, cuts: DataFrame, by: str, out: str) -> DataFrame:
-    """Members with the first key of their segment: every cut address is itself a member, so a running maximum of cut starts does it."""
-    marked = df.join(cuts.select(by, F.col("cut_ip").alias("ip"), F.lit(True).alias("__cut")).distinct(), [by, "ip"], "left")
-    w = Window.partitionBy(by).orderBy("ip").rowsBetween(Window.unboundedPreceding, 0)
-    return marked.withColumn(out, F.max(F.when(F.col("__cut") | (F.col("ip") == F.col(by)), F.col("ip"))).over(w)).drop("__cut")
+def cut_members(df: DataFrame, cuts: DataFrame, by: str, out: str, chunk_bits: int = 16) -> DataFrame:
+    """Members with the first key of their segment: every cut address is itself a member, so a running maximum of cut starts does it.
+
+    The maximum runs within chunks of a block's keys; what earlier chunks hand on comes from a frame of one row a block and chunk.
+    """
+    starts = cuts.select(by, F.col("cut_ip").alias("ip")).distinct().withColumn("__cut", F.lit(True))
+    marked = df.join(starts, [by, "ip"], "left").withColumn("__c", F.shiftright("ip", chunk_bits))
+    w = Window.partitionBy(by, "__c").orderBy("ip").rowsBetween(Window.unboundedPreceding, 0)
+    marked = marked.withColumn("__own", F.max(F.when(F.col("__cut") | (F.col("ip") == F.col(by)), F.col("ip"))).over(w))
+    # blocks start in a chunk of their own first member, so only cuts are handed on
+    last = starts.groupBy(by, F.shiftright("ip", chunk_bits).alias("__c")).agg(F.max("ip").alias("m"))
+    long = df.groupBy(by).agg(F.max("ip").alias("hi")).where(F.shiftright("hi", chunk_bits) > F.shiftright(F.col(by), chunk_bits))
+    every = long.select(by, F.explode(F.sequence(F.shiftright(F.col(by), chunk_bits), F.shiftright("hi", chunk_bits))).alias("__c"))
+    carried = every.join(last, [by, "__c"], "left").withColumn("__before", F.coalesce(F.max("m").over(Window.partitionBy(by).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)), F.col(by)))
+    fixed = marked.join(carried.select(by, "__c", "__before"), [by, "__c"], "left")
+    return fixed.withColumn(out, F.coalesce("__own", "__before", by)).drop("__cut", "__c", "__own", "__before")
 
 
 def inner_jumps(df: DataFrame, by: str = "segment", width: int = 16, jump: float = 10.0, shortest: int = 64) -> DataFrame:
     """Cuts inside segments of at least `shortest` addresses where the mean devices of adjacent 16-address windows jump."""
     w = Window.partitionBy(by)
-    span = df.withColumn("len", F.max("ip").over(w) - F.col(by) + 1).where(F.col("len") >= shortest)
+    long = df.groupBy(by).agg(F.max("ip").alias("hi")).where(F.col("hi") - F.col(by) + 1 >= shortest)
+    span = df.join(long.select(by), by, "left_semi")
     win = span.groupBy(by, F.expr(f"(ip - {by}) div {width}").alias("win")).agg(F.avg("devices").alias("mean"))
     o = w.orderBy("win")
     win = win.withColumns({"most": ratio(F.max("mean").over(w), F.min("mean").over(w)), "before": F.lag("mean").over(o), "prev": F.lag("win").over(o)})
@@ -141,7 +153,7 @@ def atoms(r1: DataFrame, least: int = 7) -> DataFrame:
     return r1.groupBy("atom27").agg(F.count_if("is_valid").alias("valid_cnt")).withColumns({"density": F.col("valid_cnt") / 32.0, "is_e_atom": F.col("valid_cnt") >= least})
 
 
-def runs(atom_frame: DataFrame, least: int = 3, chunk_bits: int = 11) -> tuple[DataFrame, DataFrame]:
+def runs(atom_frame: DataFrame, least: int = 3, chunk_bits: int = 16) -> tuple[DataFrame, DataFrame]:
     """(atoms with their run's first atom, runs with length and short flag)."""
     passing = islands(atom_frame.where("is_e_atom"), "atom27", chunk_bits, out="run")
     r = passing.groupBy("run").agg(F.max("atom27").alias("atom_end"), F.count(F.lit(1)).alias("run_len"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from blockloom.operators import ranks
 from blockloom.operators import segments as S
 from blockloom.plans.run import Run
 from blockloom.sources import fixture
@@ -122,7 +123,7 @@ def _(r: Run):
 @query("c3_shard_plan", "select shard, min(prefix) prefix_start, max(prefix) prefix_end, cast(sum(n) as bigint) n from (select prefix, n, cast((sum(n) over (order by prefix) - 1) * 8 // sum(n) over () as bigint) shard from (select ip >> 8 prefix, count(*) n from mem group by 1)) group by 1")
 def _(r: Run):
     bins = r.members.groupBy(F.shiftright("ip", 8).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))  # one row a prefix
-    at = bins.withColumns({"cum": F.sum("n").over(Window.orderBy("prefix")), "all": F.sum("n").over(Window.partitionBy())})
+    at = ranks.running(bins, "prefix", "n", "cum", "all")
     return at.groupBy(F.expr("((cum - 1) * 8) div all").alias("shard")).agg(F.min("prefix").alias("prefix_start"), F.max("prefix").alias("prefix_end"), F.sum("n").alias("n"))
 
 
@@ -138,8 +139,10 @@ def _(r: Run):
 
 @query("d3_block_stats", "select count(*) blocks, count(*) filter (member_cnt >= 4) blocks4, round(avg(member_cnt), 6) mean, quantile_cont(member_cnt, 0.5) p50, quantile_cont(member_cnt, 0.9) p90, quantile_cont(member_cnt, 0.99) p99, max(member_cnt) largest from presum")
 def _(r: Run):
-    q = lambda p: F.percentile("member_cnt", p)
-    return r.pre.agg(F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("member_cnt") >= 4).alias("blocks4"), F.round(F.avg("member_cnt"), 6).alias("mean"), q(0.5).alias("p50"), q(0.9).alias("p90"), q(0.99).alias("p99"), F.max("member_cnt").alias("largest"))
+    one = r.pre.withColumn("every", F.lit(0))
+    q = ranks.percentiles(one, "every", "member_cnt", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    out = one.groupBy("every").agg(F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("member_cnt") >= 4).alias("blocks4"), F.round(F.avg("member_cnt"), 6).alias("mean"), F.max("member_cnt").alias("largest"))
+    return out.join(q, "every").drop("every")
 
 
 @query("d4_atoms", "select atom27, valid_cnt, valid_cnt / 32.0 density, valid_cnt >= 7 is_e_atom from atm")
@@ -271,9 +274,12 @@ def _(r: Run):
     return r.f.select("ip", "operator", "is_valid", "reports", "devices", share("mobile").alias("mobile_ratio"), share("reports").alias("report_ratio"))
 
 
-@query("j1_library_kpis", "select lib, count(*) members, count(*) filter (is_valid) valid, quantile_cont(reports, 0.5) reports_p50, quantile_cont(reports, 0.9) reports_p90, quantile_cont(devices, 0.5) devices_p50, round(avg(mobile / nullif(devices, 0)), 6) mobile_share from lab group by 1")
+@query("j1_library_kpis", "select lib, count(*) members, count(*) filter (is_valid) valid, quantile_cont(reports, 0.5) reports_p50, quantile_cont(reports, 0.9) reports_p90, quantile_cont(devices, 0.5) devices_p50, quantile_cont(devices, 0.9) devices_p90, round(count(*) filter (is_valid) / count(*), 6) valid_share, round(avg(mobile / nullif(devices, 0)), 6) mobile_share from lab group by 1")
 def _(r: Run):
-    return r.labelled.groupBy("lib").agg(F.count(F.lit(1)).alias("members"), F.count_if("is_valid").alias("valid"), F.percentile("reports", 0.5).alias("reports_p50"), F.percentile("reports", 0.9).alias("reports_p90"), F.percentile("devices", 0.5).alias("devices_p50"), F.round(F.avg(S.ratio(F.col("mobile"), F.col("devices"))), 6).alias("mobile_share"))
+    own = r.labelled
+    out = own.groupBy("lib").agg(F.count(F.lit(1)).alias("members"), F.count_if("is_valid").alias("valid"), F.round(F.count_if("is_valid") / F.count(F.lit(1)), 6).alias("valid_share"), F.round(F.avg(S.ratio(F.col("mobile"), F.col("devices"))), 6).alias("mobile_share"))
+    out = out.join(ranks.percentiles(own, "lib", "reports", {"reports_p50": 0.5, "reports_p90": 0.9}), "lib")
+    return out.join(ranks.percentiles(own, "lib", "devices", {"devices_p50": 0.5, "devices_p90": 0.9}), "lib")
 
 
 @query("j2_top_operators", "select lib, operator, n, round(n / total, 6) share, r as rank from (select lib, operator, count(*) n, sum(count(*)) over (partition by lib) total, row_number() over (partition by lib order by count(*) desc, operator) r from lab group by 1, 2) where r <= 5")

@@ -89,7 +89,7 @@ def _(r: Run):
 
 @query("c4_exact_quantiles", "select tile - 1 shard, min(ip) ip_start, max(ip) ip_end, count(*) n from (select ip, ntile(8) over (order by ip) tile from mem) group by 1")
 def _(r: Run):
-    return ranks.tiles(r.members.select("ip"), 8, bits=12).groupBy("shard").agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), count())
+    return ranks.tiles(r.members.select("ip"), 8, bits=16).groupBy("shard").agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), count())
 
 
 _CHECKS = "count(*) = 8 all_shards, min(n) > 0 none_empty, bool_and(coalesce(prefix_start > before, true)) monotone, cast(sum(n) as bigint) >= 8 enough_rows"
@@ -181,8 +181,10 @@ _QUANTILES = {"p50": 0.5, "p85": 0.85, "p90": 0.9, "p95": 0.95}
 @query("i6_pool_stats", " union all ".join(f"select '{m}' metric, " + ", ".join(f"round(quantile_cont({m}, {q}), 6) {n}" for n, q in _QUANTILES.items()) + f", round(avg({m}), 6) mean, cast(min({m}) as double) least, cast(max({m}) as double) most from (select *, {_TAG_SQL} tag from fin) where tag is null or tag = 'small'" for m in ("member_cnt", "devices_valid", "reports_valid")))
 def _(r: Run):
     pool = rules.tag(r.final, TAGS[:-1]).where("tag is null")  # what the last tag gets to see
-    long = pool.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in ("member_cnt", "devices_valid", "reports_valid")])).alias("x")).select("x.*")
-    return long.groupBy("metric").agg(*[F.round(F.percentile("v", q), 6).alias(n) for n, q in _QUANTILES.items()], F.round(F.avg("v"), 6).alias("mean"), F.min("v").alias("least"), F.max("v").alias("most"))
+    long = pool.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in ("member_cnt", "devices_valid", "reports_valid")])).alias("x")).select("x.*")
+    out = long.groupBy("metric").agg(F.round(F.avg("v"), 6).alias("mean"), F.min("v").cast("double").alias("least"), F.max("v").cast("double").alias("most"))
+    q = ranks.percentiles(long, "metric", "v", _QUANTILES)
+    return out.join(q.select("metric", *[F.round(n, 6).alias(n) for n in _QUANTILES]), "metric")
 
 
 @query("i8_rule_pack", "select 'child' pack, count(*) n from fin where valid_cnt >= 4 and score <= 12 union all select 'parent', count(*) from fin where valid_cnt >= 4")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,21 +13,42 @@ from blockloom.sources import fixture
 from blockloom.sources.stage import stage
 
 
+@dataclass(frozen=True)
+class Config:
+    """Thresholds of a run."""
+
+    countries: tuple[str, ...] = ("CN",)
+    chunk_bits: int = 16
+    nearest: int = 5  # members on either side of a boundary
+    void_len: int = 3
+    h_tiers: tuple[str, ...] = ("medium", "large", "xlarge")
+    h_least_valid: int = 4
+    h_least_members: int = 4
+    e_atom_least: int = 7
+    e_run_least: int = 3
+
+
 class Run:
-    def __init__(self, spark: SparkSession, sf_dir: str, chunk_bits: int = 9):
-        self.spark, self.sf_dir, self.chunk_bits = spark, sf_dir, chunk_bits
+    """Stages over the members and the abnormal keys of any two tables; without them, over those made from sf_dir's tables.
+
+    `members` needs ip (long, one row an address), country, operator and the measures; `abnormal` needs ip and may repeat it.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, config: Config = Config(), members: DataFrame | None = None, abnormal: DataFrame | None = None):
+        self.spark, self.sf_dir, self.config, self._source, self._abnormal = spark, sf_dir, config, members, abnormal
 
     @cached_property
     def source(self) -> DataFrame:
-        return fixture.source(self.spark, self.sf_dir)
+        return self._source if self._source is not None else fixture.source(self.spark, self.sf_dir)
 
     @cached_property
     def members(self) -> DataFrame:
-        return S.members(self.source, fixture.abnormal(self.spark, self.sf_dir))
+        flags = self._abnormal if self._abnormal is not None else fixture.abnormal(self.spark, self.sf_dir)
+        return S.members(self.source, flags, self.config.countries)
 
     @cached_property
     def blocked(self) -> DataFrame:
-        return stage(S.islands(self.members, "ip", self.chunk_bits, out="block"), "blocked")
+        return stage(S.islands(self.members, "ip", self.config.chunk_bits, out="block"), "blocked")
 
     @cached_property
     def pre(self) -> DataFrame:
@@ -39,21 +61,22 @@ class Run:
     @cached_property
     def events(self) -> DataFrame:
         inside = self.blocked.join(S.candidates(self.pre).select("block"), "block", "left_semi")
-        return stage(S.split_events(S.boundaries(inside)), "events")
+        return stage(S.split_events(S.boundaries(inside, self.config.nearest), self.config.void_len), "events")
 
     @cached_property
     def final_members(self) -> DataFrame:
-        first = stage(S.cut_members(self.kept, self.events.where("is_cut"), "block", "segment"), "segments")
-        return stage(S.cut_members(first, S.inner_jumps(first), "segment", "final"), "final-members")
+        bits = self.config.chunk_bits
+        first = stage(S.cut_members(self.kept, self.events.where("is_cut"), "block", "segment", bits), "segments")
+        return stage(S.cut_members(first, S.inner_jumps(first), "segment", "final", bits), "final-members")
 
     @cached_property
     def final(self) -> DataFrame:
-        parent = self.final_members.select("final", "block").distinct()
-        return stage(S.scored(S.block_sums(self.final_members, "final")).join(parent, "final"), "final")
+        return stage(S.scored(S.block_sums(self.final_members, "final", F.min("block").alias("block"))), "final")
 
     @cached_property
     def h_blocks(self) -> DataFrame:
-        return self.final.where("tier in ('medium', 'large', 'xlarge') and valid_cnt >= 4 and member_cnt >= 4")
+        c = self.config
+        return self.final.where(F.col("tier").isin(*c.h_tiers) & (F.col("valid_cnt") >= c.h_least_valid) & (F.col("member_cnt") >= c.h_least_members))
 
     @cached_property
     def h(self) -> DataFrame:
@@ -65,11 +88,11 @@ class Run:
 
     @cached_property
     def atoms(self) -> DataFrame:
-        return stage(S.atoms(self.r1), "atoms")
+        return stage(S.atoms(self.r1, self.config.e_atom_least), "atoms")
 
     @cached_property
     def runs(self) -> tuple[DataFrame, DataFrame]:
-        passing, runs = S.runs(self.atoms)
+        passing, runs = S.runs(self.atoms, self.config.e_run_least, self.config.chunk_bits)
         return stage(passing, "passing"), stage(runs, "runs")
 
     @cached_property
@@ -89,3 +112,8 @@ class Run:
         lib = lambda df, name: df.select(*columns, F.lit(name).alias("lib"))
         dropped = self.blocked.join(self.pre.where("not keep_flag").select("block"), "block", "left_semi")
         return lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D"))
+
+
+def run_pipeline(members: DataFrame, abnormal: DataFrame, config: Config = Config()) -> Run:
+    """A run over one's own tables; its stages are made when asked for."""
+    return Run(members.sparkSession, config=config, members=members, abnormal=abnormal)

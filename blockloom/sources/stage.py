@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where the session has none (tests), one under /tmp is set."""
+    """spark.checkpoint.dir; a local session that has none (tests) gets one under /tmp, a cluster must name one."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = f"file://{tempfile.mkdtemp(prefix='spark-shared-', dir='/tmp')}"
         spark.conf.set("spark.checkpoint.dir", top)
     return top.rstrip("/")

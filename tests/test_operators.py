@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom.operators import ranks, rules
-from blockloom.plans.research import QUERIES, run_of
+from blockloom.plans.further import QUERIES
+from blockloom.plans.queries import run_of
 from blockloom.sources import runs
 
 
@@ -71,3 +72,45 @@ def test_run_state(spark, tmp_path):
     got = runs.readiness(made, ["v"], spark.createDataFrame([("a",), ("b",), ("c",)], "run_id string"))
     assert {(r.run_id, r.state) for r in got.collect()} == {("a", "ready"), ("b", "partial"), ("c", "missing")}
     assert runs.latest_run(spark.createDataFrame([("a", 2), ("b", 2), ("c", 1)], "run_id string, created_at int")).first()[0] == "b"
+
+
+@pytest.mark.parametrize("bits", [4, 6, 9, 16])
+def test_chunks_change_nothing(spark, bits):
+    """Blocks and segments over chunk edges, with few and many chunks, against a plain loop."""
+    import random
+
+    from blockloom.operators import segments
+
+    dice = random.Random(2)
+    keys = sorted(dice.sample(range(3000), 1200) + list(range(5000, 6500)))
+    df = spark.createDataFrame([(k,) for k in keys], "ip long")
+    start, want = None, {}
+    for i, k in enumerate(keys):
+        start = k if i == 0 or k != keys[i - 1] + 1 else start
+        want[k] = start
+    blocks = segments.islands(df, "ip", bits, out="block")
+    assert {r.ip: r.block for r in blocks.collect()} == want
+    cuts = sorted(dice.sample(keys, 60))
+    frame = spark.createDataFrame([(want[c], c) for c in cuts + cuts[:5]], "block long, cut_ip long")
+    got = {r.ip: r.segment for r in segments.cut_members(blocks, frame, "block", "segment", bits).collect()}
+    assert got == {k: max([want[k]] + [c for c in cuts if c <= k and want[c] == want[k]]) for k in keys}
+
+
+def test_percentiles(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(g, int(v)) for g, n in ((0, 1), (1, 2), (2, 1001), (3, 500)) for v in rng.integers(-50_000, 90_000, n)] + [(2, None), (3, 7), (3, 7)]
+    got = {r.g: r for r in ranks.percentiles(spark.createDataFrame(rows, "g int, v long"), "g", "v", {"a": 0.0, "b": 0.5, "c": 0.9, "d": 1.0}).collect()}
+    for g in range(4):
+        want = np.percentile([v for h, v in rows if h == g and v is not None], [0, 50, 90, 100])
+        assert [got[g][c] for c in "abcd"] == pytest.approx(want.tolist())
+
+
+def test_checks_stop_or_warn(spark):
+    from blockloom.operators import profiles
+
+    df = spark.range(3)
+    assert profiles.enforce(profiles.report([("a", "STOP", df.limit(0)), ("b", "WARN", df)])) == ["b"]
+    with pytest.raises(ValueError, match="a"):
+        profiles.enforce(profiles.report([("a", "STOP", df), ("b", "WARN", df)]))

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from blockloom.plans.research import QUERIES, SQL
+from blockloom.plans.further import QUERIES, SQL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
