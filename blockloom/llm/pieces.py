@@ -1,7 +1,9 @@
 """N-best encoding with a piece vocabulary, and exact decoding (operator 3).
 
-The vocabulary is read from a model file and never trained. A piece's log probability follows Zipf's law over its rank in
-the file: -ln(rank + 2). A character outside the vocabulary is spelled in byte pieces, each 2 below the least piece.
+The vocabulary is read from a model file and never trained. With `scores="rank"` a piece's log probability follows Zipf's law
+over its rank in the file, -ln(rank + 2), as files of merges (BPE) hold ranks and no probabilities; segmentations then
+are the likeliest under that law, and not those of the merges. With `scores="file"` the file's own scores are taken, as
+a unigram model has them. A character outside the vocabulary is spelled in byte pieces, each 2 below the least piece.
 
 A text becomes one lattice: a space mark stands before it and for each space. As no piece but runs of marks
 has a mark after its first character, the lattice falls apart at each mark that follows another character, and the best
@@ -33,7 +35,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
-    def __init__(self, path: str):
+    def __init__(self, path: str, scores_of: str = "rank"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -42,7 +44,7 @@ class Vocabulary:
             if MARK in p.lstrip(MARK):
                 raise ValueError("a piece has a space mark inside")
         self.bytes = {int(model.id_to_piece(i)[3:5], 16): i for i in range(model.vocab_size()) if model.is_byte(i)}
-        scores = [-math.log(max(r, 0) + 2) for _, _, r in normal]
+        scores = [-r if scores_of == "file" else -math.log(max(r, 0) + 2) for _, _, r in normal]
         self.byte_score = min(scores) - 2
         self.longest = max(len(p) for _, p, _ in normal)
         self.decoded: list[bytes] = [b""] * model.vocab_size()
@@ -75,8 +77,8 @@ def _rolled(cp: np.ndarray) -> np.uint64:
 class Segmenter:
     """Best paths of segments, each distinct one computed once, and N best where asked for."""
 
-    def __init__(self, path: str):
-        self.v = Vocabulary(path)
+    def __init__(self, path: str, scores: str = "rank"):
+        self.v = Vocabulary(path, scores)
         self.clear()
 
     def clear(self) -> None:
@@ -310,22 +312,23 @@ def _smallest(gap: np.ndarray, k: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def segmenter(path: str) -> Segmenter:
-    return Segmenter(path)
+def segmenter(path: str, scores: str = "rank") -> Segmenter:
+    return Segmenter(path, scores)
 
 
-def encode(docs: DataFrame, model: str, n: int = N_BEST, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str, n: int = N_BEST, key: str = "doc_id", text: str = "text", with_ids: bool = False, scores: str = "rank") -> DataFrame:
     """(key, n_pieces, best_score, nbest_scores, n_segments, ids_crc32, decoded_ok[, ids, nbest]) for each row of docs.
 
     nbest_scores: log probabilities of the up to n best segmentations, best first; with equal scores, fewer changes from
     the best and earlier ones come first. decoded_ok: decoding the ids gives the text back. Null or empty text: no
-    pieces, one segmentation of score 0. `nbest`: for each, the ids in full. Other columns aren't read.
+    pieces, one segmentation of score 0. `nbest`: for each, the ids in full. Rows may repeat and keys be null; an empty
+    table gives no rows. Other columns aren't read. scores: `rank` or `file`, as above.
     """
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     kind = dict(source.dtypes)["k"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = segmenter(model)
+        coder = segmenter(model, scores)
         for b in batches:
             texts, lo = [x or "" for x in b.column(1).to_pylist()], 0
             while lo < len(texts):

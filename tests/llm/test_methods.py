@@ -40,6 +40,9 @@ def test_op3(spark, sf, odd):
     assert got.where("not decoded_ok").count() == 0
     out = pieces.encode(odd, model, with_ids=True).collect()
     assert len(out) == len(ODD) and all(r.decoded_ok for r in out)
+    back = pieces.decode(pieces.encode(odd, model, with_ids=True), model).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in back) == sorted((k or 0, t or "") for k, t, _ in ODD)
+    assert pieces.encode(odd.limit(0), model).count() == 0 and pieces.encode(odd, model, scores="file").where("not decoded_ok").count() == 0
     v = pieces.segmenter(model).v
     texts = {r.doc_id: r.ids for r in out}
     assert v.decode(pieces.np.array(texts[5])) == ODD[5][1]
@@ -293,9 +296,17 @@ def test_op10(spark, sf, rows, odd):
     assert quality.quality(odd, labels.limit(0)).count() == len(ODD)
 
 
-def test_pipeline(spark, sf):
+def test_pipeline(spark, sf, rows):
+    """The documents that are left, against plain versions of the stages that decide on them; every text comes back from its pieces."""
+    from test_corpus import components
+
     out = corpus_pipeline.run(spark, sf)
-    assert out.where("not decoded_ok").count() == 0 and 500 < out.count() < 1000
+    left = [(k, t) for k, t in rows if any(c.isalpha() for c in t)]
+    left = [(k, dict(left)[k]) for k, (_, _, kept) in components(left, 5).items() if kept]
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    hit = contaminated(left, bench)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(k for k, _ in left if not hit[k][4])
+    assert out.where("not decoded_ok").count() == 0
 
 
 def test_op10_threshold_follows_labels(spark):
