@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import partitions, staged
+from blockloom.llm.common import partitions, released, staged
 from blockloom.llm.words import Words, chunks
 
 KNOWN, CORE, CLASSES, ROUNDS, WEIGHT, BLOCK = 250_000, 500, 64, 2, 5.0, 2_000_000
@@ -70,7 +70,7 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             for i in range(0, len(k), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000])], names=["w", "c"])
 
-    return docs.select(text).mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return docs.select(text).mapInArrow(released(run), "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
 class Table:
@@ -136,7 +136,7 @@ def core_bigrams(docs: DataFrame, core: np.ndarray, text: str = "text") -> np.nd
 
     out = np.zeros(size * size, np.int64)
     if len(core):
-        at, times = _columns(docs.select(text).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")))  # (CORE + 2)^2 at most
+        at, times = _columns(docs.select(text).mapInArrow(released(run), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")))  # (CORE + 2)^2 at most
         out[at.astype(np.int64)] = times
     return out.reshape(size, size)
 
@@ -286,9 +286,9 @@ def _round(docs: DataFrame, table: Table, bigrams: np.ndarray, full: bool, text:
         yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(total[h, c]), pa.array(c.astype(np.int32)), pa.array(h.astype(np.int32))], names=["w", "n", "cls", "h"])
 
     # a task's class bigrams (kind 1) are dealt by the task, words (kind 0) by the word
-    met = docs.select(text).mapInArrow(gather, "kind int, w long, around binary")
+    met = docs.select(text).mapInArrow(released(gather), "kind int, w long, around binary")
     dealt = met.repartition(partitions(docs.sparkSession), "kind", "w").sortWithinPartitions("kind", "w")
-    return staged(dealt.mapInArrow(move, "w long, n long, cls int, h int"), "classes")
+    return staged(dealt.mapInArrow(released(move), "w long, n long, cls int, h int"), "classes")
 
 
 class Model:
@@ -404,10 +404,10 @@ def score(docs: DataFrame, trained: str, key: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(tf * (move[h, cls] - below[cls])), pa.array(tf * np.log10(c + 0.5)), pa.array(np.where(c > 0, tf, 0).astype(np.int64))], names=["row", "s", "l", "k"])
 
     schema = ", ".join(f"{c} {kinds[c]}" for c in ["k", *kept]) + ", row long, n long, known long, steps double, logs double, rare array<struct<w:long,h:int,tf:int>>"
-    part = staged(source.mapInArrow(run, schema), "scores")
+    part = staged(source.mapInArrow(released(run), schema), "scores")
     rare = part.select("row", F.explode("rare").alias("x")).select("row", "x.w", "x.h", "x.tf").join(model.outside, "w", "left")
     rare = rare.select("row", "h", "tf", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("cls", F.lit(model.table.rare)).alias("cls"))
-    rare = rare.mapInArrow(weigh, "row long, s double, l double, k long").groupBy("row").agg(F.sum("s").alias("s"), F.sum("l").alias("l"), F.sum("k").alias("more"))
+    rare = rare.mapInArrow(released(weigh), "row long, s double, l double, k long").groupBy("row").agg(F.sum("s").alias("s"), F.sum("l").alias("l"), F.sum("k").alias("more"))
     out = part.drop("rare").join(rare, "row", "left").withColumn("logs", F.col("logs") + F.coalesce("l", F.lit(0.0)))
     base = float(np.log10(model.n + 0.5 * (model.v + 1)))
     return out.select(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import staged
+from blockloom.llm.common import released, staged
 from blockloom.llm.words import ALNUM, Words, argmin_slide, chunks, grams, mix
 
 WINDOW, GRAM, SIEVE_BITS = 13, 8, 22
@@ -71,7 +71,7 @@ def _entries(bench: DataFrame, window: int, gram: int, item: str, item_text: str
                     yield pa.RecordBatch.from_arrays(cols, names=["i", "e", "n", "body", "prints"])
 
     named = bench.where(F.col(item_text).isNotNull()).select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t"))
-    return staged(named.mapInArrow(run, "i string, e binary, n int, body binary, prints array<struct<fp:long,q:int>>"), "items")
+    return staged(named.mapInArrow(released(run), "i string, e binary, n int, body binary, prints array<struct<fp:long,q:int>>"), "items")
 
 
 def _fingerprints(source: DataFrame, sieve: np.ndarray, sizes: list[int], window: int, gram: int, at: int) -> DataFrame:
@@ -98,7 +98,7 @@ def _fingerprints(source: DataFrame, sieve: np.ndarray, sizes: list[int], window
                 yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pa.array(w.count), pa.ListArray.from_arrays(pa.array(edge), prints)], names=[*names, "n_words", "prints"])
 
     schema = ", ".join(f"{c} {k}" for c, k in source.dtypes)
-    return source.mapInArrow(run, f"{schema}, n_words long, prints array<struct<fp:long,at:array<int>>>")
+    return source.mapInArrow(released(run), f"{schema}, n_words long, prints array<struct<fp:long,at:array<int>>>")
 
 
 def _runs(mine: list[bytes], item: list[bytes], least: int) -> list[int]:
@@ -184,9 +184,9 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key:
             hit = [_covered([(s[i], s[i + 1]) for s in x for i in range(0, len(s), 2)]) for x in b.column("spans").to_pylist()]
             yield b.drop_columns(["spans"]).append_column("n_hit", pa.array(hit, pa.int64()))
 
-    parts = rows.where(met).select("row", F.col(t).alias("t")).join(wanted, "row").select("row", "t", "want").mapInArrow(cut, "row long, e binary, at int, off int, part binary")
-    held = staged(parts.join(entries.select("e", "body"), "e").mapInArrow(hold, "row long, e binary, spans array<int>"), "hits")
-    hit = held.groupBy("row").agg(F.collect_list("spans").alias("spans")).mapInArrow(count, "row long, n_hit long")
+    parts = rows.where(met).select("row", F.col(t).alias("t")).join(wanted, "row").select("row", "t", "want").mapInArrow(released(cut), "row long, e binary, at int, off int, part binary")
+    held = staged(parts.join(entries.select("e", "body"), "e").mapInArrow(released(hold), "row long, e binary, spans array<int>"), "hits")
+    hit = held.groupBy("row").agg(F.collect_list("spans").alias("spans")).mapInArrow(released(count), "row long, n_hit long")
     of = held.select("row", "e").distinct().join(ids, "e").groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"), F.max(F.col("nameless").cast("int")).alias("nameless"))
     found = hit.join(of, "row").select("row", "n_hit", "ids", (F.size("ids") + F.col("nameless")).cast("long").alias("n_items"))
 

@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import staged
+from blockloom.llm.common import released, staged
 from blockloom.llm.words import _FOLD, chunks
 
 ORDER, SLICE = 3, 1_000_000
+#: Entries that a counting task holds at once.
+HELD = 1_000_000
 
 
 def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -122,6 +124,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", slice_entries
             at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             return k[at], np.add.reduceat(n, at)
 
+        def given(k, n):
+            for i in range(0, len(k), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000].astype(np.int64))], names=["key", "n"])
+
         for b in batches:
             ids = np.array([index[x] for x in b.column(1).to_pylist()], np.uint64)
             for lo, hi, data, offsets in chunks(b.column(0)):
@@ -132,18 +138,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", slice_entries
                 at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
                 held.append((key[at], np.diff(np.append(at, len(key)))))
                 size += len(at)
-                if size > 2_000_000:
+                if size > HELD:
                     held = [merged(held)]
                     size = len(held[0][0])
+                    if size > HELD // 2:  # summed up by Spark
+                        yield from given(*held.pop())
+                        size = 0
         if held:
-            k, n = merged(held)
-            for i in range(0, len(k), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000].astype(np.int64))], names=["key", "n"])
+            yield from given(*merged(held))
 
     if not langs:
         return Model([])
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
-    counted = known.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = known.mapInArrow(released(count), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = staged(counted.select(F.shiftright("key", 32).alias("lang"), F.col("key").bitwiseAND(0xFFFFFFFF).alias("k"), "n"), "contexts")
     low = {}
     for order in (1, 0):
@@ -213,7 +220,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
                     score.append(0.0 if best < 0 else float(1 / np.exp2(np.maximum(row[best] - row, -1000)).sum()))
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
 
-        return frame.mapInArrow(run, schema + ("lang_pred string, score double" if last else "t string, " * len(body) + "letters boolean, sums array<double>"))
+        return frame.mapInArrow(released(run), schema + ("lang_pred string, score double" if last else "t string, " * len(body) + "letters boolean, sums array<double>"))
 
     frame, several = kept, max(1, len(model.slices))
     for i in range(several):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import staged
+from blockloom.llm.common import released, staged
 from blockloom.llm.components import components
 from blockloom.llm.words import Words, chunks, grams, mix, run_hash
 
@@ -76,7 +76,7 @@ def _sets(source: DataFrame, k: int) -> DataFrame:
                 h, edges = shingles(Words(data, offsets, fold=True), k)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(h.view(np.int64)))], names=["k", "s"])
 
-    return source.mapInArrow(run, "k long, s array<long>")
+    return source.mapInArrow(released(run), "k long, s array<long>")
 
 
 def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
                 cols = [b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(digest, pa.binary()), pa.FixedSizeListArray.from_arrays(pa.array(bands.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["k", "n", "digest", "bands"])
 
-    signed = staged(source.mapInArrow(sign, "k long, n long, digest binary, bands array<long>"), "signatures")
+    signed = staged(source.mapInArrow(released(sign), "k long, n long, digest binary, bands array<long>"), "signatures")
     # equal sets are one node; min of the key, and any one's bands, which are equal
     real = signed.where("n > 0 and k is not null")
     node_of = real.groupBy("digest").agg(F.min("k").alias("node"), F.first("bands").alias("bands"), F.first("n").alias("n"))

@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockloom.llm.common import released
 from blockloom.llm.words import distinct, mix
 
-MARK, N_BEST, CACHE, CHUNK_CHARS = "▁", 3, 300_000, 1 << 20
+MARK, N_BEST, CACHE, CHUNK_CHARS = "▁", 3, 150_000, 1 << 18
 #: Stands for a mark character that the text itself has; outside Unicode, so no piece has it.
 _OWN_MARK = 0x110000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -352,7 +353,7 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, key: str = "doc_id", te
     kinds = [pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
     names = ["k", "n_pieces", "best_score", "nbest_scores", "n_segments", "ids_crc32", "decoded_ok"] + ["ids", "nbest"] * with_ids
     schema = f"k {kind}, n_pieces long, best_score double, nbest_scores array<double>, n_segments long, ids_crc32 long, decoded_ok boolean" + ", ids array<int>, nbest array<array<int>>" * with_ids
-    return source.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return source.mapInArrow(released(run), schema).withColumnRenamed("k", key)
 
 
 def decode(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -364,4 +365,4 @@ def decode(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids"
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([None if x is None else v.decode(np.array(x, np.int64)) for x in b.column(1).to_pylist()], pa.string())], names=["k", "text"])
 
-    return source.mapInArrow(run, f"k {dict(source.dtypes)['k']}, text string").withColumnRenamed("k", key)
+    return source.mapInArrow(released(run), f"k {dict(source.dtypes)['k']}, text string").withColumnRenamed("k", key)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import partitions, staged
+from blockloom.llm.common import partitions, released, staged
 
 OVERHEAD = 16
 
@@ -42,7 +42,7 @@ def byte_shards(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str =
     # crc and size stand in the range key, so that many rows of one key still spread over partitions
     parts = narrow.repartitionByRange(partitions(spark), "key", "size", "text_crc32").sortWithinPartitions("key", "size", "text_crc32")
     key_type = dict(narrow.dtypes)["key"]
-    placed = staged(parts.mapInArrow(_running, f"key {key_type}, size long, text_crc32 long, pid long, row_before long, bytes_before long"), "shards")
+    placed = staged(parts.mapInArrow(released(_running), f"key {key_type}, size long, text_crc32 long, pid long, row_before long, bytes_before long"), "shards")
 
     per_part = placed.groupBy("pid").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import staged
+from blockloom.llm.common import released, staged
 from blockloom.llm.words import Words, argmin_slide, chunks, grams, mix
 
 WINDOW, GRAM = 50, 12
@@ -152,7 +152,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ke
                     rows = pa.array(doc)
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo).take(rows), b.column(2).slice(lo, hi - lo).take(rows), _signed(anchor), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), _signed(snip)], names=["k", "fp", "anchor", "at", "n", "snip"])
 
-    rows = staged(source.where("k is not null").mapInArrow(anchors, "k long, fp long, anchor long, at int, n int, snip long"), "passages")
+    rows = staged(source.where("k is not null").mapInArrow(released(anchors), "k long, fp long, anchor long, at int, n int, snip long"), "passages")
     entries = rows.groupBy("anchor", "snip").agg(F.min(F.struct("k", "fp", "at", "n")).alias("first"), F.max("k").alias("last"))
     shared = entries.groupBy("anchor").agg(F.count(F.lit(1)).alias("entries"), F.max("last").alias("hi"), F.min("first.k").alias("lo")).where("hi > lo")
     entries = staged(entries.join(shared.select("anchor", "entries"), "anchor"), "entries")
@@ -170,7 +170,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ke
                         out.append((x["anchor"], shard, x["snip"], lo, k, b" ".join(part[lo : hi + window - 1])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "shard", "snip", "off", "k", "body"])
 
-    bodies = source.join(wanted, ["k", "fp"]).select("k", "t", "want").mapInArrow(cut, "anchor long, shard long, snip long, off int, k long, body binary")
+    bodies = source.join(wanted, ["k", "fp"]).select("k", "t", "want").mapInArrow(released(cut), "anchor long, shard long, snip long, off int, k long, body binary")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, shard, seen = None, Automaton(), set()
@@ -191,7 +191,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ke
             if out["snip"]:
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("anchor", pa.int64()), ("snip", pa.int64()), ("again", pa.list_(pa.int32()))]))
 
-    found = bodies.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "k", "snip", "off").mapInArrow(match, "anchor long, snip long, again array<int>")
+    found = bodies.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "k", "snip", "off").mapInArrow(released(match), "anchor long, snip long, again array<int>")
 
     # a document after the first that has an entry loses all its windows; the first loses those that streaming found
     known = entries.where("last > first.k").select("anchor", "snip", F.col("first.k").alias("first_k"))
@@ -229,4 +229,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array([x.decode() for x in kept], pa.string())] if keep_text else []), names=[key, "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text)
 
-    return whole.mapInArrow(apply, f"{key} long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
+    return whole.mapInArrow(released(apply), f"{key} long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import partitions, shared_dir, staged
+from blockloom.llm.common import partitions, released, shared_dir, staged
 from blockloom.llm.words import PLAIN, chunks, distinct
 
 INDEX_MAGIC, SEEK_MAGIC, FOOT_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -252,7 +252,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int = 0, key: str = "do
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
     parts = rows.repartitionByRange(partitions(spark), "k", "h").sortWithinPartitions("k", "h").select("k", "t")
-    return staged(parts.mapInArrow(run, "pid long, file string, lo long, hi long, n_docs long, n_ids long"), "token-files")
+    return staged(parts.mapInArrow(released(run), "pid long, file string, lo long, hi long, n_docs long, n_ids long"), "token-files")
 
 
 def read_store(files: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -277,7 +277,7 @@ def read_store(files: DataFrame, key: str = "doc_id") -> DataFrame:
     # one row a file: the running sum sees as many rows as there are files
     placed = files.select("pid", "file", F.coalesce(F.sum("n_ids").over(w), F.lit(0)).alias("start"))
     spread = placed.repartition(partitions(files.sparkSession), "file")
-    return spread.mapInArrow(run, f"{key} long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(released(run), f"{key} long, start long, n_tokens long, ids_crc32 long")
 
 
 def fetch(files: DataFrame, wanted: list[int]) -> DataFrame:
@@ -294,4 +294,4 @@ def fetch(files: DataFrame, wanted: list[int]) -> DataFrame:
                     for doc, ids in read_documents(file, want):
                         yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([ids.astype(np.int64)], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return files.where("lo is not null").select("file", "lo", "hi").mapInArrow(run, "doc_id long, ids array<long>")
+    return files.where("lo is not null").select("file", "lo", "hi").mapInArrow(released(run), "doc_id long, ids array<long>")

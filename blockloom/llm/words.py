@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _P, _U64 = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
