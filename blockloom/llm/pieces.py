@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from blockloom.llm.common import released
 from blockloom.llm.words import distinct, mix
 
-MARK, N_BEST, CACHE, CHUNK_CHARS = "▁", 3, 150_000, 1 << 18
+MARK, N_BEST, CACHE, CHUNK_CHARS = "▁", 3, 200_000, 1 << 19
 #: Stands for a mark character that the text itself has; outside Unicode, so no piece has it.
 _OWN_MARK = 0x110000
 _P = np.uint64(0x9E3779B97F4A7C15)
