@@ -56,13 +56,16 @@ def assigned(df: DataFrame, bounds: list[int], key: str = "ip", out: str = "shar
     return df.withColumn(out, F.when((F.col(key) >= bounds[0]) & (F.col(key) < bounds[-1]), at))
 
 
-def percentiles(df: DataFrame, group: str, value: str, wanted: dict[str, float], bits: int = 12) -> DataFrame:
+def percentiles(df: DataFrame, group: str, value: str, wanted: dict[str, float], bits: int = 12, scale: int | None = None) -> DataFrame:
     """(group, one column a name) exact percentiles, interpolated, of a whole-number column; nulls are left out.
 
+    With a scale, values are fractions: they stay as they are, and their buckets are those of value * scale.
+
     Values are counted first. A running sum over counts by the values' high bits finds the bucket of each wanted rank, and
     only those buckets' values are ranked, each bucket by itself: no task holds a group's values.
     """
-    n = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("g"), F.col(value).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("n")).withColumn("b", F.shiftright("v", bits))
+    n = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("g"), F.col(value).cast("double" if scale else "long").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    n = n.withColumn("b", F.shiftright((F.col("v") * (scale or 1)).cast("long"), bits))
     buckets = n.groupBy("g", "b").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("g")
     before = F.coalesce(F.sum("n").over(w.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

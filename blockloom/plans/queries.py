@@ -368,12 +368,12 @@ _STATS_SQL = "select count(*) blocks, count(*) filter (valid_cnt = 0) invalid, r
 
 
 def _stats(df: DataFrame) -> DataFrame:
-    q = lambda c, p, name: F.round(F.percentile(c, p), 6).alias(name)
-    share = lambda a, b: S.ratio(F.col(a), F.col(b))
-    return df.agg(
-        F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("valid_cnt") == 0).alias("invalid"), F.round(F.avg("member_cnt"), 6).alias("mean_members"),
-        *[q("density", p, f"density_{n}") for p, n in ((0.5, "p50"), (0.9, "p90"), (0.99, "p99"))], q(share("mobile_valid", "devices_valid"), 0.5, "mobile_p50"), q(share("worktime_valid", "reports_valid"), 0.5, "worktime_p50"),
-    )
+    one = df.withColumns({"every": F.lit(0), "mobile_share": S.ratio(F.col("mobile_valid"), F.col("devices_valid")), "worktime_share": S.ratio(F.col("worktime_valid"), F.col("reports_valid"))})
+    out = one.groupBy("every").agg(F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("valid_cnt") == 0).alias("invalid"), F.round(F.avg("member_cnt"), 6).alias("mean_members"))
+    for c, wanted in (("density", {"density_p50": 0.5, "density_p90": 0.9, "density_p99": 0.99}), ("mobile_share", {"mobile_p50": 0.5}), ("worktime_share", {"worktime_p50": 0.5})):
+        q = ranks.percentiles(one, "every", c, wanted, scale=1 << 20)
+        out = out.join(q.select("every", *[F.round(n, 6).alias(n) for n in wanted]), "every", "left")
+    return out.drop("every")
 
 
 @query("e9_pre_stats", _STATS_SQL + "pre")
@@ -449,12 +449,6 @@ def _(r: Run):
     return tried(7, 3).unionByName(tried(5, 2))
 
 
-@query("j25_trace", "select m.ip, b.block, fm.final, lab.lib from mem m left join blk b using (ip) left join fm using (ip) left join lab using (ip)")
-def _(r: Run):
-    out = r.members.select("ip").join(r.blocked.select("ip", "block"), "ip", "left").join(r.final_members.select("ip", "final"), "ip", "left")
-    return out.join(r.labelled.select("ip", "lib"), "ip", "left")
-
-
 @query("j26_block_detail", "select 'final' kind, final id, ip_start, ip_end, tier, score from fin union all select 'natural', block, ip_start, ip_end, tier, score from pre")
 def _(r: Run):
     part = lambda df, kind, key: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), "ip_start", "ip_end", "tier", "score")

@@ -175,13 +175,14 @@ def _(r: Run):
     return rules.tag(r.final, TAGS).select("final", "tag")
 
 
+_POOL = ["member_cnt", "valid_cnt", "reports_total", "devices_total", *[f"{m}_valid" for m in ("reports", "devices", "mobile", "wifi", "worktime", "workday", "weekend", "late_night")]]
 _QUANTILES = {"p50": 0.5, "p85": 0.85, "p90": 0.9, "p95": 0.95}
 
 
-@query("i6_pool_stats", " union all ".join(f"select '{m}' metric, " + ", ".join(f"round(quantile_cont({m}, {q}), 6) {n}" for n, q in _QUANTILES.items()) + f", round(avg({m}), 6) mean, cast(min({m}) as double) least, cast(max({m}) as double) most from (select *, {_TAG_SQL} tag from fin) where tag is null or tag = 'small'" for m in ("member_cnt", "devices_valid", "reports_valid")))
+@query("i6_pool_stats", " union all ".join(f"select '{m}' metric, " + ", ".join(f"round(quantile_cont({m}, {q}), 6) {n}" for n, q in _QUANTILES.items()) + f", round(avg({m}), 6) mean, cast(min({m}) as double) least, cast(max({m}) as double) most from (select *, {_TAG_SQL} tag from fin) where tag is null or tag = 'small'" for m in _POOL))
 def _(r: Run):
     pool = rules.tag(r.final, TAGS[:-1]).where("tag is null")  # what the last tag gets to see
-    long = pool.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in ("member_cnt", "devices_valid", "reports_valid")])).alias("x")).select("x.*")
+    long = pool.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in _POOL])).alias("x")).select("x.*")
     out = long.groupBy("metric").agg(F.round(F.avg("v"), 6).alias("mean"), F.min("v").cast("double").alias("least"), F.max("v").cast("double").alias("most"))
     q = ranks.percentiles(long, "metric", "v", _QUANTILES)
     return out.join(q.select("metric", *[F.round(n, 6).alias(n) for n in _QUANTILES]), "metric")
@@ -198,7 +199,9 @@ def _(r: Run):
 @query("i10_reference_bands", "select case when 2 * devices_valid <= 7 * valid_cnt then 'low' when devices_valid <= 30 * valid_cnt then 'mid' else 'high' end band, 2 * mobile_valid > devices_valid mobile, count(*) n, round(quantile_cont(reports_valid, 0.05), 6) p05, round(quantile_cont(reports_valid, 0.5), 6) p50 from fin where valid_cnt > 0 group by 1, 2")
 def _(r: Run):
     band = F.when(F.expr("2 * devices_valid <= 7 * valid_cnt"), "low").when(F.expr("devices_valid <= 30 * valid_cnt"), "mid").otherwise("high")
-    return r.final.where("valid_cnt > 0").groupBy(band.alias("band"), F.expr("2 * mobile_valid > devices_valid").alias("mobile")).agg(count(), F.round(F.percentile("reports_valid", 0.05), 6).alias("p05"), F.round(F.percentile("reports_valid", 0.5), 6).alias("p50"))
+    blocks = r.final.where("valid_cnt > 0").select(F.struct(band.alias("band"), F.expr("2 * mobile_valid > devices_valid").alias("mobile")).alias("at"), "reports_valid")
+    p = ranks.percentiles(blocks, "at", "reports_valid", {"p05": 0.05, "p50": 0.5})
+    return blocks.groupBy("at").agg(count()).join(p, "at").select("at.*", "n", F.round("p05", 6).alias("p05"), F.round("p50", 6).alias("p50"))
 
 
 @query("j4_histogram", "select bin, round(lo + (bin - 1) * (hi - lo) / 20, 6) left_edge, count(*) n from (select least(20, cast(floor((reports - lo) * 20 / (hi - lo)) as bigint) + 1) bin, lo, hi from mem, (select cast(min(reports) as double) lo, cast(max(reports) + 1 as double) hi from mem)) group by 1, 2")
@@ -227,7 +230,7 @@ _FIVE = {"least": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "most": 1.0}
 @query("j8_density_boxes", "select operator, " + ", ".join(f"round(quantile_cont(d, {q}), 6) {n}" for n, q in _FIVE.items()) + " from (select operator, final, sum(devices) filter (is_valid) / nullif(count(*) filter (is_valid), 0) d from fm group by 1, 2) group by 1")
 def _(r: Run):
     own = r.final_members.groupBy("operator", "final").agg(S.ratio(F.sum(F.when(F.col("is_valid"), F.col("devices"))), F.count_if("is_valid")).alias("d"))
-    return own.groupBy("operator").agg(*[F.round(F.percentile("d", q), 6).alias(n) for n, q in _FIVE.items()])
+    return ranks.percentiles(own, "operator", "d", _FIVE, scale=1 << 20).select("operator", *[F.round(n, 6).alias(n) for n in _FIVE])
 
 
 @query("j18_suspicious_cuts", "select block, cut_ip, least(l_cnt, r_cnt) fewest, abs(cv_l - cv_r) < 0.02 is not null and abs(cv_l - cv_r) < 0.02 even from ev where (trigger_report or trigger_mobile or trigger_operator or trigger_density or trigger_void) and (least(l_cnt, r_cnt) <= 5 or abs(cv_l - cv_r) < 0.02) order by fewest, cut_ip limit 100")
@@ -250,10 +253,8 @@ def _(r: Run):
     return r.labelled.where("lib <> 'D'").groupBy("lib").agg(n.alias("ips"), F.countDistinct("operator").alias("operators"), s("devices").alias("devices"), s("reports").alias("reports"), F.round(S.ratio(s("mobile"), s("devices")), 6).alias("mobile_share"), F.round(S.ratio(F.count_if(~F.col("is_valid")), n), 6).alias("abnormal_share"))
 
 
-def listing(df: DataFrame, sort: str, key: str, allowed: list[str], least: dict | None = None, most: dict | None = None, text: tuple[str, str] | None = None, exclude: DataFrame | None = None, offset: int = 0, limit: int = 50) -> DataFrame:
-    """A page of a summary: bounds, a text filter, without the keys of `exclude`, in descending order with nulls last and ties by key."""
-    if sort not in allowed:
-        raise ValueError(f"can't sort by {sort!r}")
+def matching(df: DataFrame, key: str, least: dict | None = None, most: dict | None = None, text: tuple[str, str] | None = None, exclude: DataFrame | None = None) -> DataFrame:
+    """Rows of a summary within bounds, with a text filter, and without the keys of `exclude`."""
     for c, v in (least or {}).items():
         df = df.where(F.col(c) >= v)
     for c, v in (most or {}).items():
@@ -262,12 +263,19 @@ def listing(df: DataFrame, sort: str, key: str, allowed: list[str], least: dict
         df = df.where(F.contains(F.lower(text[0]), F.lit(text[1].lower())))
     if exclude is not None:
         df = df.join(exclude.select(key), key, "left_anti")
-    return df.orderBy(F.desc_nulls_last(sort), key).offset(offset).limit(limit)
+    return df
+
+
+def listing(df: DataFrame, sort: str, key: str, allowed: list[str], *filters, offset: int = 0, limit: int = 50) -> DataFrame:
+    """A page of the matching rows of a summary, in descending order with nulls last and ties by key."""
+    if sort not in allowed:
+        raise ValueError(f"can't sort by {sort!r}")
+    return matching(df, key, *filters).orderBy(F.desc_nulls_last(sort), key).offset(offset).limit(limit)
 
 
 @query("j23_listing", "select final, tier, member_cnt, score from fin where member_cnt >= 3 and member_cnt <= 400 and contains(tier, 'm') and not (mobile_valid > 20 and valid_cnt >= 4) order by score desc nulls last, final limit 40 offset 20")
 def _(r: Run):
-    return listing(r.final.select("final", "tier", "member_cnt", "score"), "score", "final", ["score", "member_cnt"], {"member_cnt": 3}, {"member_cnt": 400}, ("tier", "M"), r.final.where("mobile_valid > 20 and valid_cnt >= 4"), 20, 40)
+    return listing(r.final.select("final", "tier", "member_cnt", "score"), "score", "final", ["score", "member_cnt"], {"member_cnt": 3}, {"member_cnt": 400}, ("tier", "M"), r.final.where("mobile_valid > 20 and valid_cnt >= 4"), offset=20, limit=40)
 
 
 @query("j24_neighbours", ", rk as (select ip, row_number() over (order by ip) rn from mem) select t.ip target, cast(n.rn - t.rn as bigint) distance, n.ip, lib from rk t join rk n on n.rn between t.rn - 3 and t.rn + 3 and n.rn <> t.rn join lab l on l.ip = n.ip where t.ip in (select cut_ip from cuts)")
@@ -276,6 +284,21 @@ def _(r: Run):
     return near.join(r.labelled.select("ip", "lib"), "ip").select("target", F.col("distance").cast("long").alias("distance"), "ip", "lib")
 
 
+def traced(r: Run, keys: DataFrame | None = None) -> DataFrame:
+    """(ip, block, final, lib) of every member, or of those in keys; the parts of a run are taken apart, so members aren't joined again."""
+    dropped = r.blocked.join(r.pre.where("not keep_flag").select("block"), "block", "left_semi").withColumn("final", F.lit(None).cast("long"))
+    parts = None
+    for lib, df in (("H", r.h), ("E", r.e), ("F", r.f), ("D", dropped)):
+        own = (df if keys is None else df.join(keys.select("ip"), "ip", "left_semi")).select("ip", "block", "final", F.lit(lib).alias("lib"))
+        parts = own if parts is None else parts.unionByName(own)
+    return parts
+
+
+@query("j25_trace", "select m.ip, b.block, fm.final, lab.lib from mem m left join blk b using (ip) left join fm using (ip) left join lab using (ip)")
+def _(r: Run):
+    return traced(r)
+
+
 @query("j27_shard_blocks", "select final, ip_start, ip_end, tier from fin where ip_start >> 12 = 4096 order by final limit 50 offset 10")
 def _(r: Run):
     return r.final.where(F.shiftright("ip_start", SHARD_BITS) == 4096).orderBy("final").offset(10).limit(50).select("final", "ip_start", "ip_end", "tier")

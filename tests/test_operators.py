@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom.operators import ranks, rules
-from blockloom.plans.further import QUERIES
+from blockloom.plans.details import QUERIES
 from blockloom.plans.queries import run_of
 from blockloom.sources import runs
 
