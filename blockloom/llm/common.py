@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 #: ASCII white space as the contracts define it: 0x20 and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "2m"
+#: Spark removes a query's shuffle files at its end where this is on.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,11 +38,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts lineage and survives lost executors."""
+def staged(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """Write df once to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    tidy: the shuffle files of this write go when it has ended, as nothing else reads them.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(TIDY, "false")
+    if tidy:
+        spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import brown, decontam, langid, neardup, pieces, pii, quality, sharding, substring, token_store
-from blockloom.llm.common import crc_mod, table
+from blockloom.llm import brown, decontam, langid, manifest, maximal, neardup, pieces, pii, quality, sharding, substring, token_store, variants
+from blockloom.llm.common import crc_mod, staged, table
 from blockloom.llm.sql import SQL
 
 #: Key of the surrogates; in use, a secret of the user's.
@@ -67,5 +67,22 @@ def op10_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_shards, op2_token_store, op3_piece_nbest, op4_substring_dedup, op5_ppm_language, op6_winnow_decontam, op7_surrogates, op8_brown_bigrams, op9_minmax_neardup, op10_ngram_ratio)}
+def op11_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maximal.remove_repeats(table(spark, sf_dir, "documents"), window=100)
+
+
+def op12_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = staged(variants.corpus_words(table(spark, sf_dir, "documents")), "words", tidy=True)
+    return variants.group_variants(words)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, columns = table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    # what a reader of a damaged copy would hash: every other text without its line ends
+    seen = F.when(crc_mod("doc_id", 2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    claimed = manifest.digest([seen if c == "text" else F.col(c) for c in columns])
+    return manifest.proofs(manifest.build(docs, columns, "source", "doc_id", claimed), "doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_shards, op2_token_store, op3_piece_nbest, op4_substring_dedup, op5_ppm_language, op6_winnow_decontam, op7_surrogates, op8_brown_bigrams, op9_minmax_neardup, op10_ngram_ratio, op11_maximal_repeats, op12_pivotal_grams, op13_merkle_manifest)}
 __all__ = ["QUERIES", "SQL"]
