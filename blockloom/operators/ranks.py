@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from blockloom.operators import scans
+
 
 def ranked(df: DataFrame, key: str = "ip", bits: int = 16, out: str = "rank") -> DataFrame:
     """Adds the 1-based rank of each row by a unique key, and the number of rows as `rows_all`.
@@ -83,10 +85,12 @@ def percentiles(df: DataFrame, group: str, value: str, wanted: dict[str, float],
     return long.groupBy(F.col("g").alias(group)).agg(*[F.max(F.when(F.col("name") == name, F.col("p"))).alias(name) for name in wanted])
 
 
-def balanced(df: DataFrame, size: str, key: str, target: int, by: str, out: str = "bucket") -> DataFrame:
+def balanced(df: DataFrame, size: str, key: str, target: int, by: str, out: str = "bucket", bits: int = 16) -> DataFrame:
     """Buckets of about `target` rows within each shard: blocks by size (largest first), cut by running size."""
-    w = Window.partitionBy(by)
-    d = df.withColumns({"__cum": F.sum(size).over(w.orderBy(F.desc(size), key).rowsBetween(Window.unboundedPreceding, 0)), "__all": F.sum(size).over(w)})
+    # largest first: blocks of one size are a stretch, cut again by their keys' high bits
+    first = -F.col(size)
+    d = scans.scan(df, [by], [first, F.col(key)], [first, F.shiftright(key, bits)], {"__cum": ("sum", size)})
+    d = d.join(df.groupBy(by).agg(F.sum(size).alias("__all")), by)
     return d.withColumn(out, F.expr(f"__cum * ((__all + {target - 1}) div {target}) div (__all + 1) + 1")).drop("__cum", "__all")
 
 
@@ -118,3 +122,12 @@ def rebalanced(df: DataFrame, bounds: list[int], eps: float = 0.05, rounds: int
             step = int(0.05 * min(bounds[i] - bounds[i - 1], bounds[i + 1] - bounds[i]))
             bounds[i] += step * ((pull > 0) - (pull < 0))
     return bounds, counts
+
+
+def top(df: DataFrame, by: list[str], order: list, k: int, out: str = "place") -> DataFrame:
+    """The first k rows of each group in a total order, with their place from 1. k must be below spark.sql.optimizer.windowGroupLimitThreshold.
+
+    The filter on row_number lets Spark keep k rows a group in each task before the shuffle, so what a group sends is k
+    rows a task and not its rows.
+    """
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(out) <= k)

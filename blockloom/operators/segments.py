@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blockloom.operators import scans
 from blockloom.sources.fixture import MEASURES
+from blockloom.sources.stage import stage
 
 K, BUCKET = 5, 64
 
@@ -87,7 +89,7 @@ def sides(df: DataFrame, k: int = K) -> DataFrame:
 def boundaries(df: DataFrame, k: int = K) -> DataFrame:
     """A row for each boundary between adjacent buckets of a block, with the k nearest valid members' statistics on either side."""
     seen = df.select("block", "bucket64").distinct()
-    edge = seen.withColumn("next", F.lead("bucket64").over(Window.partitionBy("block").orderBy("bucket64"))).where("next = bucket64 + 1").drop("next")
+    edge = seen.join(seen.select("block", (F.col("bucket64") - 1).alias("bucket64")), ["block", "bucket64"], "left_semi")
     s = sides(df, k)
     left = s.select("block", "bucket64", *[F.col(c).alias(f"l{c[1:]}") for c in s.columns if c.startswith("t_")])
     right = s.select("block", (F.col("bucket64") - 1).alias("bucket64"), *[F.col(c).alias(f"r{c[1:]}") for c in s.columns if c.startswith("h_")])
@@ -110,14 +112,19 @@ def split_events(edges: DataFrame, void_len: int = 3) -> DataFrame:
         "trigger_report": sure((c("ratio_report") > 4) & (c("cv_l") < 1.1) & (c("cv_r") < 1.1)), "trigger_mobile": sure((c("mobile_diff") > 0.5) | (c("mobile_ratio") > 4)),
         "trigger_operator": sure(c("l_op") != c("r_op")), "trigger_density": sure((c("device_ratio") > 10) & (zero("dv_l") < 1.5) & (zero("dv_r") < 1.5)),
     })
-    w = Window.partitionBy("block").orderBy("bucket64")
-    e = e.withColumn("grp", F.sum(F.when(c("r_cnt") > 0, 1).otherwise(0)).over(w))
-    zone = Window.partitionBy("block", "grp", F.col("r_cnt") == 0)
-    e = e.withColumns({"zlen": F.count(F.lit(1)).over(zone), "zmin": F.min("bucket64").over(zone)})
-    long_void = (c("r_cnt") == 0) & (c("zlen") >= void_len)
-    # entry: the first boundary of a zone; exit: the boundary after its last, which belongs to the next group
-    e = e.withColumn("in_void", long_void).withColumn("trigger_void", (long_void & (c("bucket64") == c("zmin"))) | (~long_void & sure((F.lag("in_void").over(w)) & (F.lag("bucket64").over(w) == c("bucket64") - 1))))
-    return e.withColumn("is_cut", c("trigger_report") | c("trigger_mobile") | c("trigger_operator") | c("trigger_density") | c("trigger_void")).drop("grp", "zlen", "zmin", "in_void")
+    e = e.join(void_cuts(edges, void_len), ["block", "bucket64"], "left").withColumn("trigger_void", sure(c("trigger_void")))
+    return e.withColumn("is_cut", c("trigger_report") | c("trigger_mobile") | c("trigger_operator") | c("trigger_density") | c("trigger_void"))
+
+
+def void_cuts(edges: DataFrame, void_len: int = 3, chunk_bits: int = 10) -> DataFrame:
+    """(block, bucket64, trigger_void): the first boundary of each run of void_len or more empty right sides, and the one after its last.
+
+    Runs are told apart by the running count of filled sides, in stretches of a block; their ends come from an aggregation.
+    """
+    n = edges.select("block", "bucket64", F.when(F.col("r_cnt") > 0, 1).otherwise(0).alias("filled"))
+    at = scans.scan(n, ["block"], [F.col("bucket64")], [F.shiftright("bucket64", chunk_bits)], {"grp": ("sum", "filled")})
+    zones = at.where("filled = 0").groupBy("block", "grp").agg(F.count(F.lit(1)).alias("n"), F.min("bucket64").alias("lo"), F.max("bucket64").alias("hi")).where(F.col("n") >= void_len)
+    return zones.select("block", F.explode(F.array("lo", F.col("hi") + 1)).alias("bucket64")).distinct().withColumn("trigger_void", F.lit(True))
 
 
 def cut_members(df: DataFrame, cuts: DataFrame, by: str, out: str, chunk_bits: int = 16) -> DataFrame:
@@ -140,13 +147,13 @@ def cut_members(df: DataFrame, cuts: DataFrame, by: str, out: str, chunk_bits: i
 
 def inner_jumps(df: DataFrame, by: str = "segment", width: int = 16, jump: float = 10.0, shortest: int = 64) -> DataFrame:
     """Cuts inside segments of at least `shortest` addresses where the mean devices of adjacent 16-address windows jump."""
-    w = Window.partitionBy(by)
     long = df.groupBy(by).agg(F.max("ip").alias("hi")).where(F.col("hi") - F.col(by) + 1 >= shortest)
     span = df.join(long.select(by), by, "left_semi")
-    win = span.groupBy(by, F.expr(f"(ip - {by}) div {width}").alias("win")).agg(F.avg("devices").alias("mean"))
-    o = w.orderBy("win")
-    win = win.withColumns({"most": ratio(F.max("mean").over(w), F.min("mean").over(w)), "before": F.lag("mean").over(o), "prev": F.lag("win").over(o)})
-    return win.where((F.col("most") > jump) & (F.col("prev") == F.col("win") - 1) & (wider(F.col("mean"), F.col("before")) > jump)).select(by, (F.col(by) + F.col("win") * width).alias("cut_ip"))
+    win = stage(span.groupBy(by, F.expr(f"(ip - {by}) div {width}").alias("win")).agg(F.avg("devices").alias("mean")), "sub-windows")
+    far = win.groupBy(by).agg(ratio(F.max("mean"), F.min("mean")).alias("most")).where(F.col("most") > jump)
+    before = win.select(by, (F.col("win") + 1).alias("win"), F.col("mean").alias("before"))
+    met = win.join(before, [by, "win"]).join(far.select(by), by, "left_semi")
+    return met.where(wider(F.col("mean"), F.col("before")) > jump).select(by, (F.col(by) + F.col("win") * width).alias("cut_ip"))
 
 
 def atoms(r1: DataFrame, least: int = 7) -> DataFrame:

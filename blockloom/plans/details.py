@@ -14,7 +14,6 @@ from blockloom.plans.further import QUERIES, SQL, count
 from blockloom.plans.queries import query
 from blockloom.plans.research import SHARD_BITS
 from blockloom.plans.run import Config, Run
-from blockloom.sources import fixture
 from blockloom.sources.fixture import MEASURES
 
 __all__ = ["QUERIES", "SQL"]
@@ -36,7 +35,7 @@ def _fields(df: DataFrame, part: str, fields: list[str]) -> DataFrame:
 
 @query("a6_fields", _field_sql("source", "src", [*_KEYS, *MEASURES]) + " union all " + _field_sql("abnormal", "(select ip from src where not is_valid)", ["ip"]))
 def _(r: Run):
-    return _fields(r.source, "source", [*_KEYS, *MEASURES]).unionByName(_fields(fixture.abnormal(r.spark, r.sf_dir), "abnormal", ["ip"]))
+    return _fields(r.source, "source", [*_KEYS, *MEASURES]).unionByName(_fields(r.abnormal, "abnormal", ["ip"]))
 
 
 def renumbered(e: DataFrame, bound: int = 16_384) -> DataFrame:
@@ -198,7 +197,7 @@ def _(r: Run):
 
 @query("k14_run_scope", "select distinct run from ps join (select distinct a.atom27 + d near from (select ip // 32 atom27 from fm where final in (select final from fin where valid_cnt between 1 and 3)) a, (select unnest([-2, -1, 0, 1, 2]) d)) on near = atom27")
 def _(r: Run):
-    return r.runs[0].join(QUERIES["k14_repair_scope"](r.spark, r.sf_dir), "atom27", "left_semi").select("run").distinct()
+    return r.runs[0].join(research.repair_scope(r), "atom27", "left_semi").select("run").distinct()
 
 
 @query("k16_hot_shards", f"select shard, {', '.join(f'count(*) filter (step = {chr(39)}{s}{chr(39)}) {s}' for s in _STEPS)} from ({_ALL}) group by 1 order by members desc, shard limit 5")

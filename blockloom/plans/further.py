@@ -52,7 +52,7 @@ def _(r: Run):
 
 @query("c8_member_shards", f"select ip, shard from mem join {research._PLAN} on ip >> 8 between prefix_start and prefix_end")
 def _(r: Run):
-    plan = QUERIES["c3_shard_plan"](r.spark, r.sf_dir).orderBy("shard").collect()  # one row a shard
+    plan = research._plan(r).orderBy("shard").collect()  # one row a shard
     bounds = [p.prefix_start * 256 for p in plan] + [(plan[-1].prefix_end + 1) * 256]
     return ranks.assigned(r.members.select("ip"), bounds).where("shard is not null")
 
@@ -208,8 +208,8 @@ def checks(r: Run) -> DataFrame:
     parts = h.unionByName(e).unionByName(f)
     lost = r.kept.select("ip").join(parts, "ip", "left_anti").unionByName(parts.join(r.kept.select("ip"), "ip", "left_anti"))
     twice = parts.groupBy("ip").agg(count()).where("n > 1")
-    plan = QUERIES["c3_shard_plan"](r.spark, r.sf_dir)
-    ids = plan.agg(F.countDistinct("shard").alias("ids"), F.max("shard").alias("last")).where("ids <> 8 or last <> 7")
+    n = r.config.shards
+    ids = research._plan(r).agg(F.countDistinct("shard").alias("ids"), F.max("shard").alias("last")).where((F.col("ids") != n) | (F.col("last") != n - 1))
     return profiles.report([
         ("no_overlap_h_e", "STOP", h.join(e, "ip", "left_semi")), ("no_overlap_h_f", "STOP", h.join(f, "ip", "left_semi")), ("no_overlap_e_f", "STOP", e.join(f, "ip", "left_semi")),
         ("conservation", "STOP", lost.unionByName(twice.select("ip"))), ("no_ghosts", "STOP", parts.join(r.members.select("ip"), "ip", "left_anti")),

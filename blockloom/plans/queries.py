@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from blockloom.operators import ranks
 from blockloom.operators import segments as S
 from blockloom.plans.run import Run
-from blockloom.sources import fixture
 from blockloom.sources.fixture import MEASURES
 
 _RUNS: dict[tuple[str, str], Run] = {}
@@ -102,7 +101,7 @@ def _(r: Run):
 
 @query("a2_abnormal_keys", "select ip from src where not is_valid")
 def _(r: Run):
-    return fixture.abnormal(r.spark, r.sf_dir).where("ip is not null").dropDuplicates(["ip"])
+    return r.abnormal.where("ip is not null").dropDuplicates(["ip"])
 
 
 @query("a6_source_sanity", "select country, count(*) n, count(distinct ip) keys, count(*) filter (operator is null) null_operators, count(distinct operator) operators from src group by 1")
@@ -121,10 +120,10 @@ def _(r: Run):
 
 
 @query("c3_shard_plan", "select shard, min(prefix) prefix_start, max(prefix) prefix_end, cast(sum(n) as bigint) n from (select prefix, n, cast((sum(n) over (order by prefix) - 1) * 8 // sum(n) over () as bigint) shard from (select ip >> 8 prefix, count(*) n from mem group by 1)) group by 1")
-def _(r: Run):
+def shard_plan(r: Run):
     bins = r.members.groupBy(F.shiftright("ip", 8).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))  # one row a prefix
     at = ranks.running(bins, "prefix", "n", "cum", "all")
-    return at.groupBy(F.expr("((cum - 1) * 8) div all").alias("shard")).agg(F.min("prefix").alias("prefix_start"), F.max("prefix").alias("prefix_end"), F.sum("n").alias("n"))
+    return at.groupBy(F.expr(f"((cum - 1) * {r.config.shards}) div all").alias("shard")).agg(F.min("prefix").alias("prefix_start"), F.max("prefix").alias("prefix_end"), F.sum("n").alias("n"))
 
 
 @query("d1_natural_blocks", "select block, ip_start, ip_end, member_cnt from presum")

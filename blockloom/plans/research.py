@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from blockloom.operators import ranks, rules
 from blockloom.operators import segments as S
-from blockloom.plans.queries import QUERIES, SQL, query, run_of
+from blockloom.plans.queries import QUERIES, SQL, query, run_of, shard_plan
 from blockloom.plans.run import Run
 from blockloom.sources import runs as state
 from blockloom.sources.stage import shared_dir
@@ -72,7 +72,7 @@ _PLAN = "(select shard, min(prefix) prefix_start, max(prefix) prefix_end, cast(s
 
 
 def _plan(r: Run) -> DataFrame:
-    return QUERIES["c3_shard_plan"](r.spark, r.sf_dir)
+    return shard_plan(r)
 
 
 @query("a11_subset_plan", f"select row_number() over (order by shard) - 1 shard, prefix_start, prefix_end, n from {_PLAN} where shard in (1, 3, 5)")
@@ -343,14 +343,14 @@ def _(r: Run):
 
 
 @query("k16_run_diagnosis", f"select step, count(*) shards_with_rows, (select count(distinct ip >> 12) from mem) - count(*) missing from ({_COVER}) group by 1")
-def _(r: Run):
+def run_diagnosis(r: Run):
     all_shards = r.members.agg(F.countDistinct(F.shiftright("ip", SHARD_BITS)).alias("every"))
     return _coverage(r).groupBy("step").agg(count("shards_with_rows")).crossJoin(F.broadcast(all_shards)).select("step", "shards_with_rows", (F.col("every") - F.col("shards_with_rows")).alias("missing"))
 
 
 @query("j28_run_list", f"select step, count(*) = (select count(distinct ip >> 12) from mem) ready from ({_COVER}) group by 1")
 def _(r: Run):
-    return QUERIES["k16_run_diagnosis"](r.spark, r.sf_dir).select("step", (F.col("missing") == 0).alias("ready"))
+    return run_diagnosis(r).select("step", (F.col("missing") == 0).alias("ready"))
 
 
 @query("j32_check_listing", "select 'h_e_overlap' name, (select count(*) from h where ip in (select ip from e)) = 0 passed, 'STOP' severity union all select 'h_f_overlap', (select count(*) from h where ip in (select ip from f)) = 0, 'STOP' union all select 'empty_sides', (select count(*) from ev where l_cnt = 0 or r_cnt = 0) = 0, 'WARN'")
@@ -385,7 +385,7 @@ def _(r: Run):
 
 
 @query("k14_repair_scope", "select distinct atom27 from atm join (select distinct a.atom27 + d near from (select ip // 32 atom27 from fm where final in (select final from fin where valid_cnt between 1 and 3)) a, (select unnest([-2, -1, 0, 1, 2]) d)) on near = atom27")
-def _(r: Run):
+def repair_scope(r: Run):
     failing = r.final_members.join(r.final.where("valid_cnt between 1 and 3").select("final"), "final", "left_semi").select("atom27").distinct()
     near = failing.select("atom27", F.explode(F.array(*[F.lit(d) for d in range(-2, 3)])).alias("d")).select((F.col("atom27") + F.col("d")).alias("atom27"))
     return r.atoms.join(near.distinct(), "atom27", "left_semi").select("atom27")

@@ -26,6 +26,8 @@ class Config:
     h_least_members: int = 4
     e_atom_least: int = 7
     e_run_least: int = 3
+    shard_bits: int = 12  # a shard of stored tables is the addresses with the same higher bits
+    shards: int = 8  # of a range plan
 
 
 class Run:
@@ -41,10 +43,13 @@ class Run:
     def source(self) -> DataFrame:
         return self._source if self._source is not None else fixture.source(self.spark, self.sf_dir)
 
+    @cached_property
+    def abnormal(self) -> DataFrame:
+        return self._abnormal if self._abnormal is not None else fixture.abnormal(self.spark, self.sf_dir)
+
     @cached_property
     def members(self) -> DataFrame:
-        flags = self._abnormal if self._abnormal is not None else fixture.abnormal(self.spark, self.sf_dir)
-        return S.members(self.source, flags, self.config.countries)
+        return stage(S.members(self.source, self.abnormal, self.config.countries), "members")
 
     @cached_property
     def blocked(self) -> DataFrame:
@@ -61,7 +66,8 @@ class Run:
     @cached_property
     def events(self) -> DataFrame:
         inside = self.blocked.join(S.candidates(self.pre).select("block"), "block", "left_semi")
-        return stage(S.split_events(S.boundaries(inside, self.config.nearest), self.config.void_len), "events")
+        edges = stage(S.boundaries(inside, self.config.nearest), "edges")
+        return stage(S.split_events(edges, self.config.void_len), "events")
 
     @cached_property
     def final_members(self) -> DataFrame:
@@ -111,7 +117,7 @@ class Run:
         columns = self.members.columns  # every part still has them, so members aren't joined again
         lib = lambda df, name: df.select(*columns, F.lit(name).alias("lib"))
         dropped = self.blocked.join(self.pre.where("not keep_flag").select("block"), "block", "left_semi")
-        return lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D"))
+        return stage(lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D")), "labelled")
 
 
 def run_pipeline(members: DataFrame, abnormal: DataFrame, config: Config = Config()) -> Run:

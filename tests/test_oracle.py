@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from blockloom.plans.details import QUERIES, SQL
+from blockloom.plans.stored import QUERIES, SQL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
