@@ -6,8 +6,8 @@ with one anchor. Anchors of a single passage are dropped by counts; passages tha
 kept with its earliest place, and every later place goes whole.
 
 What else repeats are parts of different entries of an anchor. The entries' bytes go to the anchor's shard, in order of
-their places. Each task makes the suffix array of its shards by prefix doubling, the common prefixes of neighbours from
-the doubling's ranks, and scans them with a stack: each interval of suffixes with a common prefix of at least a window
+their places. Each task ranks the suffixes of its shards by prefix doubling up to a window, sorts those that share one
+into a suffix array, takes the common prefixes of neighbours from the ranks, and scans both with a stack: each interval of suffixes with a common prefix of at least a window
 closes as a node of the tree. A node whose suffixes stand after different bytes, or at the edge of a passage, is a maximal
 repeat group with all its occurrences. All but the earliest occurrence go: each suffix is handed out once, at the deepest
 node where an earlier one joins it, so nested groups cost no more than the suffixes.
@@ -85,42 +85,58 @@ def split(body: bytes, window: int) -> list[tuple[int, int, int]]:
     return list(zip(key[at].view(np.int64).tolist(), at.tolist(), [*at[1:].tolist(), len(key)], strict=True))
 
 
-def suffix_array(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """(order of all suffixes, ranks after 8, 16, ... bytes). left: bytes from each position to the end of its own body.
+def ranks(data: np.ndarray, left: np.ndarray, window: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks (from 1, equal for equal strings) of all suffixes by their first 8, 16, ... bytes, up to the last power within a window.
 
-    A suffix ends with its body and sorts before what it is the start of.
+    left: bytes from each position to the end of its own body. A suffix ends with its body and sorts before what it is
+    the start of.
     """
     n = len(data)
-    padded = np.append(data, np.zeros(8, np.uint8))
-    eight = np.ndarray((n,), ">u8", padded, strides=(1,)).astype(np.uint64)
-    short = np.minimum(left, 8)
-    # bytes past the body's end don't count
-    eight &= ~np.where(short < 8, np.uint64((1 << 64) - 1) >> (8 * short).astype(np.uint64) % np.uint64(64), np.uint64(0))
-    order = np.lexsort((short, eight))
-    fresh = np.append(True, (eight[order[1:]] != eight[order[:-1]]) | (short[order[1:]] != short[order[:-1]]))
-    rank, h, levels, most = np.empty(n, np.int64), 8, [], int(left.max())
-    rank[order] = np.cumsum(fresh)
-    levels.append((h, rank))
-    while h < most and not fresh.all():
-        after = np.zeros(n, np.int64)
-        far = np.flatnonzero(left > h)
-        after[far] = rank[far + h]
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        fresh = np.append(True, key[order[1:]] != key[order[:-1]])
-        rank, h = np.empty(n, np.int64), 2 * h
-        rank[order] = np.cumsum(fresh)
+    eight = np.ndarray((n,), ">u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,)).astype(np.uint64)
+    tail = np.flatnonzero(left < 8)  # bytes past the body's end don't count
+    eight[tail] &= ~(np.uint64((1 << 64) - 1) >> (8 * left[tail]).astype(np.uint64))
+    order = np.argsort(eight)
+    sorted_, short = eight[order], np.minimum(left, 8)[order]
+    fresh = sorted_[1:] != sorted_[:-1]
+    if (short[1:] != short[:-1])[~fresh].any():  # zero bytes at a body's end
+        order = np.lexsort((np.minimum(left, 8), eight))
+        sorted_, short = eight[order], np.minimum(left, 8)[order]
+        fresh = (sorted_[1:] != sorted_[:-1]) | (short[1:] != short[:-1])
+    levels, h = [], 8
+    while True:
+        rank = np.empty(n, np.int64)
+        rank[order] = np.append(1, 1 + np.cumsum(fresh))
         levels.append((h, rank))
-    return order, levels
+        if 2 * h > window:
+            return levels
+        key = rank << 32
+        key[: n - h] |= np.where(left[: n - h] > h, rank[h:], 0)
+        order, h = np.argsort(key), 2 * h
+        sorted_ = key[order]
+        fresh = sorted_[1:] != sorted_[:-1]
+
+
+def suffix_array(left: np.ndarray, levels: list[tuple[int, np.ndarray]], group: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Order of the suffixes at `places`, by group and then by all their bytes."""
+    h, rank = levels[-1]
+    keys, at = [group], 0
+    while (more := left[places] > at).any():
+        keys.append(np.where(more, rank[np.where(more, places + at, 0)], 0))
+        at += h
+    return np.lexsort(keys[::-1])
 
 
 def common_prefixes(data: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
-    """Length of the common prefix of suffixes a[i] and b[i], by the doubling's ranks, then byte by byte."""
+    """Length of the common prefix of suffixes a[i] and b[i], by ranks of whole stretches, then byte by byte."""
     most, same = np.minimum(left[a], left[b]), np.zeros(len(a), np.int64)
     for h, rank in reversed(levels):
-        at = np.flatnonzero(same < most)
-        at = at[rank[a[at] + same[at]] == rank[b[at] + same[at]]]
-        same[at] = np.minimum(same[at] + h, most[at])
+        at = np.arange(len(a))
+        while len(at):
+            at = at[same[at] < most[at]]
+            at = at[rank[a[at] + same[at]] == rank[b[at] + same[at]]]
+            same[at] = np.minimum(same[at] + h, most[at])
+            if h < levels[-1][0]:
+                break
     live = np.flatnonzero(same < most)
     for _ in range(8):
         live = live[data[a[live] + same[live]] == data[b[live] + same[live]]]
@@ -165,23 +181,31 @@ def shard_repeats(bodies: list[bytes], window: int) -> tuple[list[tuple[int, int
     size = np.array([len(x) for x in bodies])
     ends = np.cumsum(size)
     left = np.repeat(ends, size) - np.arange(len(data))
-    order, levels = suffix_array(data, left)
-    order = order[left[order] >= window]
-    common = np.append(0, common_prefixes(data, left, order[:-1], order[1:], levels)) if len(order) else np.zeros(0, np.int64)
     before = np.append(_EDGE, data[:-1].astype(np.int64))
     before[ends - size] = _EDGE
-    before = before[order]
-    # runs of suffixes that share a window; where all stand after one byte no node is maximal
-    heads = np.flatnonzero(common < window)
-    tails = np.append(heads[1:], len(order))
+    levels = ranks(data, left, window)
+    h, rank = levels[-1]
+    # suffixes that share a window; where all stand after one byte no node above them is maximal, so these aren't sorted
+    places = np.flatnonzero(left >= window)
+    key = rank[places] << 32 | rank[places + window - h]
+    by = np.argsort(key)
+    key, places = key[by], places[by]
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    lo, hi, many = np.minimum.reduceat(before[places], heads), np.maximum.reduceat(before[places], heads), np.diff(np.append(heads, len(places)))
+    wanted = (many > 1) & ((lo != hi) | (hi == _EDGE))
+    places, group = places[np.repeat(wanted, many)], np.repeat(np.arange(wanted.sum()), many[wanted])
     again, groups = [], []
-    if len(heads):
-        lo, hi = np.minimum.reduceat(before, heads), np.maximum.reduceat(before, heads)
-        for a, b in zip(*(x[(tails - heads > 1) & ((lo != hi) | (hi == _EDGE))].tolist() for x in (heads, tails)), strict=True):
-            places = order[a:b].tolist()
-            gone, found = interval_tree(places, common[a:b].tolist(), before[a:b].tolist(), window)
+    if len(places):
+        order = places[suffix_array(left, levels, group, places)]
+        common = np.append(0, common_prefixes(data, left, order[:-1], order[1:], levels))
+        heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        common[heads] = 0
+        order_, common_, before_ = order.tolist(), common.tolist(), before[order].tolist()
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
+            places_ = order_[a:b]
+            gone, found = interval_tree(places_, common_[a:b], before_[a:b], window)
             again += gone
-            groups += [(length, places[x:y]) for length, x, y in found]
+            groups += [(length, places_[x:y]) for length, x, y in found]
     return again, groups, ends - size
 
 
@@ -224,7 +248,7 @@ class Repeats:
         self.entries = staged(each.join(count, "anchor"), "entries", tidy=True)
 
     def bodies(self, entries: DataFrame) -> DataFrame:
-        """(anchor, shard, snip, off, k, fp, at, body): the bytes of the entries, from their earliest places."""
+        """(anchor, shard, snip, off, k, fp, at, body): the bytes of the entries, from their earliest places; twice where a row stands twice."""
         window, kind = self.window, self.key_type
         want = F.struct("anchor", "snip", F.col("first.at").alias("at"), F.col("first.n").alias("n"), (F.col("entries") > self.crowded).alias("many"))
         wanted = entries.groupBy(F.col("first.k").alias("k"), F.col("first.fp").alias("fp")).agg(F.collect_list(want).alias("want"))
@@ -242,7 +266,7 @@ class Repeats:
                     anchor, shard, snip, off, at, body = (pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True))
                     yield pa.RecordBatch.from_arrays([anchor, shard, snip, off, b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), at, body], names=["anchor", "shard", "snip", "off", "k", "fp", "at", "body"])
 
-        return self.source.join(wanted, ["k", "fp"]).dropDuplicates(["k", "fp"]).select("k", "fp", "t", "want").mapInArrow(released(cut), f"anchor long, shard long, snip long, off int, k {kind}, fp long, at int, body binary")
+        return self.source.join(wanted, ["k", "fp"]).select("k", "fp", "t", "want").mapInArrow(released(cut), f"anchor long, shard long, snip long, off int, k {kind}, fp long, at int, body binary")
 
     def shards(self, entries: DataFrame) -> DataFrame:
         return self.bodies(entries).repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "k", "fp", "at")
@@ -320,8 +344,10 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Array]
 
 
 def _pieces(t: pa.Table) -> Iterator[dict[str, pa.Array]]:
-    """Runs of whole shards of about GATHERED bytes."""
-    t = t.combine_chunks()
+    """Runs of whole shards of about GATHERED bytes, each body once."""
+    columns = [t[c].to_numpy() for c in ("anchor", "shard", "snip", "off")]
+    new = np.append(True, np.any([x[1:] != x[:-1] for x in columns], axis=0))
+    t = t.filter(pa.array(new)).combine_chunks()
     a, s = t["anchor"].to_numpy(), t["shard"].to_numpy()
     heads = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (s[1:] != s[:-1])))
     done = np.append(0, np.cumsum(np.diff(np.asarray(t["body"].chunk(0).buffers()[1]).view(np.int32)[t["body"].chunk(0).offset :][: len(a) + 1])))
