@@ -6,7 +6,9 @@ edit touches at most one of two disjoint bigrams, so of two near words the one w
 a pivot that is also in the other's prefix, at the same distance from the start (if the edit comes after the left pivot)
 or from the end (if it comes before the right pivot's start). Pivots are held against the prefixes of other words by that
 position limit: what lies between the word's edge and the gram must be equal too, so the join key is a hash of it,
-together with the other word's length. Candidates are verified by edit distance.
+together with the other word's length. What is left of the two words differs by one edit too, so its first or its second
+half is the same, cut at half the shorter one's length: hashes of both halves drop nearly all other candidates, and the
+rest are verified by edit distance.
 
 The order is only a matter of speed, so the table of frequencies has the GRAMS commonest bigrams at most; others count as
 rarest. A word sends six look-ups and two entries for each bigram of its prefix.
@@ -62,6 +64,13 @@ def prefix(word: str, rank: dict[str, int]) -> tuple[list[int], tuple[int, str],
     return places, last, best[1], best[2]
 
 
+def halves(part: str, size: int) -> tuple[int, int]:
+    """Hashes of the first size // 2 letters and of the last size - size // 2 ones of a part of at least `size` letters."""
+    cut = size // 2
+    a, b = part[:cut], part[len(part) - (size - cut) :]
+    return xxhash.xxh32_intdigest(a) - (1 << 31), xxhash.xxh32_intdigest(b) - (1 << 31)
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """(a, b, na, nb) for each pair a < b of `words` (word, n) that one inserted, deleted or replaced letter makes equal.
 
@@ -81,20 +90,26 @@ def near_words(words: DataFrame) -> DataFrame:
                 places, (c, g), left, right = prefix(word, rank)
                 size = len(word)
                 for p in places:
-                    for side, part in (("<", word[: p + 2]), (">", word[p:])):
-                        out.append((False, xxhash.xxh3_64_intdigest(side + part) - (1 << 63), size, word, n, c, g))
-                for side, part in (("<", word[: left + 2]), (">", word[right:])):
+                    for side, part, rest in (("<", word[: p + 2], word[p + 2 :]), (">", word[p:], word[:p])):
+                        h = xxhash.xxh3_64_intdigest(side + part) - (1 << 63)
+                        # the shorter rest is this one, or a letter less
+                        out.append((False, h, size, word, n, c, g, *halves(rest, len(rest)), *halves(rest, max(len(rest) - 1, 0))))
+                for side, part, rest in (("<", word[: left + 2], word[left + 2 :]), (">", word[right:], word[:right])):
                     h = xxhash.xxh3_64_intdigest(side + part) - (1 << 63)
-                    out += [(True, h, other, word, n, c, g) for other in (size - 1, size, size + 1)]
+                    same, less = halves(rest, len(rest)), halves(rest, max(len(rest) - 1, 0))
+                    out += [(True, h, other, word, n, c, g, *(less if other < size else same), int(other > size), 0) for other in (size - 1, size, size + 1)]
             for i in range(0, len(out), 10_000):
-                cols = zip(zip(*out[i : i + 10_000], strict=True), (pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=["asks", "part", "size", "word", "n", "c", "g"])
+                cols = zip(zip(*out[i : i + 10_000], strict=True), (pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), *[pa.int32()] * 4), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=["asks", "part", "size", "word", "n", "c", "g", "a", "b", "a1", "b1"])
 
-    rows = staged(words.mapInArrow(released(run), "asks boolean, part long, size int, word string, n long, c long, g string"), "grams", tidy=True)
-    ask = rows.where("asks").select("part", "size", *[F.col(x).alias(f"{x}_") for x in ("word", "n", "c", "g")])
+    rows = staged(words.mapInArrow(released(run), "asks boolean, part long, size int, word string, n long, c long, g string, a int, b int, a1 int, b1 int"), "grams", tidy=True)
+    ask = rows.where("asks").select("part", "size", *[F.col(x).alias(f"{x}_") for x in ("word", "n", "c", "g", "a", "b")], (F.col("a1") == 1).alias("longer"))
     held = rows.where("not asks").drop("asks")
-    earlier = F.struct("c_", "g_") <= F.struct("c", "g")
-    pairs = ask.join(held, ["part", "size"]).where(earlier & (F.col("word") != F.col("word_")) & (F.levenshtein("word_", "word", 1) == 1))
+    half = F.when(F.col("longer"), (F.col("a_") == F.col("a1")) | (F.col("b_") == F.col("b1"))).otherwise((F.col("a_") == F.col("a")) | (F.col("b_") == F.col("b")))
+    earlier = (F.col("c_") < F.col("c")) | ((F.col("c_") == F.col("c")) & (F.col("g_") <= F.col("g")))
+    # distances are only taken of what is left
+    near = F.when(half & earlier & (F.col("word") != F.col("word_")), F.levenshtein("word_", "word", 1) == 1).otherwise(False)
+    pairs = ask.join(held, ["part", "size"]).where(near)
     swap = F.col("word_") > F.col("word")
     pick = lambda c: (F.when(swap, F.col(c)).otherwise(F.col(f"{c}_")), F.when(swap, F.col(f"{c}_")).otherwise(F.col(c)))
     (a, b), (na, nb) = pick("word"), pick("n")
