@@ -1,19 +1,19 @@
 """Benchmark passages in documents, found by winnowing (operator 6).
 
 Texts and items are reduced to fingerprints: the least hash of the 8-word grams of each window of 13 words (6 grams; the
-leftmost of equals). A span of 13 or more shared words holds a whole such window, whose least gram is the same on both
-sides, so every such span has a common fingerprint. Document fingerprints are joined with item fingerprints; only
-documents that meet one are looked at again: the stretch of the document that lies against the item is held against it
-word by word, and runs of 13 equal words or more count. Items of fewer than 13 words are one window each, with the whole
-item as its gram.
+leftmost of equals). Equal windows have the same one, so every span of 13 or more shared words has a common fingerprint.
+Document fingerprints are joined with those of all items, each once; a hit is extended to the document's windows that have
+that fingerprint, and their words are joined with the items' windows, each once with the items that have it. So no pair of
+places in a document and an item is made, however often words repeat, and equal windows are equal byte by byte. Items of
+fewer than 13 words are one window each, with the whole item as its gram.
 
 A sieve of fixed size (a bit for each leading 22 bits of the items' fingerprints) keeps most document fingerprints out of
-the join; with more items it lets more of them through, and the join stays exact. Items of equal words are one entry.
+the join; with more items it lets more of them through, and the join stays exact. Windows of the same items are one class;
+a document is joined with its classes' items only after its windows were found, which grows as the item lists that it returns.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,36 +46,50 @@ def _short(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return at, mix(g[at] + np.uint64(n))
 
 
-def _entries(bench: DataFrame, window: int, gram: int, item: str, item_text: str) -> DataFrame:
-    """(i, e, n, body, prints) of items with words: id, digest of the words, their number, the words, fingerprints (fp, q)."""
+def _parts(words: Words, at: np.ndarray, size: int, offsets: np.ndarray, body: bytes) -> dict[bytes, list[int]]:
+    """Different windows of `size` words that start at the words `at` (ascending), each with the words that its occurrences cover, as [start, end, ...]."""
+    out: dict[bytes, list[int]] = {}
+    for i, x, y in zip(at.tolist(), offsets[at].tolist(), offsets[at + size].tolist(), strict=True):
+        covered = out.setdefault(body[x : y - 1], [])
+        if covered and covered[-1] >= i:
+            covered[-1] = i + size
+        else:
+            covered += [i, i + size]
+    return out
+
+
+def _body(words: Words) -> tuple[bytes, np.ndarray]:
+    """(the words, each with a space after it; where each starts, and the end)."""
+    body = b"".join(words.text(i) + b" " for i in range(len(words)))
+    return body, np.append(0, np.cumsum(words.ends - words.starts + 1))
+
+
+def _items(bench: DataFrame, window: int, gram: int, item: str, item_text: str) -> DataFrame:
+    """(i, n, prints, parts) of items with words: id, words of a window, different fingerprints and windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, data, offsets in chunks(b.column(1)):
-                w = Words(data, offsets, ALNUM, fold=True)
-                pos, g = winnow(w, gram, window)
-                of, out = w.doc[pos], []
-                for d in np.flatnonzero(w.count).tolist():
-                    first, n = int(w.first[d]), int(w.count[d])
-                    body = b" ".join(w.text(j) for j in range(first, first + n))
-                    if n < window:
-                        own = Words(np.frombuffer(body, np.uint8), np.array([0, len(body)]), ALNUM)
-                        prints = [{"fp": int(_short(own, n)[1].view(np.int64)[0]), "q": 0}]
-                    else:
-                        mine = slice(*np.searchsorted(of, [d, d + 1]))
-                        prints = [{"fp": f, "q": q} for f, q in zip(g[mine].view(np.int64).tolist(), (pos[mine] - first).tolist(), strict=True)]
-                    out.append((lo + d, hashlib.blake2b(body, digest_size=16).digest(), n, body, prints))
-                if out:
-                    row, e, n, body, prints = zip(*out, strict=True)
-                    cols = [b.column(0).take(pa.array(row)), pa.array(e, pa.binary()), pa.array(n, pa.int32()), pa.array(body, pa.binary()), pa.array(prints, pa.list_(pa.struct([("fp", pa.int64()), ("q", pa.int32())])))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["i", "e", "n", "body", "prints"])
+            out = []
+            for row, t in enumerate(b.column(1).to_pylist()):
+                raw = t.encode()
+                w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM, fold=True)
+                if not len(w):
+                    continue
+                n = min(len(w), window)
+                prints = winnow(w, gram, window)[1] if n == window else _short(w, n)[1]
+                body, offsets = _body(w)
+                out.append((row, n, np.unique(prints.view(np.int64)).tolist(), list(_parts(w, np.arange(len(w) - n + 1), n, offsets, body))))
+            if out:
+                row, n, prints, parts = zip(*out, strict=True)
+                cols = [b.column(0).take(pa.array(row)), pa.array(n, pa.int32()), pa.array(prints, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["i", "n", "prints", "parts"])
 
     named = bench.where(F.col(item_text).isNotNull()).select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t"))
-    return staged(named.mapInArrow(released(run), "i string, e binary, n int, body binary, prints array<struct<fp:long,q:int>>"), "items")
+    return staged(named.mapInArrow(released(run), "i string, n int, prints array<long>, parts array<binary>"), "items")
 
 
 def _fingerprints(source: DataFrame, sieve: np.ndarray, sizes: list[int], window: int, gram: int, at: int) -> DataFrame:
-    """source with n_words and, where the sieve lets any through, the fingerprints with their positions; text is column `at`."""
+    """source with n_words and the different fingerprints that the sieve lets through; text is column `at`."""
     sent = source.sparkSession.sparkContext.broadcast(sieve)  # 2^SIEVE_BITS bits
     names, shift = source.columns, np.uint64(64 - SIEVE_BITS)
 
@@ -87,29 +101,15 @@ def _fingerprints(source: DataFrame, sieve: np.ndarray, sizes: list[int], window
                 found = [winnow(w, gram, window), *(_short(w, n) for n in sizes)]
                 pos, fp = (np.concatenate([x[i] for x in found]) for i in (0, 1))
                 keep = known[fp >> shift]
-                pos, fp = pos[keep], fp[keep]
-                doc = w.doc[pos]
-                by = np.lexsort((pos, fp, doc))
-                pos, fp, doc = (pos[by] - w.first[doc[by]]).astype(np.int32), fp[by], doc[by]
+                fp, doc = fp[keep], w.doc[pos[keep]]
+                by = np.lexsort((fp, doc))
+                fp, doc = fp[by], doc[by]
                 new = np.flatnonzero(np.append(True, (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1]))) if len(fp) else np.zeros(0, np.int64)
-                each = pa.ListArray.from_arrays(pa.array(np.append(new, len(pos)).astype(np.int32)), pa.array(pos))
-                prints = pa.StructArray.from_arrays([pa.array(fp[new].view(np.int64)), each], names=["fp", "at"])
                 edge = np.searchsorted(doc[new], np.arange(hi - lo + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pa.array(w.count), pa.ListArray.from_arrays(pa.array(edge), prints)], names=[*names, "n_words", "prints"])
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pa.array(w.count), pa.ListArray.from_arrays(pa.array(edge), pa.array(fp[new].view(np.int64)))], names=[*names, "n_words", "prints"])
 
     schema = ", ".join(f"{c} {k}" for c, k in source.dtypes)
-    return source.mapInArrow(released(run), f"{schema}, n_words long, prints array<struct<fp:long,at:array<int>>>")
-
-
-def _runs(mine: list[bytes], item: list[bytes], least: int) -> list[int]:
-    """[start, end, ...] of runs of at least `least` places at which both have the same word."""
-    out, begin = [], 0
-    for i in range(len(mine) + 1):
-        if i == len(mine) or mine[i] != item[i]:
-            if i - begin >= least:
-                out += [begin, i]
-            begin = i + 1
-    return out
+    return source.mapInArrow(released(run), f"{schema}, n_words long, prints array<long>")
 
 
 def _covered(spans: list[tuple[int, int]]) -> int:
@@ -131,16 +131,18 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key:
     keep, gram = keep or [], min(GRAM, window)
     if clash := {"n_words", "n_hit", "n_items", "items_sha256", "contaminated"} & {key, *keep}:
         raise ValueError(f"columns {sorted(clash)} have names of results")
-    items = _entries(bench, window, gram, item, item_text)
-    entries = staged(items.groupBy("e").agg(F.first("n").alias("n"), F.first("body").alias("body"), F.first("prints").alias("prints")), "entries")
-    ids = items.groupBy("e").agg(F.collect_set("i").alias("ids"), F.max(F.col("i").isNull()).alias("nameless"))
-    fps = entries.select("e", "n", F.explode("prints").alias("x")).select("e", "n", "x.fp", "x.q")
+    items = _items(bench, window, gram, item, item_text)
+    fps = items.select(F.explode("prints").alias("fp")).distinct()
+    # windows with the ids of the items that have them; those of the same items are one class
+    parts_of = items.select("i", F.explode("parts").alias("part")).groupBy("part").agg(F.sort_array(F.collect_set("i")).alias("ids"), F.max(F.col("i").isNull().cast("int")).alias("nameless"))
+    parts_of = staged(parts_of.withColumn("class", F.sha2(F.to_json(F.struct("ids", "nameless")), 256)), "item-windows")
+    classes = parts_of.groupBy("class").agg(F.first("ids").alias("ids"), F.first("nameless").alias("nameless"))
     place = F.shiftrightunsigned("fp", 64 - SIEVE_BITS)
     # at most 2^SIEVE_BITS / 64 rows
     sieve = np.zeros((1 << SIEVE_BITS) // 64, np.int64)
     for r in fps.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(fp, %d) & 63 as int))" % (64 - SIEVE_BITS))).alias("bits")).collect():
         sieve[r.w] = r.bits
-    sizes = sorted(r.n for r in entries.where(F.col("n") < window).select("n").distinct().collect())  # below the window
+    sizes = sorted(r.n for r in items.where(F.col("n") < window).select("n").distinct().collect())  # below the window
 
     # the text is a column of its own unless it is kept anyway
     names = [f"c{i}" for i in range(len(keep))]
@@ -150,44 +152,33 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key:
     met = F.size("prints") > 0
     rows = staged(marked if text in keep else marked.withColumn("t", F.when(met, F.col("t"))), "fingerprints")
 
-    hits = rows.where(met).select("row", F.explode("prints").alias("x")).select("row", "x.fp", "x.at").join(fps, "fp")
-    # a place where item and document lie against each other: the item's first word falls on word d
-    places = hits.select("row", "e", "n", "q", F.explode("at").alias("p")).select("row", "e", "n", (F.col("p") - F.col("q")).alias("d")).distinct()
-    wanted = places.groupBy("row").agg(F.collect_list(F.struct("e", "n", "d")).alias("want"))
+    hits = rows.where(met).select("row", F.explode("prints").alias("fp")).join(fps, "fp")
+    wanted = hits.groupBy("row").agg(F.collect_list("fp").alias("fps"))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row, body, want in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                raw = body.as_py().encode()
-                w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM, fold=True, hashes=False)
-                out = []
-                for x in want.as_py():
-                    lo, hi = max(x["d"], 0), min(x["d"] + x["n"], len(w))
-                    out.append((row, x["e"], lo, lo - x["d"], b" ".join(w.text(j) for j in range(lo, hi))))
+            for row, body, fps in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                raw, met = body.as_py().encode(), fps.values.to_numpy().view(np.uint64)
+                w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM, fold=True)
+                whole, offsets = _body(w)
+                at = {n: pos[np.isin(h, met)] for n in sizes for pos, h in (_short(w, n),)}
+                if len(w) >= window:
+                    g = grams(w.hash, gram)
+                    at[window] = np.flatnonzero(np.isin(g[argmin_slide(g, window - gram + 1)], met))
+                out = [(row, part, spans) for n, x in at.items() for part, spans in _parts(w, x, n, offsets, whole).items()]
                 for i in range(0, len(out), 1000):
-                    cols = zip(zip(*out[i : i + 1000], strict=True), (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in cols], names=["row", "e", "at", "off", "part"])
-
-    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for row, e, at, off, part, body in zip(*(b.column(c).to_pylist() for c in ("row", "e", "at", "off", "part", "body")), strict=True):
-                mine, whole = part.split(b" "), body.split(b" ")
-                runs = _runs(mine, whole[off : off + len(mine)], min(window, len(whole)))
-                if runs:
-                    for x, v in zip(out, (row, e, [at + r for r in runs]), strict=True):
-                        x.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, (pa.int64(), pa.binary(), pa.list_(pa.int32())), strict=True)], names=["row", "e", "spans"])
+                    cols = zip(zip(*out[i : i + 1000], strict=True), (pa.int64(), pa.binary(), pa.list_(pa.int32())), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in cols], names=["row", "part", "spans"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hit = [_covered([(s[i], s[i + 1]) for s in x for i in range(0, len(s), 2)]) for x in b.column("spans").to_pylist()]
             yield b.drop_columns(["spans"]).append_column("n_hit", pa.array(hit, pa.int64()))
 
-    parts = rows.where(met).select("row", F.col(t).alias("t")).join(wanted, "row").select("row", "t", "want").mapInArrow(released(cut), "row long, e binary, at int, off int, part binary")
-    held = staged(parts.join(entries.select("e", "body"), "e").mapInArrow(released(hold), "row long, e binary, spans array<int>"), "hits")
+    parts = rows.where(met).select("row", F.col(t).alias("t")).join(wanted, "row").select("row", "t", "fps").mapInArrow(released(extend), "row long, part binary, spans array<int>")
+    held = staged(parts.join(parts_of.select("part", "class"), "part").select("row", "class", "spans"), "hits")
     hit = held.groupBy("row").agg(F.collect_list("spans").alias("spans")).mapInArrow(released(count), "row long, n_hit long")
-    of = held.select("row", "e").distinct().join(ids, "e").groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"), F.max(F.col("nameless").cast("int")).alias("nameless"))
+    of = held.select("row", "class").distinct().join(classes, "class").groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"), F.max("nameless").alias("nameless"))
     found = hit.join(of, "row").select("row", "n_hit", "ids", (F.size("ids") + F.col("nameless")).cast("long").alias("n_items"))
 
     # only documents that met a fingerprint are joined with what was found
