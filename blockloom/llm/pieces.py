@@ -30,6 +30,8 @@ from blockloom.llm.common import released
 from blockloom.llm.words import distinct, mix
 
 MARK, N_BEST, CACHE, CHUNK_CHARS = "▁", 3, 200_000, 1 << 19
+#: Segments of more characters are solved edge by edge, their edges found in stretches of so many positions.
+LONG, STRETCH = 2048, 1 << 15
 #: Stands for a mark character that the text itself has; outside Unicode, so no piece has it.
 _OWN_MARK = 0x110000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -147,8 +149,15 @@ class Segmenter:
         self.score, self.gap = np.append(self.score, none), np.append(self.gap, none)
         self.first, self.count = np.append(self.first, none.astype(np.int64)), np.append(self.count, none.astype(np.int64))
         found, end = [self.flat], len(self.flat)
-        for g, cp, size in self._grids(keys):
+        for x in [x for x, k in enumerate(keys) if len(k) > 4 * LONG]:
+            self.score[base + x], self.gap[base + x], ids = self._solve_long(np.frombuffer(keys[x], np.int32).astype(np.int64))
+            self.first[base + x], self.count[base + x] = end, len(ids)
+            found.append(ids)
+            end += len(ids)
+        short = np.array([x for x, k in enumerate(keys) if len(k) <= 4 * LONG], np.int64)
+        for g, cp, size in self._grids([keys[x] for x in short.tolist()]) if len(short) else ():
             best, gap, ids, count = self._solve(cp, size)
+            g = short[g]
             self.score[base + g], self.gap[base + g], self.count[base + g] = best, gap, count
             self.first[base + g] = end + np.cumsum(count) - count
             found.append(ids)
@@ -202,12 +211,55 @@ class Segmenter:
             out[at : at + len(x)] = x
         return best, best - second, out, np.bincount(row, times, n).astype(np.int64)
 
+    def _edge_list(self, cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, lengths, scores, pieces) of one segment's edges, by end and length; stretch by stretch, so no grid of the whole segment is made."""
+        parts, over = [], self.v.longest - 1
+        for lo in range(0, len(cp), STRETCH):
+            score, piece = self._edges(cp[lo : lo + STRETCH + over, None])
+            m, s, _ = np.nonzero(score[:, :STRETCH] > -np.inf)
+            parts.append((lo + s, m, score[m, s, 0], piece[m, s, 0]))
+        s, m, x, p = (np.concatenate(c) for c in zip(*parts, strict=True))
+        by = np.lexsort((m, s + m))
+        return s[by], m[by], x[by], p[by]
+
+    def _solve_long(self, cp: np.ndarray) -> tuple[float, float, np.ndarray]:
+        """(best score, lead over the second best, pieces) of one segment, in time and memory linear in its edges."""
+        start, m, x, piece = self._edge_list(cp)
+        end = start + m
+        forward, came = [0.0] + [-math.inf] * len(cp), [-1] * (len(cp) + 1)
+        for i, (s, e, score) in enumerate(zip(start.tolist(), end.tolist(), x.tolist(), strict=True)):
+            if forward[s] + score > forward[e]:
+                forward[e], came[e] = forward[s] + score, i
+        back, by = [-math.inf] * len(cp) + [0.0], np.argsort(-start, kind="stable")
+        for s, e, score in zip(start[by].tolist(), end[by].tolist(), x[by].tolist(), strict=True):
+            if back[e] + score > back[s]:
+                back[s] = back[e] + score
+        path, at = [], len(cp)
+        while at:
+            path.append(came[at])
+            at = int(start[came[at]])
+        rest = np.ones(len(start), bool)
+        rest[path] = False
+        others = (np.array(forward)[start] + x + np.array(back)[end])[rest]
+        ids: list[int] = []
+        for i in reversed(path):
+            ids += [int(piece[i])] if piece[i] >= 0 else self._spell(int(cp[start[i]]))
+        return forward[-1], forward[-1] - float(others.max(initial=-math.inf)), np.array(ids, np.int32)
+
     def _spell(self, c: int) -> list[int]:
         return [self.v.bytes[b] for b in chr(0x2581 if c == _OWN_MARK else c).encode()]
 
     def search(self, slots: list[int], n: int) -> None:
         """Searches segments that haven't been; their lattices are made together."""
         new = [x for x in dict.fromkeys(slots) if x not in self.nbest]
+        for k in [x for x in new if len(self.keys[x]) > 4 * LONG]:
+            cp = np.frombuffer(self.keys[k], np.int32).astype(np.int64)
+            s, m, x, p = self._edge_list(cp)
+            into: list[list[tuple[int, float, int]]] = [[] for _ in range(len(cp) + 1)]
+            for a, e, score, i in zip(s.tolist(), (s + m).tolist(), x.tolist(), p.tolist(), strict=True):
+                into[e].append((a, score, i))
+            self.nbest[k] = self._led(k, self._a_star(cp, into, n))
+        new = [x for x in new if x not in self.nbest]
         for g, cp, size in self._grids([self.keys[x] for x in new]) if new else ():
             score, piece = self._edges(cp)
             m, s, row = np.nonzero(score > -np.inf)
@@ -219,18 +271,27 @@ class Segmenter:
                 into: list[list[tuple[int, float, int]]] = [[] for _ in range(int(size[i]) + 1)]
                 for e in range(cut[i], cut[i + 1]):
                     into[end[e]].append((s[e], x[e], p[e]))
-                self.nbest[new[k]] = self._a_star(cp[: size[i], i], into, n)
+                self.nbest[new[k]] = self._led(new[k], self._a_star(cp[: size[i], i], into, n))
+
+    def _led(self, slot: int, found: list[tuple[float, list[int]]]) -> list[tuple[float, list[int]]]:
+        """The n best with the segment's own best path in front, which may be any of several that are equally good."""
+        own = self.ids(slot).tolist()
+        return [(found[0][0], own), *[x for x in found if x[1] != own]][: len(found)]
 
     def _a_star(self, cp: np.ndarray, into: list[list[tuple[int, float, int]]], n: int) -> list[tuple[float, list[int]]]:
-        """Up to n best (score, pieces) of a segment, best first: A* from the end, forward scores as its heuristic."""
+        """Up to n best (score, pieces) of a segment, best first: A* from the end, forward scores as its heuristic.
+
+        A position is expanded n times at most: paths leave the agenda in order, and of those through a position no
+        more than n are among the n best. Of equal ones the path that has come nearest to the start goes first.
+        """
         width = len(cp)
         forward = [0.0] + [-math.inf] * width
         for j in range(1, width + 1):
             forward[j] = max((forward[s] + x for s, x, _ in into[j]), default=-math.inf)
-        out, count = [], 0
-        agenda: list[tuple] = [(-forward[width], 0, width, 0.0, None)]
+        out, count, expanded = [], 0, [0] * (width + 1)
+        agenda: list[tuple] = [(-forward[width], width, 0, 0.0, None)]
         while agenda and len(out) < n:
-            cost, _, at, done, path = heapq.heappop(agenda)
+            cost, at, _, done, path = heapq.heappop(agenda)
             if at == 0:
                 ids: list[int] = []
                 while path is not None:
@@ -238,10 +299,13 @@ class Segmenter:
                     ids += [p] if p >= 0 else self._spell(int(cp[s]))
                 out.append((-cost, ids))
                 continue
+            if expanded[at] == n:
+                continue
+            expanded[at] += 1
             for s, x, p in into[at]:
-                if forward[s] > -math.inf:
+                if forward[s] > -math.inf and expanded[s] < n:
                     count += 1
-                    heapq.heappush(agenda, (-(forward[s] + x + done), count, s, x + done, ((s, p), path)))
+                    heapq.heappush(agenda, (-(forward[s] + x + done), s, count, x + done, ((s, p), path)))
         return out
 
     def encode(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[np.ndarray, list[tuple[float, list[tuple[int, list[int]]]]], np.ndarray]]:
