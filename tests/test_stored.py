@@ -7,9 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from blockloom.operators import fields, packs, plan, ranks, scans
+from blockloom.operators import fields, packs, plan, ranks, scans, statistics, summaries
 from blockloom.plans import repair
 from blockloom.plans.run import Config, run_pipeline
+from blockloom.sources import wide
 from blockloom.sources.fixture import MEASURES
 from blockloom.sources.store import Store
 
@@ -175,3 +176,57 @@ def test_scan(spark, bits):
         want.append((g, k, *([sum(seen), max(seen), min(seen), seen[-1]] if seen else [None] * 4)))
     assert got == sorted(want)
     assert scans.scan(df.limit(0), ["g"], [F.col("k")], [F.shiftright("k", bits)], steps).count() == 0
+
+
+def test_wide_fields(spark):
+    """Text in, typed fields out; what isn't a number is counted, and a row without a key is kept apart."""
+    columns = [c for _, c, _ in wide.FIELDS]
+    assert len(columns) == len(set(columns)) == 63
+    row = lambda **known: tuple(known.get(n) for n, _, _ in wide.FIELDS)
+    rows = [row(ip_long="5", reports="7", apps="x", wifi_device_ratio="0.5"), row(ip_long="", reports="1"), row(ip_long=None, devices="1e"), row(ip_long="6", maker_risk_state="2.5", reports="9999999999999999999999"), row(ip_long="7")]
+    made = wide.typed(spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns)).withColumn("another", F.lit(1)))
+    assert {r.field: r.n for r in wide.rejects(made).collect()} == {"apps": 1, "ip_long": 1, "row": 2, "devices": 1, "maker_risk_state": 1, "reports": 1}
+    assert [(r.ip_long, r.reports, r.wifi_device_ratio) for r in wide.kept(made).orderBy("ip_long").collect()] == [(5, 7, 0.5), (6, None, None), (7, None, None)]
+    members_ = wide.as_members(made)
+    assert {"ip", "mobile", "late_night", "ssids"} <= set(members_.columns) and members_.where("reports is null or mobile is null").count() == 0
+    assert wide.rejects(made.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="lacks"):
+        wide.typed(spark.createDataFrame([(1,)], "ip_long int"))
+
+
+def test_shares(spark):
+    """Rounded half up as decimals, with bounds and what stands over 0."""
+    df = spark.createDataFrame([(1, 8), (5, 1000), (1005, 1000), (3, 0), (0, 5), (10**12, 1)], "a long, b long")
+    got = [tuple(r) for r in df.select(summaries.share("a", "b", 2).alias("x"), summaries.share("a", "b", 2, 100, 99.9999, None).alias("y")).collect()]
+    assert got == [(0.13, 12.5), (0.01, 0.5), (1.01, 99.9999), (0.0, None), (0.0, 0.0), (1e12, 99.9999)]
+
+
+def test_statistics(spark):
+    """Percentiles of any values, in parts and whole, and near those of sketches."""
+    dice = random.Random(8)
+    rows = [(i % 3, dice.choice([0.0, 1e-9, 0.5, 1 / 3, -2.5, 7.0, 1e12, dice.random(), dice.gauss(0, 50)]), i if i % 7 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "s int, x double, y int")
+    metrics, wanted = {"x": F.col("x"), "y": F.col("y")}, {"p0": 0.0, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    whole = statistics.counted(df, metrics, F.col("s"))
+    got = {(r.metric, r.shard, r.stat): r.value for r in statistics.summed_up(whole, wanted, 9).collect()}
+    for m, at in (("x", 1), ("y", 2)):
+        for s in (0, 1, 2, -1):
+            values = sorted(r[at] for r in rows if r[at] is not None and s in (-1, r[0]))
+            for name, q in wanted.items():
+                place = q * (len(values) - 1)
+                lo = int(place)
+                hi = min(lo + 1, len(values) - 1)
+                assert got[m, s, name] == pytest.approx(values[lo] + (values[hi] - values[lo]) * (place - lo), abs=1e-8)
+            assert got[m, s, "count"] == len(values) and got[m, s, "mean"] == pytest.approx(sum(values) / len(values))
+    parts = statistics.merged(*(statistics.counted(df.where(F.col("s") == i), metrics, F.col("s")) for i in range(3)))
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+    near = {(r.metric, r.shard, r.stat): r.value for r in statistics.approximate(df, metrics, F.col("s"), wanted).collect()}
+    assert near["y", -1, "p50_approx"] == pytest.approx(got["y", -1, "p50"], abs=2) and len(near) == 2 * 4 * 4
+    assert statistics.summed_up(whole.limit(0), wanted).count() == 0
+
+
+def test_top(spark):
+    df = spark.createDataFrame([(g, v) for g in ("a", "b") for v in range(50)], "g string, v int")
+    out = ranks.top(df, ["g"], [F.desc("v")], 3)
+    assert sorted((r.g, r.v, r.place) for r in out.collect()) == [(g, 49 - i, i + 1) for g in ("a", "b") for i in (2, 1, 0)]
+    assert "WindowGroupLimit" in (text := out._jdf.queryExecution().executedPlan().toString()) and ", Partial" in text  # before the shuffle too
