@@ -35,13 +35,12 @@ PATTERNS = {
 HINTS = {"email": "@", "access_key": "AKIA|ASIA", "secret": "[0-9]|[a-f]{40}", "iban": "[0-9]", "ipv6": "[0-9A-Fa-f]:", "ip": "[0-9]", "card": "[0-9]", "ssn": "[0-9]", "phone": "[0-9]", "name": r"(?:Mr|Mrs|Ms|Mme|Herr|Frau|Señora?|Monsieur|Madame|Г-н|Г-жа)\.? "}
 #: Fixed: titles that go with a man's name; the others go with a woman's.
 MALE = ["Mr", "Herr", "Señor", "Monsieur", "Г-н"]
-#: Fixed: given names by gender, in Latin and in Cyrillic script.
-GIVEN = {
-    ("m", "latin"): ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leo", "Martin", "Noah", "Oscar", "Paul"],
-    ("f", "latin"): ["Ada", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helena", "Irma", "Julia", "Karla", "Lena", "Maria", "Nora", "Olga", "Paula"],
-    ("m", "cyrillic"): ["Антон", "Борис", "Вадим", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Лев", "Максим", "Олег", "Павел", "Роман", "Семён", "Тимур", "Юрий"],
-    ("f", "cyrillic"): ["Анна", "Белла", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина", "Карина", "Лидия", "Марина", "Нина", "Ольга", "Полина", "Юлия"],
-}
+#: Fixed: letters and endings of made-up given names by script: three pairs of consonant and vowel, then an ending by gender; four million for each.
+CONSONANTS, VOWELS = {"latin": "bdfghjklmnprstvz", "cyrillic": "бвгджзклмнпрстфх"}, {"latin": "aeiou", "cyrillic": "аеиоу"}
+ENDINGS = {
+    ("m", "latin"): ["n", "r", "s", "l", "m", "k", "d", "t"], ("f", "latin"): ["na", "la", "ra", "sa", "lia", "ria", "nia", "mia"],
+    ("m", "cyrillic"): ["н", "р", "с", "л", "м", "к", "д", "т"], ("f", "cyrillic"): ["на", "ла", "ра", "са", "лия", "рия", "ния", "мия"],
+}
 #: Fixed: syllables of made-up family names.
 SYLLABLES = {"latin": ["bar", "den", "fal", "gor", "hem", "kel", "lin", "mor", "nev", "pol", "ras", "sul", "tam", "ver", "wil", "zan"], "cyrillic": ["бар", "вел", "гор", "дан", "жел", "зим", "кор", "лап", "мор", "нов", "пол", "рад", "сол", "тим", "фед", "шар"]}
 EVERY = "|".join(f"(?:{p})" if k != "card" else f"(?:{p.replace('(' + '[ ' + chr(92) + '-]?)', '(?<sep>[ ' + chr(92) + '-]?)').replace(chr(92) + '1', chr(92) + 'k<sep>')})" for k, p in PATTERNS.items())
@@ -121,14 +120,18 @@ def _surrogate(kind: Column, c: Column, d: Column, dd: Column, x: Column) -> Col
     def pick(values: list[str], at: int) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), hexed(at, 2) % len(values) + 1)
 
-    further = lambda s: F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.element_at(F.array(*map(F.lit, SYLLABLES[s])), F.conv(F.when(ch != "", ch), 16, 10).cast("int") + 1), F.lit(""))), "")
+    # a name grows by a syllable a draw
+    own = F.substring(x, F.lit(1), F.expr("cast(length(x) div 8 as int)"))
+    at = lambda text, i: F.lit(text).substr(i + 1, F.lit(1))
+    pair = lambda s, i: F.concat(at(CONSONANTS[s], F.floor(hexed(i, 3) % 80 / 5).cast("int")), at(VOWELS[s], hexed(i, 3) % 5))
+    further = lambda s: F.array_join(F.transform(F.split(own, ""), lambda ch: F.coalesce(F.element_at(F.array(*map(F.lit, SYLLABLES[s])), F.conv(F.when(ch != "", ch), 16, 10).cast("int") + 1), F.lit(""))), "")
     out = F.when(kind == "email", email).when(kind == "access_key", F.concat(F.substring(c, 1, 4), _drawn(F.substring(c, 5, 16), d), F.upper(letters)))
     out = out.when(kind == "secret", F.concat(F.substring(d, 1, F.length(c)), x)).when(kind == "ip", ip).when(kind == "ipv6", v6).when(kind == "card", card).when(kind == "phone", phone)
     out = out.when(kind == "iban", _checked(F.concat(_drawn(c.substr(F.lit(5), F.length(c)), d), more), F.substring(c, 1, 2)))
     for s in SYLLABLES:
         out = out.when(kind == f"family_{s}", F.initcap(F.concat(*[pick(SYLLABLES[s], 10 + 2 * i) for i in range(4)], further(s))))
         for g in ("m", "f"):
-            out = out.when(kind == f"given_{g}_{s}", F.concat(pick(GIVEN[g, s], 30), further(s)))
+            out = out.when(kind == f"given_{g}_{s}", F.initcap(F.concat(*[pair(s, 30 + 3 * i) for i in range(3)], further(s), pick(ENDINGS[g, s], 40))))
     return out.otherwise(F.concat(_drawn(c, d), more))
 
 
