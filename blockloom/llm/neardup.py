@@ -1,8 +1,8 @@
 """Near-duplicates by min-max hashing (operator 9).
 
 Each of 48 multiply-shift permutations of a document's shingle hashes gives both its minimum and its maximum, so 96
-signature values cost 48 hash evaluations a shingle. 24 bands of 4 values: a pair of similarity 0.8 shares no band with
-a probability of (1 - 0.8^4)^24 = 3e-6. Candidates are confirmed on full sets.
+signature values cost 48 hash evaluations a shingle. 24 bands of 4 values, each of another permutation: a pair of
+similarity 0.8 shares no band with a probability of (1 - 0.8^4)^24 = 3e-6. Candidates are confirmed on full sets.
 
 Pairs are never emitted within a whole bucket. Equal sets are one node. In each bucket all nodes are first held against
 one pivot, the node with the largest share of shingles that others have; after these links are merged, only nodes
@@ -60,9 +60,9 @@ def signatures(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
         sig[2 * i], sig[2 * i + 1] = np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts)
     for band in range(BANDS):
         v = np.full(len(full), band, np.uint64)
-        # a band takes minima and maxima of different permutations
-        for r in range(ROWS):
-            v = mix(v * np.uint64(0x9E3779B97F4A7C15) + sig[(band * ROWS + r)])
+        # minima of two permutations and maxima of the two after them: one permutation's minimum and maximum depend on each other in small sets
+        for r in (4 * band, 4 * band + 2, (4 * band + 5) % len(sig), (4 * band + 7) % len(sig)):
+            v = mix(v * np.uint64(0x9E3779B97F4A7C15) + sig[r])
         out[full, band] = v
     return out
 
