@@ -362,7 +362,7 @@ def _(r: Run):
 
 
 @query("k12_mainline_row", "select (select count(*) from fm) kept, (select count(*) from h) h, (select count(*) from r1) r1, (select count(*) from e) e, (select count(*) from f) f, (select count(*) from fm) = (select count(*) from h) + (select count(*) from r1) keep_equal, (select count(*) from r1) = (select count(*) from e) + (select count(*) from f) r1_equal, (select count(*) from e where run in (select run from rn where short_run)) short_leaks")
-def _(r: Run):
+def mainline_row(r: Run):
     short = r.runs[1].where("short_run").select("run")
     parts = {"kept": r.final_members, "h": r.h, "r1": r.r1, "e": r.e, "f": r.f, "short_leaks": r.e.join(short, "run", "left_semi")}
     rows = None

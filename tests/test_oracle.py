@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from blockloom.plans.wide import QUERIES, SQL
+from blockloom.plans.rest import QUERIES, SQL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 

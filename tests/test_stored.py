@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom.operators import fields, packs, plan, ranks, scans, statistics, summaries
-from blockloom.plans import repair
+from blockloom.plans import further, repair
 from blockloom.plans.run import Config, run_pipeline
 from blockloom.sources import wide
 from blockloom.sources.fixture import MEASURES
@@ -230,3 +230,13 @@ def test_top(spark):
     out = ranks.top(df, ["g"], [F.desc("v")], 3)
     assert sorted((r.g, r.v, r.place) for r in out.collect()) == [(g, 49 - i, i + 1) for g in ("a", "b") for i in (2, 1, 0)]
     assert "WindowGroupLimit" in (text := out._jdf.queryExecution().executedPlan().toString()) and ", Partial" in text  # before the shuffle too
+
+
+def test_gate_on_own_tables(spark):
+    """The gate, the plan and the shards of a run over any members; the number of shards is the configuration's."""
+    ips = [*range(1000, 1400), *range(5000, 5100), *range(9000, 9700, 7)]
+    r = run_pipeline(members(spark, ips, set(range(1000, 1300))), spark.createDataFrame([(i,) for i in ips if i % 13 == 0], "ip long"), Config(shards=3, chunk_bits=6))
+    got = {x["name"]: x for x in further.checks(r).collect()}
+    assert len(got) == 12 and all(x.passed for n, x in got.items() if n not in ("empty_sides", "shards_complete"))
+    assert got["plan_ids"].passed and further.research._plan(r).count() == 3
+    assert further.checks(run_pipeline(members(spark, ips), spark.createDataFrame([], "ip long"), Config(shards=500))).where("name = 'plan_ids'").first().passed is False
