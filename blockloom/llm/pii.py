@@ -20,7 +20,8 @@ from blockloom.llm.common import staged
 
 #: Fixed: patterns by kind, tried in this order at each place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
+    # from the start of a run of its characters, or where the entity before ended, and without going back: linear in the text
+    "email": r"(?:(?<![A-Za-z0-9._%+\-])|\G)[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++",
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "secret": r"\b[0-9a-f]{40}\b|\b[0-9a-f]{64}\b",
     "iban": r"\b[A-Z]{2}\d{2} ?[A-Z0-9]{4}(?: ?\d{4}){2,6}(?: ?\d{1,3})?\b",
