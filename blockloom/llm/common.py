@@ -44,6 +44,7 @@ def staged(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     tidy: the shuffle files of this write go when it has ended, as nothing else reads them.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(TIDY, "false")
     if tidy:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import released, staged
+from blockloom.llm.common import released, ship, staged
 from blockloom.llm.words import _FOLD, chunks
 
 ORDER, SLICE = 3, 1_000_000
@@ -177,6 +177,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     """
     if clash := {"lang_pred", "score"} & set(keep):
         raise ValueError(f"columns {sorted(clash)} have names of results")
+    ship(docs.sparkSession)
     langs, names = model.langs, [f"c{i}" for i in range(len(keep))]
     # the text goes to the workers once, also where it is kept
     body = [] if text in keep else ["t"]

@@ -96,7 +96,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     A document's set: distinct k-word shingles of the ASCII-lower-cased text; with fewer words, the whole sequence as
     one. Documents whose sets meet the percentage are linked; component_id is the least key reachable. Null or empty
     text, or no words: empty set, linked with nothing, its own component. Rows that share a key are one document. A null
-    key: linked with nothing, null component, kept. Other columns aren't read.
+    key: linked with nothing, null component, kept. Two texts under one key: both rows stay, each linked by its own text, with
+    the key as the vertex. An empty table gives no rows. Keys are whole numbers (others are cast to long). Other columns
+    aren't read.
     """
     source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
 

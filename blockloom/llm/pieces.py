@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import released
+from blockloom.llm.common import released, ship
 from blockloom.llm.words import distinct, mix
 
 MARK, N_BEST, CACHE, CHUNK_CHARS = "▁", 3, 200_000, 1 << 19
@@ -389,6 +389,7 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, key: str = "doc_id", te
     pieces, one segmentation of score 0. `nbest`: for each, the ids in full. Rows may repeat and keys be null; an empty
     table gives no rows. Other columns aren't read. scores: `rank` or `file`, as above.
     """
+    ship(docs.sparkSession)
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     kind = dict(source.dtypes)["k"]
 
@@ -422,6 +423,7 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, key: str = "doc_id", te
 
 def decode(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, text) from ids; null ids give null."""
+    ship(encoded.sparkSession)
     source = encoded.select(F.col(key).alias("k"), F.col(ids).cast("array<int>").alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,7 +43,7 @@ def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = langid.train(docs.where(crc_mod("doc_id", 4) != 2))
     out = langid.predict(docs, trees, ["doc_id"])
-    return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op6_winnow_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_brown_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = brown.score(table(spark, sf_dir, "documents"), "pmod(crc32(cast(doc_id as string)), 5) <> 1")
-    return out.select("doc_id", (crc_mod("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op9_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,7 +207,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
 
     A word goes if a window of `window` words over it is, word for word, also a window of a document with a smaller key.
     Null or empty text: no words, the hash of the empty string. Rows that share key and text lose the same words; two
-    texts under one key don't count as earlier for each other. A null key: nothing is removed. Other columns aren't read.
+    texts under one key don't count as earlier for each other. A null key: nothing is removed. An empty table gives no rows.
+    Keys are whole numbers (others are cast to long). Other columns aren't read, also where they have the name of a result.
     """
     spans = repeated_windows(docs, window, key=key, text=text)
     whole = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("fp")).join(spans, ["k", "fp"], "left").select("k", "t", "spans")
