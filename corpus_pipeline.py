@@ -45,21 +45,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the contamination rule doesn't hold for stay."""
+    """Documents that the contamination rule doesn't hold for stay: those without words too, rows with a null key, and each of
+    rows that repeat. With no items, or no documents, the table stays as it is. Columns may have any names.
+    """
     named, names = _apart(docs)
     found = decontam.contamination(named, table(spark, sf_dir, "benchmark"), keep=[n for n in names if n != "doc_id"])
     return found.where(~F.col("contaminated")).select(*names).toDF(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets replaced; n_chars follows the text."""
+    """Personal data and secrets replaced; n_chars follows the text, null with a null one.
+
+    All rows stay, in any order, whatever their keys; a text without entities stays as it is, an empty table empty.
+    """
     named, names = _apart(docs)
     done = pii.replace_entities(named, SURROGATE_KEY)
     return done.select(*[(F.length("text").cast("long") if c == "n_chars" else F.col(n)).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every text: counts, scores of the best segmentations, checksum of the ids and the round trip."""
+    """Pieces of every text: counts, scores of the best segmentations, checksum of the ids and the round trip.
+
+    One row for each row: null and empty texts have no pieces, keys may be null or repeat; an empty table gives no rows.
+    """
     ship(spark)
     return pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"))
 
