@@ -42,4 +42,14 @@ least_of as (select doc_id, min(other) other from reach group by doc_id)
 select d.doc_id, coalesce(n, 0) n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) component_id, least(d.doc_id, coalesce(other, d.doc_id)) = d.doc_id kept
 from d left join size using (doc_id) left join least_of using (doc_id)"""
 
-SQL = {"op4_substring_dedup": OP4, "op6_winnow_decontam": OP6, "op9_minmax_neardup": OP9}
+#: Bytes as two hex digits each; windows of 100 bytes in order of key and start, all but the first of equal ones removed; runs of these merged.
+OP11 = """with d as (select doc_id, hex(encode(coalesce(text, ''))) x from documents),
+win as (select doc_id, i, md5_number(substring(x, 2 * i + 1, 200)) s from d, unnest(range(0, cast(len(x) // 2 - 99 as bigint))) u(i)),
+gone as (select doc_id, i from (select doc_id, i, row_number() over (partition by s order by doc_id, i) place from win) where place > 1),
+run as (select doc_id, min(i) a, max(i) + 100 e from (select doc_id, i, sum(fresh) over (partition by doc_id order by i) g from (select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= 100 then 0 else 1 end fresh from gone)) group by doc_id, g),
+piece as (select doc_id, a, e, coalesce(lag(e) over (partition by doc_id order by a), 0) before from run),
+cut as (select doc_id, count(*) n_spans, sum(e - a) n_removed, max(e) last_e, string_agg(substring(x, 2 * before + 1, 2 * (a - before)), '' order by a) head from piece join d using (doc_id) group by doc_id)
+select d.doc_id, cast(len(x) // 2 as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(head, '') || substring(x, 2 * coalesce(last_e, 0) + 1))) kept_sha256
+from d left join cut using (doc_id)"""
+
+SQL = {"op4_substring_dedup": OP4, "op6_winnow_decontam": OP6, "op9_minmax_neardup": OP9, "op11_maximal_repeats": OP11}
