@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blockloom.llm.common import partitions, released, ship, staged
@@ -240,6 +240,23 @@ def build(docs: DataFrame, columns: list[str], group: str, order: str, claimed:
     return Manifest(trees, forest(staged(numbered(roots, "g", ["name"]), "roots", tidy=True), ["name"]))
 
 
+def save(manifest: Manifest, path: str) -> None:
+    """Write the blocks of all tiers under a new folder, a row for each block, and how many tiers there are."""
+    parts = {"trees": manifest.trees.tiers, "groups": manifest.groups.tiers}
+    for name, tiers in parts.items():
+        for i, t in enumerate(tiers):
+            t.write.parquet(f"{path}/{name}-{i}")
+    spark = manifest.trees.tiers[0].sparkSession
+    spark.createDataFrame([tuple(map(len, parts.values()))], "trees int, groups int").coalesce(1).write.parquet(f"{path}/tiers")
+
+
+def load(spark: SparkSession, path: str) -> Manifest:
+    """The manifest that `save` wrote; proofs read its stored blocks."""
+    ship(spark)
+    n = spark.read.parquet(f"{path}/tiers").first()
+    return Manifest(*(Forest([spark.read.parquet(f"{path}/{name}-{i}") for i in range(n[name])]) for name in ("trees", "groups")))
+
+
 def proofs(manifest: Manifest, key: str, key_type: str = "long") -> DataFrame:
     """(key, leaf, subroot, root, proof_sha256, folded_root, verified) for each row of the manifest.
 

@@ -226,6 +226,12 @@ def test_op13_odd(spark, tmp_path):
     one = frame.limit(1).select("doc_id", "source")
     found = manifest.proofs(manifest.build(one, ["doc_id"], "source", "doc_id"), "doc_id").first()
     assert found.leaf == found.subroot == found.root == found.folded_root and found.proof_sha256 == sha("") and found.verified
+    # a written manifest proves what the built one does
+    made = manifest.build(frame, ["doc_id", "text"], "source", "doc_id")
+    manifest.save(made, f"{tmp_path}/manifest")
+    read = manifest.load(spark, f"{tmp_path}/manifest")
+    assert read.root().collect() == made.root().collect()
+    assert sorted(map(tuple, manifest.proofs(read, "doc_id").collect()), key=str) == sorted(map(tuple, manifest.proofs(made, "doc_id").collect()), key=str)
     none = manifest.build(one.limit(0), ["doc_id"], "source", "doc_id")
     assert manifest.proofs(none, "doc_id").count() == 0 and none.root().count() == 0
 
