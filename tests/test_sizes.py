@@ -19,3 +19,14 @@ def test_no_addresses_are_broadcast(spark, sf):
     r = run_of(spark, sf)
     for df in (QUERIES["k5_dropped_mapped"](spark, sf), further.checks(r), further.checks(wide.faulty(r))):
         assert not re.search(r"BroadcastHashJoin \[ip#", plan(df))
+
+
+def test_placements_of_odd_addresses(spark):
+    """Repeated, lost, strange and null addresses count as joins would have counted them."""
+    part = lambda *ips: spark.createDataFrame([(i,) for i in ips], "ip long")
+    r = type("R", (), {"h": part(1, 1, 2, None), "e": part(2, 3, 3), "f": part(2, 9, 4, None), "kept": part(1, 2, 3, 4, 5, None), "members": part(1, 2, 3, 4, 5)})
+    got = {x.name: (x.failures, x.passed) for x in further.placements(r).collect()}
+    # lost: kept 5 and null, placed 9 and two nulls; more than once: 1, 2, 3 and null
+    assert got == {"no_overlap_h_e": (1, False), "no_overlap_h_f": (1, False), "no_overlap_e_f": (1, False), "conservation": (9, False), "no_ghosts": (3, False)}
+    none = type("R", (), {n: part() for n in ("h", "e", "f", "kept", "members")})
+    assert all(x.failures == 0 and x.passed for x in further.placements(none).collect())
