@@ -30,3 +30,14 @@ def test_placements_of_odd_addresses(spark):
     assert got == {"no_overlap_h_e": (1, False), "no_overlap_h_f": (1, False), "no_overlap_e_f": (1, False), "conservation": (9, False), "no_ghosts": (3, False)}
     none = type("R", (), {n: part() for n in ("h", "e", "f", "kept", "members")})
     assert all(x.failures == 0 and x.passed for x in further.placements(none).collect())
+
+
+def test_source_counts_distinct_values_once(spark, tmp_path):
+    orders = [(k, 1, "O", "1-URGENT") for k in range(1, 6)]
+    lines = [(1, 5, 7, 1.0, "R"), (1, 5, 8, 2.0, "A"), (1, 6, 7, 3.0, "N"), (2, None, 7, 1.0, "R"), (2, None, None, 1.0, "R"), (3, 4, None, 2.0, None), (3, 4, None, 2.0, "A"), (4, 1, 1, None, "A")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = fixture.source(spark, str(tmp_path))
+    got = {r.ip - fixture.BASE: (r.apps, r.manufacturers, r.mobile, r.wifi, r.dna) for r in made.collect()}
+    assert got == {1: (2, 2, 1, 1, 3), 2: (0, 1, 2, 0, 2), 3: (1, 0, 0, 1, 2), 4: (1, 1, 0, 1, 1), 5: (0, 0, 0, 0, 0)}
+    assert "Expand" not in plan(made)
