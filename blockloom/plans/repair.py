@@ -40,10 +40,19 @@ def f_summary(f: DataFrame) -> DataFrame:
     return f.select("ip", S.dotted(F.col("ip")).alias("address"), "operator", "reports", "devices", over("mobile", "devices").alias("mobile_ratio"), over("wifi", "devices").alias("wifi_ratio"), over("reports", "devices").alias("report_ratio"))
 
 
+def lay_out(run: Run, store: Store, *run_ids: str) -> None:
+    """Deal the shards of a run's address space to the store's folders."""
+    span = run.members.agg(F.min("ip").alias("lo"), F.max("ip").alias("hi")).first()
+    if span.lo is not None:
+        for run_id in run_ids:
+            store.lay_out(run_id, span.lo >> run.config.shard_bits, span.hi >> run.config.shard_bits)
+
+
 def store_run(run: Run, store: Store, run_id: str) -> None:
     """Write the library tables and summaries of a run, each by its shard."""
     passing, runs = run.runs
     tables = {"h_blocks": run.h_blocks, "h": run.h, "r1": run.r1, "atoms": run.atoms, "passing": passing.select("atom27", "valid_cnt", "run"), "runs": runs, "e": run.e, "f": run.f}
+    lay_out(run, store, run_id)
     tables |= {"h_summary": h_summary(run.h, run.h_blocks), "e_summary": e_summary(run.e, runs), "f_summary": f_summary(run.f)}
     for name, df in tables.items():
         store.write(name, df, run_id, shard_of(name, run.config.shard_bits))
@@ -93,8 +102,8 @@ def rebuild(store: Store, run_id: str, found: Scope, config: Config = Config())
     if not shards:
         return
     inside = lambda t: store.read(t, run_id, shards).drop("run_id", "shard_id")
-    outside = lambda t: store.read(t, run_id).where(~F.col("shard_id").isin(shards)).drop("run_id", "shard_id")
-    here = lambda df, t: df.where(shard_of(t, bits).isin(shards))
+    outside = lambda t: store.read(t, run_id).join(store.listed(shards), "shard_id", "left_anti").drop("run_id", "shard_id")
+    here = lambda df, t: df.withColumn("shard_id", shard_of(t, bits).cast("int")).join(store.listed(shards), "shard_id", "left_semi").drop("shard_id")
     gone = found.blocks.select("final")
     made = {"h_blocks": inside("h_blocks").join(gone, "final", "left_anti"), "h": inside("h").join(gone, "final", "left_anti")}
     made["r1"] = stage(inside("r1").unionByName(inside("h").join(gone, "final", "left_semi").select(*inside("r1").columns)), "rebuilt-r1")

@@ -97,6 +97,7 @@ def registered(r: Run) -> Store:
     row = lambda *x: r.spark.createDataFrame(list(x), "name string, severity string, failures long, passed boolean")
     for i, run_id in enumerate(("whole", "failed", "part", "empty")):
         store.register(run_id, _DAY + datetime.timedelta(days=i))
+    repair.lay_out(r, store, "whole", "failed", "part")
     for run_id in ("whole", "failed"):
         for table, df in (("h_summary", h), ("e_summary", e), ("f_summary", f)):
             store.write(table, df, run_id, repair.shard_of(table, bits))

@@ -240,3 +240,33 @@ def test_gate_on_own_tables(spark):
     assert len(got) == 12 and all(x.passed for n, x in got.items() if n not in ("empty_sides", "shards_complete"))
     assert got["plan_ids"].passed and further.research._plan(r).count() == 3
     assert further.checks(run_pipeline(members(spark, ips), spark.createDataFrame([], "ip long"), Config(shards=500))).where("name = 'plan_ids'").first().passed is False
+
+
+def test_shards_that_share_a_folder(spark, tmp_path):
+    """Shards dealt to few folders are replaced one by one, a new Store finds them, and a repair gives the same tables."""
+    store = Store(spark, f"file://{tmp_path}/few")
+    store.lay_out("a", 0, 99, folders=4)
+    rows = lambda ips, v: spark.createDataFrame([(i, v) for i in ips], "ip long, v string")
+    store.write("t", rows(range(0, 100), "old"), "a", F.col("ip"))
+    assert len(store.read("t", "a").inputFiles()) == 4
+    store = Store(spark, store.path)
+    store.write("t", rows([3, 40], "new"), "a", F.col("ip"))
+    store.replace("t", rows([7], "new"), "a", F.col("ip"), [7, 8, *range(64, 100)])
+    got = {r.shard_id: r.v for r in store.read("t", "a").collect()}
+    assert got == {i: "new" if i in (3, 7, 40) else "old" for i in range(64) if i != 8}
+    assert sorted(r.ip for r in store.read("t", "a", [2, 3, 8, 40, 70]).collect()) == [2, 3, 40]
+    assert len(store.read("t", "a").inputFiles()) == 2  # emptied folders go
+
+    dice = random.Random(5)
+    ips = sorted({i + s for s in (dice.randrange(0, 3000) for _ in range(25)) for i in range(dice.randrange(5, 90))})
+    source, none = members(spark, ips, {i for i in ips if (i // 50) % 3 == 0}), spark.createDataFrame([], "ip long")
+    weak, strict = (Config(shard_bits=5, chunk_bits=6, h_tiers=("small", "medium", "large", "xlarge"), h_least_valid=n, e_atom_least=9) for n in (4, 60))
+    own, full = Store(spark, f"file://{tmp_path}/weak"), Store(spark, f"file://{tmp_path}/strict")
+    own.lay_out = lambda run_id, least, most: Store.lay_out(own, run_id, least, most, folders=8)
+    repair.store_run(run_pipeline(source, none, weak), own, "a")
+    repair.store_run(run_pipeline(source, none, strict), full, "a")
+    assert own.fold("a") and not full.fold("a")
+    found = repair.scope(own, "a", F.expr("valid_cnt < 60"), strict)
+    assert found.shards
+    repair.rebuild(own, "a", found, strict)
+    assert tables(own, "a") == tables(full, "a")
