@@ -41,3 +41,13 @@ def test_source_counts_distinct_values_once(spark, tmp_path):
     got = {r.ip - fixture.BASE: (r.apps, r.manufacturers, r.mobile, r.wifi, r.dna) for r in made.collect()}
     assert got == {1: (2, 2, 1, 1, 3), 2: (0, 1, 2, 0, 2), 3: (1, 0, 0, 1, 2), 4: (1, 1, 0, 1, 1), 5: (0, 0, 0, 0, 0)}
     assert "Expand" not in plan(made)
+
+
+def test_op10_reads_every_label(spark, monkeypatch):
+    """The target is of all trusted documents that don't set the threshold, also of more than 20,000."""
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    sums, plain = [], quality.bucket_counts
+    monkeypatch.setattr(quality, "bucket_counts", lambda *x: sums.append(int((got := plain(*x)).sum())) or got)
+    quality.quality(docs, labels, 0.0)
+    assert sums == [docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(quality.FIT)) != 0).count(), 30_000]
