@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,27 +76,25 @@ def candidates(profile: DataFrame) -> DataFrame:
 
 
 def sides(df: DataFrame, k: int = K) -> DataFrame:
-    """Per block and bucket: statistics of the first k (h_) and of the last k (t_) valid members."""
+    """Per block and bucket: statistics of the first k (h_) and of the last k (t_) valid members; without valid ones counts are 0."""
     w = Window.partitionBy("block", "bucket64")
-    v = df.where("is_valid").withColumn("up", F.row_number().over(w.orderBy("ip"))).withColumn("down", F.row_number().over(w.orderBy(F.desc("ip"))))
+    v = df.withColumn("up", F.row_number().over(w.orderBy(F.desc("is_valid"), "ip"))).withColumn("down", F.row_number().over(w.orderBy(F.desc("is_valid"), F.desc("ip"))))
     aggs = []
     for p, rn in (("h_", "up"), ("t_", "down")):
-        near = lambda c, rn=rn: F.when(F.col(rn) <= k, F.col(c))
-        aggs += [F.count_if(F.col(rn) <= k).alias(f"{p}cnt"), F.sum(near("reports")).alias(f"{p}reports"), F.sum(near("mobile")).alias(f"{p}mobile"), F.sum(near("devices")).alias(f"{p}devices")]
+        close = F.col("is_valid") & (F.col(rn) <= k)
+        near = lambda c, close=close: F.when(close, F.col(c))
+        aggs += [F.count_if(close).alias(f"{p}cnt"), F.sum(near("reports")).alias(f"{p}reports"), F.sum(near("mobile")).alias(f"{p}mobile"), F.sum(near("devices")).alias(f"{p}devices")]
         aggs += [F.avg(near("reports")).alias(f"{p}mr"), F.stddev_samp(near("reports")).alias(f"{p}sr"), F.avg(near("devices")).alias(f"{p}md"), F.stddev_samp(near("devices")).alias(f"{p}sd")]
-        aggs += [F.when(F.countDistinct(near("operator")) == 1, F.max(near("operator"))).alias(f"{p}op")]
+        aggs += [F.when(F.min(near("operator")) == F.max(near("operator")), F.max(near("operator"))).alias(f"{p}op")]
     return v.groupBy("block", "bucket64").agg(*aggs)
 
 
 def boundaries(df: DataFrame, k: int = K) -> DataFrame:
     """A row for each boundary between adjacent buckets of a block, with the k nearest valid members' statistics on either side."""
-    seen = df.select("block", "bucket64").distinct()
-    edge = seen.join(seen.select("block", (F.col("bucket64") - 1).alias("bucket64")), ["block", "bucket64"], "left_semi")
-    s = sides(df, k)
+    s = stage(sides(df, k), "sides")
     left = s.select("block", "bucket64", *[F.col(c).alias(f"l{c[1:]}") for c in s.columns if c.startswith("t_")])
     right = s.select("block", (F.col("bucket64") - 1).alias("bucket64"), *[F.col(c).alias(f"r{c[1:]}") for c in s.columns if c.startswith("h_")])
-    out = edge.join(left, ["block", "bucket64"], "left").join(right, ["block", "bucket64"], "left")
-    return out.fillna(0, [f"{p}_{c}" for p in "lr" for c in ("cnt", "reports", "mobile")])
+    return left.join(right, ["block", "bucket64"]).fillna(0, [f"{p}_{c}" for p in "lr" for c in ("cnt", "reports", "mobile")])
 
 
 def split_events(edges: DataFrame, void_len: int = 3) -> DataFrame:
@@ -128,32 +128,40 @@ def void_cuts(edges: DataFrame, void_len: int = 3, chunk_bits: int = 10) -> Data
 
 
 def cut_members(df: DataFrame, cuts: DataFrame, by: str, out: str, chunk_bits: int = 16) -> DataFrame:
-    """Members with the first key of their segment: every cut address is itself a member, so a running maximum of cut starts does it.
+    """Members with the first key of their segment: every cut address is itself a member, so a running maximum of cut starts does it."""
+    return cut_each(df, {out: cuts}, by, chunk_bits)
+
+
+def cut_each(df: DataFrame, cuts: dict[str, DataFrame], by: str, chunk_bits: int = 16) -> DataFrame:
+    """df with a column for each name of `cuts`: the greatest of these cuts up to the row's key, or the block's first key.
 
-    The maximum runs within chunks of a block's keys; what earlier chunks hand on comes from a frame of one row a block and chunk.
+    Cuts stand among the members as rows of their own, so members move once for all names together. The maximum runs
+    within chunks of a block's keys; what earlier chunks hand on comes from a frame of one row a block and chunk.
     """
-    starts = cuts.select(by, F.col("cut_ip").alias("ip")).distinct().withColumn("__cut", F.lit(True))
-    marked = df.join(starts, [by, "ip"], "left").withColumn("__c", F.shiftright("ip", chunk_bits))
-    w = Window.partitionBy(by, "__c").orderBy("ip").rowsBetween(Window.unboundedPreceding, 0)
-    marked = marked.withColumn("__own", F.max(F.when(F.col("__cut") | (F.col("ip") == F.col(by)), F.col("ip"))).over(w))
+    named = reduce(DataFrame.unionByName, [c.select(by, F.col("cut_ip").alias("ip"), F.lit(name).alias("__of")) for name, c in cuts.items()])
+    marks = named.groupBy(by, "ip").agg(*[F.max(F.when(F.col("__of") == name, F.col("ip"))).alias(f"__at_{name}") for name in cuts])
+    marked = df.withColumn("__mark", F.lit(False)).unionByName(marks.withColumn("__mark", F.lit(True)), allowMissingColumns=True).withColumn("__c", F.shiftright("ip", chunk_bits))
+    w = Window.partitionBy(by, "__c").orderBy("ip", F.desc("__mark")).rowsBetween(Window.unboundedPreceding, 0)
+    marked = marked.withColumns({f"__own_{name}": F.max(f"__at_{name}").over(w) for name in cuts}).where(~F.col("__mark"))
     # blocks start in a chunk of their own first member, so only cuts are handed on
-    last = starts.groupBy(by, F.shiftright("ip", chunk_bits).alias("__c")).agg(F.max("ip").alias("m"))
+    last = marks.groupBy(by, F.shiftright("ip", chunk_bits).alias("__c")).agg(*[F.max(f"__at_{name}").alias(f"__last_{name}") for name in cuts])
     long = df.groupBy(by).agg(F.max("ip").alias("hi")).where(F.shiftright("hi", chunk_bits) > F.shiftright(F.col(by), chunk_bits))
     every = long.select(by, F.explode(F.sequence(F.shiftright(F.col(by), chunk_bits), F.shiftright("hi", chunk_bits))).alias("__c"))
-    carried = every.join(last, [by, "__c"], "left").withColumn("__before", F.coalesce(F.max("m").over(Window.partitionBy(by).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)), F.col(by)))
-    fixed = marked.join(carried.select(by, "__c", "__before"), [by, "__c"], "left")
-    return fixed.withColumn(out, F.coalesce("__own", "__before", by)).drop("__cut", "__c", "__own", "__before")
+    earlier = Window.partitionBy(by).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.join(last, [by, "__c"], "left").select(by, "__c", *[F.max(f"__last_{name}").over(earlier).alias(f"__before_{name}") for name in cuts])
+    fixed = marked.join(carried, [by, "__c"], "left")
+    return fixed.select(*df.columns, *[F.coalesce(f"__own_{name}", f"__before_{name}", by).alias(name) for name in cuts])
 
 
-def inner_jumps(df: DataFrame, by: str = "segment", width: int = 16, jump: float = 10.0, shortest: int = 64) -> DataFrame:
-    """Cuts inside segments of at least `shortest` addresses where the mean devices of adjacent 16-address windows jump."""
+def inner_jumps(df: DataFrame, by: str = "segment", width: int = 16, jump: float = 10.0, shortest: int = 64, of: tuple[str, ...] = ()) -> DataFrame:
+    """Cuts inside segments of at least `shortest` addresses where the mean devices of adjacent 16-address windows jump; `of`: columns that a segment has once."""
     long = df.groupBy(by).agg(F.max("ip").alias("hi")).where(F.col("hi") - F.col(by) + 1 >= shortest)
     span = df.join(long.select(by), by, "left_semi")
-    win = stage(span.groupBy(by, F.expr(f"(ip - {by}) div {width}").alias("win")).agg(F.avg("devices").alias("mean")), "sub-windows")
+    win = stage(span.groupBy(by, F.expr(f"(ip - {by}) div {width}").alias("win")).agg(F.avg("devices").alias("mean"), *[F.min(c).alias(c) for c in of]), "sub-windows")
     far = win.groupBy(by).agg(ratio(F.max("mean"), F.min("mean")).alias("most")).where(F.col("most") > jump)
     before = win.select(by, (F.col("win") + 1).alias("win"), F.col("mean").alias("before"))
     met = win.join(before, [by, "win"]).join(far.select(by), by, "left_semi")
-    return met.where(wider(F.col("mean"), F.col("before")) > jump).select(by, (F.col(by) + F.col("win") * width).alias("cut_ip"))
+    return met.where(wider(F.col("mean"), F.col("before")) > jump).select(by, *of, (F.col(by) + F.col("win") * width).alias("cut_ip"))
 
 
 def atoms(r1: DataFrame, least: int = 7) -> DataFrame:

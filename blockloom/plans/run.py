@@ -72,8 +72,11 @@ class Run:
     @cached_property
     def final_members(self) -> DataFrame:
         bits = self.config.chunk_bits
-        first = stage(S.cut_members(self.kept, self.events.where("is_cut"), "block", "segment", bits), "segments")
-        return stage(S.cut_members(first, S.inner_jumps(first), "segment", "final", bits), "final-members")
+        cuts = self.events.where("is_cut").select("block", "cut_ip")
+        # jumps are found on few columns; whole rows move once, for both kinds of pieces
+        first = stage(S.cut_members(self.kept.select("block", "ip", "devices"), cuts, "block", "segment", bits), "segments")
+        jumps = stage(S.inner_jumps(first, of=("block",)).select("block", "cut_ip"), "jumps")
+        return stage(S.cut_each(self.kept, {"segment": cuts, "final": cuts.unionByName(jumps)}, "block", bits), "final-members")
 
     @cached_property
     def final(self) -> DataFrame:
@@ -102,22 +105,26 @@ class Run:
         return stage(passing, "passing"), stage(runs, "runs")
 
     @cached_property
-    def e(self) -> DataFrame:
+    def covered(self) -> DataFrame:
+        """Atoms of E with their run; each has members in R1, so R1 without them is F."""
         passing, runs = self.runs
-        covered = passing.join(runs.where("not short_run").select("run"), "run").select("atom27", "run")
-        return stage(self.r1.join(covered, "atom27"), "e")
+        return stage(passing.join(runs.where("not short_run").select("run"), "run").select("atom27", "run"), "covered")
+
+    @cached_property
+    def e(self) -> DataFrame:
+        return self.r1.join(self.covered, "atom27")  # no table: a reader takes few of the columns
 
     @cached_property
     def f(self) -> DataFrame:
-        return self.r1.join(self.e.select("atom27").distinct(), "atom27", "left_anti")
+        return self.r1.join(self.covered.select("atom27"), "atom27", "left_anti")
 
     @cached_property
     def labelled(self) -> DataFrame:
-        """Every member with its library: H, E, F or D (dropped)."""
+        """Every member with its library: H, E, F or D (dropped). No table: a reader takes few of the columns."""
         columns = self.members.columns  # every part still has them, so members aren't joined again
         lib = lambda df, name: df.select(*columns, F.lit(name).alias("lib"))
         dropped = self.blocked.join(self.pre.where("not keep_flag").select("block"), "block", "left_semi")
-        return stage(lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D")), "labelled")
+        return lib(self.h, "H").unionByName(lib(self.e, "E")).unionByName(lib(self.f, "F")).unionByName(lib(dropped, "D"))
 
 
 def run_pipeline(members: DataFrame, abnormal: DataFrame, config: Config = Config()) -> Run:
