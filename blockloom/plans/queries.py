@@ -355,12 +355,21 @@ def _(r: Run):
     return r.members.crossJoin(F.broadcast(span)).groupBy(F.expr("(ip - lo) div step").alias("shard"), F.expr("lo + (ip - lo) div step * step").alias("span_start")).agg(F.count(F.lit(1)).alias("n"))  # span is one row
 
 
+def pieces(e: DataFrame) -> DataFrame:
+    """(run, p16, piece, ip_start, ip_end, members): runs of more than 256 rows by 2^16 addresses and then by 256 rows, others whole.
+
+    Every run is cut as a large one; the pieces of the others, a row or few each, become one.
+    """
+    e = e.select("run", "ip", F.shiftright("ip", 16).alias("p16")).withColumn("piece", F.expr("(row_number() over (partition by run, p16 order by ip) - 1) div 256"))
+    p = e.groupBy("run", "p16", "piece").agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), F.count(F.lit(1)).alias("members"))
+    p = p.withColumn("large", F.sum("members").over(Window.partitionBy("run")) > 256)
+    p = p.groupBy("run", F.when(F.col("large"), F.col("p16")).alias("p16"), F.when(F.col("large"), F.col("piece")).otherwise(F.lit(0).cast("long")).alias("piece"))
+    return p.agg(F.min("ip_start").alias("ip_start"), F.max("ip_end").alias("ip_end"), F.sum("members").alias("members"))
+
+
 @query("d7_run_pieces", "select run, p16, piece, min(ip) ip_start, max(ip) ip_end, count(*) members from (select run, ip, p16, (row_number() over (partition by run, p16 order by ip) - 1) // 256 piece from (select run, ip, case when count(*) over (partition by run) > 256 then ip >> 16 end p16 from e)) group by 1, 2, 3")
 def _(r: Run):
-    large = r.e.groupBy("run").agg((F.count(F.lit(1)) > 256).alias("large"))
-    e = r.e.join(large, "run").withColumn("p16", F.when(F.col("large"), F.shiftright("ip", 16)))
-    e = e.withColumn("piece", F.expr("(row_number() over (partition by run, p16 order by ip) - 1) div 256"))
-    return e.groupBy("run", "p16", "piece").agg(F.min("ip").alias("ip_start"), F.max("ip").alias("ip_end"), F.count(F.lit(1)).alias("members"))
+    return pieces(r.e)
 
 
 _STATS_SQL = "select count(*) blocks, count(*) filter (valid_cnt = 0) invalid, round(avg(member_cnt), 6) mean_members, round(quantile_cont(devices_valid / nullif(valid_cnt, 0), 0.5), 6) density_p50, round(quantile_cont(devices_valid / nullif(valid_cnt, 0), 0.9), 6) density_p90, round(quantile_cont(devices_valid / nullif(valid_cnt, 0), 0.99), 6) density_p99, round(quantile_cont(mobile_valid / nullif(devices_valid, 0), 0.5), 6) mobile_p50, round(quantile_cont(worktime_valid / nullif(reports_valid, 0), 0.5), 6) worktime_p50 from "

@@ -47,3 +47,19 @@ def test_sides_of_buckets_without_valid_members(spark):
     df = spark.createDataFrame(rows, "block long, ip long, is_valid boolean, operator string").withColumns(zero).withColumn("bucket64", F.expr("ip div 64"))
     got = {r.bucket64: (r.l_cnt, r.r_cnt, r.l_reports, r.r_reports, r.l_op, r.r_op) for r in S.boundaries(df, 5).collect()}
     assert got == {0: (5, 0, 10, 0, "a", None), 1: (0, 0, 0, 0, None, None), 2: (0, 1, 0, 2, None, None), 3: (1, 0, 2, 0, None, None)}
+
+
+def test_d7_reads_members_once(spark, sf, fresh):
+    assert plan(QUERIES["d7_run_pieces"](spark, sf)).count("stage-final-members") == 1
+
+
+def test_d7_small_runs_stay_whole(spark):
+    """A run of 256 rows over an edge of 2^16 is one piece, one of 257 is cut at the edge and every 256."""
+    edge = 1 << 16
+    rows = [(1, ip) for ip in range(edge - 100, edge + 156)] + [(2, ip) for ip in range(3 * edge - 1, 3 * edge + 256)] + [(3, ip) for ip in range(5 * edge, 5 * edge + 300)]
+    e = spark.createDataFrame(rows, "run long, ip long")
+    got = sorted(map(tuple, queries.pieces(e).select("run", "p16", "piece", "ip_start", "ip_end", "members").collect()), key=str)
+    assert got == [
+        (1, None, 0, edge - 100, edge + 155, 256), (2, 2, 0, 3 * edge - 1, 3 * edge - 1, 1), (2, 3, 0, 3 * edge, 3 * edge + 255, 256),
+        (3, 5, 0, 5 * edge, 5 * edge + 255, 256), (3, 5, 1, 5 * edge + 256, 5 * edge + 299, 44),
+    ]
