@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blockloom.operators import segments as S
 from blockloom.plans import queries, run
 from blockloom.plans.rest import QUERIES
+from blockloom.sources import fixture
 
 
 def plan(df):
@@ -63,3 +64,8 @@ def test_d7_small_runs_stay_whole(spark):
         (1, None, 0, edge - 100, edge + 155, 256), (2, 2, 0, 3 * edge - 1, 3 * edge - 1, 1), (2, 3, 0, 3 * edge, 3 * edge + 255, 256),
         (3, 5, 0, 5 * edge, 5 * edge + 255, 256), (3, 5, 1, 5 * edge + 256, 5 * edge + 299, 44),
     ]
+
+
+def test_members_move_by_address_only(spark, sf):
+    made = plan(S.members(fixture.source(spark, sf), fixture.abnormal(spark, sf)))
+    assert "hashpartitioning(ip#" in made and "orderkey#" not in "".join(re.findall(r"hashpartitioning\([^)]*", made))
