@@ -175,7 +175,8 @@ def _(r: Run):
 @query("j25_trace_keys", "select k.ip, block, final, lib from (select distinct o_custkey * 40 + 16777216 ip from orders) k left join (select b.ip, b.block, fm.final, lab.lib from blk b left join fm using (ip) join lab using (ip)) t on t.ip = k.ip")
 def _(r: Run):
     keys = r.spark.read.parquet(f"{r.sf_dir}/orders.parquet").select((F.col("o_custkey") * 40 + 16777216).cast("long").alias("ip")).distinct()
-    return keys.join(research.traced(r, keys), "ip", "left")  # keys that are no members stay, without a class
+    # keys that are no members stay, without a class; one sorted join, however many parts members come from
+    return keys.join(research.traced(r).hint("merge"), "ip", "left")
 
 
 @query("j30_phases", f"select shard, count(*) phases, string_agg(step, ',' order by step) steps from ({research._COVER}) group by 1")

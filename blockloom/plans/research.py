@@ -284,12 +284,12 @@ def _(r: Run):
     return near.join(r.labelled.select("ip", "lib"), "ip").select("target", F.col("distance").cast("long").alias("distance"), "ip", "lib")
 
 
-def traced(r: Run, keys: DataFrame | None = None) -> DataFrame:
-    """(ip, block, final, lib) of every member, or of those in keys; the parts of a run are taken apart, so members aren't joined again."""
+def traced(r: Run) -> DataFrame:
+    """(ip, block, final, lib) of every member; the parts of a run are taken apart, so members aren't joined again."""
     dropped = r.blocked.join(r.pre.where("not keep_flag").select("block"), "block", "left_semi").withColumn("final", F.lit(None).cast("long"))
     parts = None
     for lib, df in (("H", r.h), ("E", r.e), ("F", r.f), ("D", dropped)):
-        own = (df if keys is None else df.join(keys.select("ip"), "ip", "left_semi")).select("ip", "block", "final", F.lit(lib).alias("lib"))
+        own = df.select("ip", "block", "final", F.lit(lib).alias("lib"))
         parts = own if parts is None else parts.unionByName(own)
     return parts
 

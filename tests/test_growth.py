@@ -69,3 +69,13 @@ def test_d7_small_runs_stay_whole(spark):
 def test_members_move_by_address_only(spark, sf):
     made = plan(S.members(fixture.source(spark, sf), fixture.abnormal(spark, sf)))
     assert "hashpartitioning(ip#" in made and "orderkey#" not in "".join(re.findall(r"hashpartitioning\([^)]*", made))
+
+
+def test_lines_a_task_stay_few(spark, sf, monkeypatch):
+    monkeypatch.setattr(fixture, "LINES_A_TASK", 1000, raising=False)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert re.search(rf"hashpartitioning\(ip#\d+L, {lines // 1000 + 1}\), REPARTITION_BY_NUM", plan(fixture.source(spark, sf)))
+
+
+def test_j25_joins_by_address_once(spark, sf):
+    assert len(re.findall(r"Join \[ip#", plan(QUERIES["j25_trace_keys"](spark, sf)).split("== Initial Plan ==")[0])) == 1
