@@ -13,14 +13,18 @@ repeat group with all its occurrences. All but the earliest occurrence go: each
 node where an earlier one joins it, so nested groups cost no more than the suffixes.
 
 A crowded anchor (a phrase in many contexts) is split by the least hash of the 80-byte grams of a window, which equal
-windows share too. Passages of periodic text are cut at LONGEST windows. Anchor and body hashes (128 bits, not linear)
+windows share too. Passages of periodic text are cut at LONGEST windows. A shard that is still of more than GATHERED bytes is
+taken in parts, in order of places: each part has its own suffix array, and only windows without an earlier one in their part
+are kept and compared over all parts, by classes of equal windows (`Large`). Anchor and body hashes (128 bits, not linear)
 decide equality of whole passages; within a shard bytes are compared.
 """
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +38,8 @@ from blockloom.llm.words import argmin_slide, chunks, mix
 WINDOW, GRAM, LONGEST = 100, 24, 4096
 #: Anchors of more entries are split by longer grams. Shards are gathered to about so many bytes for one suffix array.
 CROWDED, SPLIT_GRAM, GATHERED = 256, 80, 1 << 19
+#: Ranks that suffixes are sorted by at once, before those that still tie go on.
+STRETCHES = 8
 _P, _EDGE = np.uint64(0x9E3779B97F4A7C15), 256
 
 
@@ -117,13 +123,24 @@ def ranks(data: np.ndarray, left: np.ndarray, window: int) -> list[tuple[int, np
 
 
 def suffix_array(left: np.ndarray, levels: list[tuple[int, np.ndarray]], group: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Order of the suffixes at `places`, by group and then by all their bytes."""
+    """Order of the suffixes at `places`, which ascend by group, by group and then by all their bytes."""
     h, rank = levels[-1]
-    keys, at = [group], 0
-    while (more := left[places] > at).any():
-        keys.append(np.where(more, rank[np.where(more, places + at, 0)], 0))
-        at += h
-    return np.lexsort(keys[::-1])
+    order, tied, slots, at = np.arange(len(places)), group.copy(), np.arange(len(places)), 0
+    # a suffix that has ended sorts before those that go on, so it stays with them
+    while (left[of := places[order[slots]]] > at).any():
+        keys = [tied[slots]]
+        for j in range(at, at + h * STRETCHES, h):
+            more = left[of] > j
+            if not more.any():
+                break
+            keys.append(np.where(more, rank[np.where(more, of + j, 0)], 0))
+        by, at = np.lexsort(keys[::-1]), at + h * STRETCHES
+        order[slots] = order[slots][by]
+        fresh = np.ones(len(by), bool)
+        fresh[1:] = np.any([k[by[1:]] != k[by[:-1]] for k in keys], axis=0)
+        tied[slots] = np.maximum.accumulate(np.where(fresh, slots, 0))
+        slots = slots[~(fresh & np.append(fresh[1:], True))]
+    return order
 
 
 def common_prefixes(data: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
@@ -175,14 +192,17 @@ def _join(node: list, best: int, char: int, differ: bool) -> None:
     node[2] = min(best, node[2])
 
 
-def shard_repeats(bodies: list[bytes], window: int) -> tuple[list[tuple[int, int]], list[tuple[int, list[int]]], np.ndarray]:
-    """((place, length) that go, (length, places) of maximal repeat groups, first place of each body), over bodies end to end."""
-    data = np.frombuffer(b"".join(bodies), np.uint8)
+def joined(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of the bodies end to end, bytes from each to the end of its body, first place of each body)."""
     size = np.array([len(x) for x in bodies])
     ends = np.cumsum(size)
-    left = np.repeat(ends, size) - np.arange(len(data))
+    return np.frombuffer(b"".join(bodies), np.uint8), np.repeat(ends, size) - np.arange(size.sum()), ends - size
+
+
+def trees(data: np.ndarray, left: np.ndarray, first: np.ndarray, window: int) -> Iterator[tuple[list[int], list[tuple[int, int]], list[tuple[int, int, int]]]]:
+    """(places in order, what interval_tree finds in them) of each set of suffixes that share a window, over `joined` bodies."""
     before = np.append(_EDGE, data[:-1].astype(np.int64))
-    before[ends - size] = _EDGE
+    before[first] = _EDGE
     levels = ranks(data, left, window)
     h, rank = levels[-1]
     # suffixes that share a window; where all stand after one byte no node above them is maximal, so these aren't sorted
@@ -194,25 +214,144 @@ def shard_repeats(bodies: list[bytes], window: int) -> tuple[list[tuple[int, int
     lo, hi, many = np.minimum.reduceat(before[places], heads), np.maximum.reduceat(before[places], heads), np.diff(np.append(heads, len(places)))
     wanted = (many > 1) & ((lo != hi) | (hi == _EDGE))
     places, group = places[np.repeat(wanted, many)], np.repeat(np.arange(wanted.sum()), many[wanted])
-    again, groups = [], []
     if len(places):
         order = places[suffix_array(left, levels, group, places)]
         common = np.append(0, common_prefixes(data, left, order[:-1], order[1:], levels))
+        del levels, rank, key, by
         heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         common[heads] = 0
-        order_, common_, before_ = order.tolist(), common.tolist(), before[order].tolist()
         for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
-            places_ = order_[a:b]
-            gone, found = interval_tree(places_, common_[a:b], before_[a:b], window)
-            again += gone
-            groups += [(length, places_[x:y]) for length, x, y in found]
-    return again, groups, ends - size
+            places_ = order[a:b].tolist()
+            yield places_, *interval_tree(places_, common[a:b].tolist(), before[order[a:b]].tolist(), window)
+
+
+def shard_repeats(bodies: list[bytes], window: int) -> tuple[list[tuple[int, int]], list[tuple[int, list[int]]], np.ndarray]:
+    """((place, length) that go, (length, places) of maximal repeat groups, first place of each body), over bodies end to end.
+
+    Groups are nested: in periodic text their places together grow with the square of it. `removed` doesn't gather them.
+    """
+    data, left, first = joined(bodies)
+    again, groups = [], []
+    for places, gone, found in trees(data, left, first, window):
+        again += gone
+        groups += [(length, places[x:y]) for length, x, y in found]
+    return again, groups, first
+
+
+def removed(bodies: list[bytes], window: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """((first, end) of runs of bytes that go, (first, end) of runs covered by windows without an earlier one, first place of each body).
+
+    Places are over bodies end to end; no run goes over the edge of a body.
+    """
+    data, left, first = joined(bodies)
+    place, length, n = array("q"), array("q"), len(data)
+    for _, gone, _ in trees(data, left, first, window):
+        for x, size in gone:
+            place.append(x)
+            length.append(size)
+    x, size = np.array(place, np.int64), np.array(length, np.int64)
+    fresh = np.flatnonzero((left >= window) & ~_covered(x, x + size - window + 1, n))
+    edge = np.zeros(n, bool)
+    edge[first] = True
+
+    def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.flatnonzero(mask & (edge | ~np.append(False, mask[:-1]))), np.flatnonzero(mask & np.append(edge[1:] | ~mask[1:], True)) + 1
+
+    return runs(_covered(x, x + size, n)), runs(_covered(fresh, fresh + window, n)), first
+
+
+def _covered(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of n places is in one of the ranges a to b."""
+    return np.cumsum(np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1))[:n] > 0
+
+
+class Large:
+    """What goes of a shard that comes in parts, in order of places; holds the bytes of windows without an earlier one in their part.
+
+    Such a window stands in each part once at most, so however often it repeats, classes of them stay small.
+    """
+
+    def __init__(self, window: int):
+        self.window = window
+        self.raw: list[bytes] = []
+        self.held: list[tuple[np.ndarray, pa.Array, pa.Array, np.ndarray]] = []  # size, k, fp, at of the runs
+
+    def add(self, part: dict[str, pa.Array]) -> pa.RecordBatch:
+        bodies = part["body"].to_pylist()
+        gone, (a, b), first = removed(bodies, self.window)
+        raw, body = b"".join(bodies), np.searchsorted(first, a, "right") - 1
+        rows = pa.array(body)
+        self.raw.append(b"".join(raw[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)))
+        self.held.append((b - a, part["k"].take(rows), part["fp"].take(rows), np.asarray(part["at"])[body] + a - first[body]))
+        return _spans(part["k"], part["fp"], np.asarray(part["at"]), first, *gone)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        """What goes by windows of an earlier part."""
+        raw, size = b"".join(self.raw), np.concatenate([x[0] for x in self.held])
+        k, fp, at = pa.concat_arrays([x[1] for x in self.held]), pa.concat_arrays([x[2] for x in self.held]), np.concatenate([x[3] for x in self.held])
+        self.raw, first = [], np.cumsum(size) - size
+        for x in self.classes(np.frombuffer(raw, np.uint8), first, size) if len(raw) > GATHERED else [None]:
+            a, b = (first, first + size) if x is None else self.around(x, first)
+            (lo, hi), _, start = removed([raw[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)], self.window)
+            if len(lo):
+                body = np.searchsorted(start, lo, "right") - 1
+                yield _spans(k, fp, at, first, lo + (a - start)[body], hi + (a - start)[body])
+
+    def around(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, end) of the runs that the windows at x, ascending, cover in the runs held."""
+        of = np.searchsorted(first, x, "right")
+        new = np.append(True, (of[1:] != of[:-1]) | (x[1:] > x[:-1] + self.window))
+        return x[new], x[np.append(new[1:], True)] + self.window
+
+    def classes(self, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+        """Places of windows that may stand more than once, ascending; equal windows are in one class, of about GATHERED bytes."""
+        window, gram, n = self.window, self.window // 8 * 8, len(data)
+        whole = _covered(first, first + size - window + 1, n)
+        mark = np.zeros(n, np.uint32)
+        for lo in range(0, n - gram + 1, GATHERED):
+            found = byte_grams(data[lo : lo + GATHERED + gram - 1], gram)
+            mark[lo : lo + len(found)] = found & np.uint64(0xFFFFFFFF)
+        parts = -(-n // GATHERED)
+        for c in range(parts):
+            x = np.flatnonzero(whole & (mark % parts == c))
+            by = np.argsort(mark[x])
+            same = np.diff(mark[x[by]]) == 0
+            x = x[by[np.append(False, same) | np.append(same, False)]] if len(x) else x
+            times = -(-len(x) * window // GATHERED)
+            for i in range(times):
+                if len(y := x[mark[x] // parts % times == i]):
+                    yield np.sort(y)
+
+
+def _spans(k: pa.Array, fp: pa.Array, at: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """(k, fp, a, b) of runs a to b over bodies that begin at `first`, in their texts at `at`."""
+    body = np.searchsorted(first, a, "right") - 1
+    rows, shift = pa.array(body), at[body] - first[body]
+    return pa.RecordBatch.from_arrays([k.take(rows), fp.take(rows), pa.array((a + shift).astype(np.int32)), pa.array((b + shift).astype(np.int32))], names=["k", "fp", "a", "b"])
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def shard_spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """(k, fp, a, b): bytes a to b go, over rows of `Repeats.shards`. Memory is that of GATHERED bytes, and a large shard's distinct windows."""
+    large, of = None, None
+    for table, part in _gathered(batches, parted=True):
+        if large and part != of:
+            yield from large.rest()
+            large = None
+        if part:
+            large, of = large or Large(window), part
+            yield large.add(table)
+        else:
+            gone, _, first = removed(table["body"].to_pylist(), window)
+            if len(gone[0]):
+                yield _spans(table["k"], table["fp"], np.asarray(table["at"]), first, *gone)
+    if large:
+        yield from large.rest()
+
+
 class Repeats:
     """Tables of the passages that repeat, over docs with a key and a text.
 
@@ -276,13 +415,7 @@ class Repeats:
         window, kind = self.window, self.key_type
 
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _gathered(batches):
-                again, _, first = shard_repeats(table["body"].to_pylist(), window)
-                if again:
-                    place, length = np.array(again).T
-                    body = np.searchsorted(first, place, "right") - 1
-                    rows, at = pa.array(body), np.asarray(table["at"])[body] + place - first[body]
-                    yield pa.RecordBatch.from_arrays([table["k"].take(rows), table["fp"].take(rows), pa.array(at.astype(np.int32)), pa.array((at + length).astype(np.int32))], names=["k", "fp", "a", "b"])
+            yield from shard_spans(batches, window)
 
         own = self.shards(self.entries.where("entries > 1 or loop")).mapInArrow(released(match), f"k {kind}, fp long, a int, b int")
         own = staged(own, "spans", tidy=True)
@@ -298,12 +431,12 @@ class Repeats:
         window = self.window
 
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _gathered(batches):
+            for table, _ in _gathered(batches):
                 bodies = table["body"].to_pylist()
-                _, groups, first = shard_repeats(bodies, window)
-                groups += [(len(x), [int(a)]) for x, a in zip(bodies, first.tolist(), strict=True)]  # a whole passage, if its entry has several places
+                data, left, first = joined(bodies)
+                found = ((length, places[x:y]) for places, _, groups in trees(data, left, first, window) for length, x, y in groups)
                 raw = b"".join(bodies)
-                for length, places in groups:
+                for length, places in chain(found, ((len(x), [a]) for x, a in zip(bodies, first.tolist(), strict=True))):  # a whole passage, if its entry has several places
                     at = np.array(places)
                     body = np.searchsorted(first, at, "right") - 1
                     off = np.asarray(table["off"])[body] + at - first[body]
@@ -318,33 +451,54 @@ class Repeats:
         return every.join(several, "repeat")
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Array]]:
-    """Columns of whole shards, of about GATHERED bytes together; rows are sorted by anchor and shard."""
+def _gathered(batches: Iterator[pa.RecordBatch], parted: bool = False) -> Iterator[tuple[dict[str, pa.Array], tuple[int, int] | None]]:
+    """(columns of whole shards of about GATHERED bytes together, None); rows are sorted by anchor and shard, each comes once.
+
+    parted: a shard of more bytes comes in several parts, each with its (anchor, shard).
+    """
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, last = 0, None
+    names = ("anchor", "shard", "snip", "off")
 
-    def last_edge(t: pa.Table) -> int:
-        """Rows before the last shard."""
+    def edge(t: pa.Table | pa.RecordBatch, row: int) -> np.ndarray:
+        """The rows of other shards than that of `row`."""
         a, s = t["anchor"].to_numpy(), t["shard"].to_numpy()
-        other = np.flatnonzero((a != a[-1]) | (s != s[-1]))
-        return int(other[-1]) + 1 if len(other) else 0
+        return np.flatnonzero((a != a[row]) | (s != s[row]))
 
     for b in batches:
+        if last and b.num_rows:  # the shard of the last part goes on, perhaps with its last row once more
+            a, s, snip, off = (b[c].to_numpy() for c in names)
+            other = np.flatnonzero((a != last[0]) | (s != last[1]))
+            stop = int(other[0]) if len(other) else len(a)
+            again = (snip[:stop] == last[2]) & (off[:stop] == last[3])
+            lo = stop if again.all() else int(np.argmin(again))
+            if lo < stop:
+                yield from _pieces(pa.Table.from_batches([b.slice(lo, stop - lo)]), parted, last[:2])
+                last = tuple(int(x[stop - 1]) for x in (a, s, snip, off))
+            b, last = b.slice(stop), None if stop < len(a) else last
+        if not b.num_rows:
+            continue
         held.append(b)
         size += b.nbytes
         if size >= GATHERED:
             whole = pa.Table.from_batches(held)
-            cut = last_edge(whole)
+            other = edge(whole, -1)
+            cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield from _pieces(whole.slice(0, cut))
+                yield from _pieces(whole.slice(0, cut), parted)
                 held = whole.slice(cut).to_batches()
                 size = sum(x.nbytes for x in held)
+            if parted and size >= GATHERED:
+                whole = pa.Table.from_batches(held)
+                last = tuple(whole[c][-1].as_py() for c in names)
+                yield from _pieces(whole, parted, last[:2])
+                held, size = [], 0
     if held and (whole := pa.Table.from_batches(held)).num_rows:
-        yield from _pieces(whole)
+        yield from _pieces(whole, parted)
 
 
-def _pieces(t: pa.Table) -> Iterator[dict[str, pa.Array]]:
-    """Runs of whole shards of about GATHERED bytes, each body once."""
+def _pieces(t: pa.Table, parted: bool, part: tuple[int, int] | None = None) -> Iterator[tuple[dict[str, pa.Array], tuple[int, int] | None]]:
+    """Runs of whole shards of about GATHERED bytes, each body once; parted: larger shards in parts. part: t is of this one, and has only some of it."""
     columns = [t[c].to_numpy() for c in ("anchor", "shard", "snip", "off")]
     new = np.append(True, np.any([x[1:] != x[:-1] for x in columns], axis=0))
     t = t.filter(pa.array(new)).combine_chunks()
@@ -353,12 +507,19 @@ def _pieces(t: pa.Table) -> Iterator[dict[str, pa.Array]]:
     done = np.append(0, np.cumsum(np.diff(np.asarray(t["body"].chunk(0).buffers()[1]).view(np.int32)[t["body"].chunk(0).offset :][: len(a) + 1])))
     lo = 0
     while lo < len(a):
-        fits = heads[(heads > lo) & (done[heads] <= done[lo] + GATHERED)]
-        after = heads[heads > lo]
-        hi = len(a) if done[-1] <= done[lo] + GATHERED else int(fits[-1]) if len(fits) else int(after[0]) if len(after) else len(a)
-        part = t.slice(lo, hi - lo)
-        yield {c: part[c].combine_chunks() for c in part.column_names}
-        lo = hi
+        # the rows that fit, one at least
+        fit = max(lo + 1, int(np.searchsorted(done, done[lo] + GATHERED, "right")) - 1)
+        fits, after = heads[(heads > lo) & (heads <= fit)], heads[heads > lo]
+        hi = int(fits[-1]) if len(fits) else int(after[0]) if len(after) else len(a)
+        if fit == len(a):
+            hi = fit
+        of, stop = part, hi
+        if parted and (part or hi > fit):  # one shard
+            of, hi = of or (int(a[lo]), int(s[lo])), min(fit, hi)
+        while lo < stop:
+            cut = t.slice(lo, hi - lo)
+            yield {c: cut[c].combine_chunks() for c in cut.column_names}, of
+            lo, hi = hi, min(stop, max(hi + 1, int(np.searchsorted(done, done[hi] + GATHERED, "right")) - 1)) if hi < stop else stop
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", keep_bytes: bool = False) -> DataFrame:

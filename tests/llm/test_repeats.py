@@ -4,9 +4,11 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from blockloom.llm import manifest, maximal, queries, variants
@@ -95,6 +97,59 @@ def test_op11_tree():
         assert {(n, tuple(sorted(p))) for n, p in groups} == maximal_ones
 
 
+def shard_rows(shards):
+    """Rows of `Repeats.shards`, some twice; the k-th body of a shard stands in text k at 5."""
+    rows = [(*key, i, 0, i, 3 * i, 5, b) for key, bodies in sorted(shards.items()) for i, b in enumerate(bodies) for _ in range(1 + (i % 7 == 3))]
+    kinds = {"anchor": pa.int64(), "shard": pa.int64(), "snip": pa.int64(), "off": pa.int32(), "k": pa.int64(), "fp": pa.int64(), "at": pa.int32(), "body": pa.binary()}
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
+
+
+def test_op11_parts(monkeypatch):
+    """Shards in parts of any size, and batches of any size, lose the bytes that whole shards lose."""
+    dice = random.Random(4)
+    for _ in range(120):
+        w, step = dice.choice((8, 11, 16)), dice.choice((1, 3, 20, 1000))
+        monkeypatch.setattr(maximal, "GATHERED", dice.choice((64, 200, 1000, 1 << 19)))
+        shards = {}
+        # letters by shard, as equal windows are in one shard
+        for j, pair in enumerate(("ab", "cd", "ef")[: dice.randrange(1, 4)]):
+            some = lambda n, pair=pair: "".join(dice.choice(pair) for _ in range(n)).encode()
+            bodies = [some(dice.randrange(w, 60)) for _ in range(dice.choice((1, 3, 40)))]
+            bodies += [some(dice.randrange(9)) + pair.encode() * dice.randrange(w, 300) + some(dice.randrange(9)) for _ in range(dice.choice((0, 10)))]
+            shards[j // 2, j % 2] = dice.sample(bodies, len(bodies))
+        rows, got, want = shard_rows(shards), collections.defaultdict(set), set()
+        for key, bodies in shards.items():
+            seen = set()
+            for k, b in enumerate(bodies):
+                for i in range(len(b) - w + 1):
+                    want |= {(k, b, x + 5) for x in range(i, i + w)} if b[i : i + w] in seen else set()
+                    seen.add(b[i : i + w])
+        for b in maximal.shard_spans((rows.slice(i, step) for i in range(0, rows.num_rows, step)), w):
+            for k, fp, lo, hi in zip(*(b[c].to_pylist() for c in ("k", "fp", "a", "b"))):
+                assert fp == 3 * k and lo < hi
+                got[k] |= set(range(lo, hi))
+        assert {(k, x) for k in got for x in got[k]} == {(k, x) for k, _, x in want}
+
+
+def test_op11_memory(spark):
+    """Periodic text in many contexts: memory doesn't grow with the square of a shard, nor runs with its bytes."""
+    dice = random.Random(6)
+    edge = lambda: "".join(dice.choice("abcdefgh ") for _ in range(dice.randrange(1, 30)))
+    texts = [edge() + "the " * dice.randrange(30, 600) + edge() for _ in range(400)]
+    rows = shard_rows({(0, 0): [t.encode() for t in texts]})
+    tracemalloc.start()
+    try:
+        spans = sum(b.num_rows for b in maximal.shard_spans((rows.slice(i, 50) for i in range(0, rows.num_rows, 50)), 100))
+        assert spans < 2000 and tracemalloc.get_traced_memory()[1] < 200e6
+    finally:
+        tracemalloc.stop()
+    # by the operator: a shard of more than GATHERED bytes, beside a phrase whose contexts all differ
+    docs = list(enumerate([*texts, *(f"{edge()} {PLAIN[:95]} {edge()} {edge()} {edge()} {edge()} {edge()}" for _ in range(400))]))
+    frame, want = spark.createDataFrame(docs, "doc_id long, text string"), plain_repeats(docs, 100)
+    assert maximal.Repeats(frame).spans().count() < 4000
+    assert sorted(map(tuple, maximal.remove_repeats(frame).collect())) == sorted((k, *want[k, t]) for k, t in docs)
+
+
 def test_op11_groups(spark):
     docs = spark.createDataFrame([(1, f"aa{PLAIN}bb"), (2, f"cc{PLAIN}dd"), (3, f"ee{PLAIN}ff")], "doc_id long, text string")
     rows = maximal.Repeats(docs).groups().collect()
