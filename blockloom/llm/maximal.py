@@ -306,7 +306,9 @@ class Large:
     def classes(self, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
         """Places of windows that may stand more than once, ascending; equal windows are in one class, of about GATHERED bytes."""
         window, gram, n = self.window, self.window // 8 * 8, len(data)
-        whole = _covered(first, first + size - window + 1, n)
+        whole = np.zeros(n, np.int8)  # 1 where a window begins
+        whole[first], whole[first + size - window + 1] = 1, -1
+        whole = np.cumsum(whole, dtype=np.int8, out=whole).view(bool)
         mark = np.zeros(n, np.uint32)
         for lo in range(0, n - gram + 1, GATHERED):
             found = byte_grams(data[lo : lo + GATHERED + gram - 1], gram)
